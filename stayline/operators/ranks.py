@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,9 +55,11 @@ def value_histogram(long: DataFrame, value: str, groups=(), counts: dict | None
 
 def quantiles_from(cumulated: DataFrame, value: str, probs, groups=(), count: str = "n") -> DataFrame:
     """Exact discrete quantiles: the smallest value whose share reaches p."""
+    total = F.col(f"tot_{count}").cast("decimal(20,0)")
     cols = [
         F.min(
-            F.when(F.col(f"cum_{count}") >= F.ceil(F.col(f"tot_{count}") * F.lit(p)), F.col(value))
+            # decimal product, so that 100 x 0.55 is 55 and not a little more
+            F.when(F.col(f"cum_{count}") >= F.ceil(total * F.lit(Decimal(str(p)))), F.col(value))
         ).alias(f"q{i}")
         for i, p in enumerate(probs)
     ]

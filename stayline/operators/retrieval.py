@@ -13,6 +13,7 @@ from stayline.session import broadcast_if_small, fits, materialize
 HOT_ONE_IN = 1000  # a term is hot when at least one document in 1000 has it
 BROADCAST_ROWS = 1_000_000
 SALTS = 32
+WHITESPACE = r"[ \t\n\r\f]+"
 
 
 @dataclass
@@ -229,7 +230,7 @@ def chunk_documents(
 ) -> DataFrame:
     """Overlapping chunks of whitespace tokens: key, chunk, n_tokens, text."""
     step = size - overlap
-    toks = F.filter(F.split(F.col(text), r"\s+"), lambda t: t != "")
+    toks = F.filter(F.split(F.col(text), WHITESPACE), lambda t: t != "")
     # the last start still adds tokens the chunk before it does not have
     last = F.greatest(F.col("_n") - overlap - 1, F.lit(0))
     starts = F.sequence(F.lit(0), last, F.lit(step))

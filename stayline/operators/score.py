@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.schema import DECISION_THRESHOLD, RISK_BANDS
+from stayline.operators.joins import lookup_join
 from stayline.session import broadcast_if_small
 
 CARD_LIMIT = 100_000
@@ -33,8 +34,8 @@ def lookup_cards(df: DataFrame, cards: DataFrame) -> DataFrame:
 
 
 def lookup_features(requests: DataFrame, latest: DataFrame, key: str) -> DataFrame:
-    """Newest stored features per request; both sides keyed, requests keep missing keys."""
-    return requests.join(latest, key, "left")
+    """Newest stored features per request; requests without features keep NULLs."""
+    return lookup_join(requests, latest, key)
 
 
 def respond(

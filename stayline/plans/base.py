@@ -173,10 +173,17 @@ clean AS (
 # --- deterministic score, standing in for a trained model ---------------------------
 
 
-def fixed_score() -> Column:
+def raw_score() -> Column:
     """A probability from view columns alone, so that SQL can compute it too."""
     late = F.col("payment_delay_days") + F.lit(1.0)
-    return F.round(late / (late + F.col("tenure_months") / F.lit(10.0) + F.col("num_products")), 6)
+    return late / (late + F.col("tenure_months") / F.lit(10.0) + F.col("num_products"))
+
+
+RAW_SCORE = "(payment_delay_days + 1e0) / (payment_delay_days + 1e0 + tenure_months / 10e0 + num_products)"
+
+
+def fixed_score() -> Column:
+    return F.round(raw_score(), 6)
 
 
 def scored_customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,12 +193,10 @@ def scored_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 SCORED = (
     CLEAN
-    + """,
+    + f""",
 scored AS (
   SELECT *, CASE WHEN score >= 0.3 THEN 1 ELSE 0 END AS predicted FROM (
-    SELECT *, round((payment_delay_days + 1e0)
-                    / (payment_delay_days + 1e0 + tenure_months / 10e0 + num_products), 6) AS score
-    FROM clean)
+    SELECT *, round({RAW_SCORE}, 6) AS score FROM clean)
 )"""
 )
 

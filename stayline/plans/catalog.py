@@ -1,6 +1,6 @@
 """All registered queries; importing a module registers its queries."""
 
-from stayline.plans import etl, splits  # noqa: F401
+from stayline.plans import etl, evaluation, retrieval, segmentation, splits  # noqa: F401
 from stayline.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -23,6 +23,7 @@ def build_session(app: str = "stayline", cpus: str = "*", **conf) -> SparkSessio
         .config("spark.sql.shuffle.partitions", n)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
     for key, value in conf.items():
