@@ -8,7 +8,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
@@ -21,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.operators.metrics import evaluation_report, f1_score, ranking_metrics
+from stayline.operators.quality import to_long
+from stayline.operators.ranks import exact_medians
 from stayline.operators.score import decide
 from stayline.schema import FEATURES_8, LABEL
 from stayline.session import scratch_dir
@@ -128,10 +129,11 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def fit_imputer(train_df: DataFrame, columns):
-    """Median imputation learned on the training rows only."""
-    names = list(columns)
-    return Imputer(strategy="median", inputCols=names, outputCols=names).fit(train_df)
+def fit_medians(train_df: DataFrame, columns) -> dict[str, float]:
+    """Exact median per column, learned on the training rows only; one row per column
+    reaches the driver. Apply with `fill_nulls(df, medians)`."""
+    rows = exact_medians(to_long(train_df, columns), "value", ["feature"]).collect()
+    return {r["feature"]: r["median"] for r in rows}
 
 
 def encode_and_select(

@@ -70,3 +70,12 @@ def exact_quantiles(long: DataFrame, value: str, probs, groups=()) -> DataFrame:
     """Columns q0, q1, ... per group, one for each probability."""
     hist = value_histogram(long, value, groups)
     return quantiles_from(prefix_sums(hist, value, ["n"], groups), value, probs, groups)
+
+
+def exact_medians(long: DataFrame, value: str, groups=()) -> DataFrame:
+    """Column `median` per group: the middle value, or the mean of the two middle ones."""
+    cum = prefix_sums(value_histogram(long, value, groups), value, ["n"], groups)
+    n, reached = F.col("tot_n"), F.col("cum_n")
+    low = F.min(F.when(reached >= F.ceil(n / F.lit(2)), F.col(value)))
+    high = F.min(F.when(reached >= F.floor(n / F.lit(2)) + 1, F.col(value)))
+    return cum.groupBy(*groups).agg(((low + high) / 2).alias("median"))

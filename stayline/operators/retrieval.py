@@ -36,9 +36,12 @@ def term_counts(docs: DataFrame, key: str, text: str, keep=()) -> DataFrame:
     """(key, term, count) over 1- and 2-grams; `keep` columns depend on the key.
 
     The text is hashed by key before it is exploded: the n-grams of a document are then
-    counted in place, and only the (smaller) text crosses the network.
+    counted in place, and only the (smaller) text crosses the network. The number of
+    partitions is fixed, since they grow several times over when exploded.
     """
-    toks = docs.select(key, *keep, tokens(F.col(text)).alias("_t")).repartition(key)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_key = docs.select(key, *keep, text).repartition(n, key)
+    toks = by_key.select(key, *keep, tokens(F.col(text)).alias("_t"))
     grams = toks.select(key, *keep, F.explode(uni_bigrams(F.col("_t"))).alias("term"))
     return grams.groupBy(key, *keep, "term").agg(F.count(F.lit(1)).alias("count"))
 

@@ -1,6 +1,16 @@
 """All registered queries; importing a module registers its queries."""
 
-from stayline.plans import etl, evaluation, retrieval, segmentation, splits  # noqa: F401
+from stayline.plans import (  # noqa: F401
+    etl,
+    evaluation,
+    formats,
+    models,
+    monitoring,
+    retrieval,
+    segmentation,
+    splits,
+    streams,
+)
 from stayline.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
