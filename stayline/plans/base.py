@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.operators.clean import derive_features, drop_unlabelled, fill_nulls, flag_ranges
+from stayline.operators.cluster_metrics import assign_nearest, fit_centroids
+from stayline.operators.scaling import fit_standard
 from stayline.operators.segment import add_segment
 from stayline.schema import FEATURES_8, FILL_VALUES
+from stayline.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,6 +147,11 @@ def clean_customers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def clean_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The clean customers written once, for plans with several readers."""
+    return materialize(clean_customers(spark, sf), "clean")
+
+
 def fill_sql(source: str) -> str:
     filled = ", ".join(f"coalesce({c}, {v}) AS {c}" for c, v in FILL_VALUES.items())
     return f"SELECT {source}.* REPLACE ({filled}) FROM {source}"
@@ -213,10 +221,12 @@ def z_names(features=FEATURES_8) -> list[str]:
 
 
 def scaled_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean customers plus z_<feature> columns (population deviation)."""
-    from stayline.operators.scaling import fit_standard
+    """Clean customers plus z_<feature> columns (population deviation).
 
-    df = clean_customers(spark, sf)
+    Fitting and applying read the rows several times, so the clean table is written once:
+    one row per customer instead of the joins over orders and events again.
+    """
+    df = clean_table(spark, sf)
     params = fit_standard(df, FEATURES_8)
     return df.withColumns(
         {f"z_{f}": (F.col(f).cast("double") - m) / s for f, (m, s) in params.items()}
@@ -225,8 +235,6 @@ def scaled_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 def clustered_customers(spark: SparkSession, sf: str) -> DataFrame:
     """Nearest of two centroids, the mean scaled vectors of the segments."""
-    from stayline.operators.cluster_metrics import assign_nearest, fit_centroids
-
     df = scaled_customers(spark, sf)
     return assign_nearest(df, z_names(), fit_centroids(df, z_names(), "segmento"))
 

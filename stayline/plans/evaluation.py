@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stayline.operators import metrics, split
 from stayline.plans.base import SCORED, md5_mod, query, scored_customers, table
 from stayline.schema import GATE_AUC_REGISTER, GATE_AUC_TEST
+from stayline.session import materialize
 from stayline.sources.registry import PENDING, registry_rows
 
 
@@ -198,7 +199,9 @@ def variant_metrics(spark, sf) -> DataFrame:
     SELECT count(*) AS folds, round(avg(roc_auc), 6) AS mean, round(stddev_pop(roc_auc), 6) AS std FROM rank_metrics"""
 )
 def cv_score_summary(spark, sf) -> DataFrame:
-    folded = split.assign_folds(scored_customers(spark, sf))
+    folded = split.assign_folds(
+        materialize(scored_customers(spark, sf).select("customer_id", "churn", "score"), "scored")
+    )
     per_fold = metrics.ranking_metrics(folded, "churn", "score", ["fold"])
     return _rounded(metrics.cv_summary(per_fold), "mean", "std")
 
@@ -209,7 +212,7 @@ def cv_score_summary(spark, sf) -> DataFrame:
 )
 def evaluation_report_values(spark, sf) -> DataFrame:
     """The nested report as JSON text, read back by path."""
-    scored = scored_customers(spark, sf)
+    scored = materialize(scored_customers(spark, sf).select("churn", "score", "predicted"), "scored")
     report = metrics.evaluation_report(
         metrics.ranking_metrics(scored, "churn", "score"), metrics.f1_score(scored, "churn", "predicted")
     )

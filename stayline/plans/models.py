@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stayline.operators import cluster, model, split
 from stayline.operators.clean import fill_nulls
 from stayline.operators.scaling import fit_standard
-from stayline.plans.base import CUST, clean_customers, customers, md5_mod, query, table
+from stayline.plans.base import CUST, clean_customers, clean_table, customers, md5_mod, query, table
 from stayline.schema import FEATURES_8, FEATURES_11
 from stayline.session import materialize, new_path
 from stayline.sources.registry import model_metadata, register
@@ -26,7 +26,7 @@ TRAINED_AT = dt.datetime(2024, 1, 1)
 
 
 def split_frames(spark, sf) -> tuple[DataFrame, DataFrame]:
-    parts = materialize(split.exact_split(clean_customers(spark, sf)), "split")
+    parts = materialize(split.exact_split(clean_table(spark, sf)), "split")
     return parts.filter("split = 'train'"), parts.filter("split = 'test'")
 
 
@@ -62,7 +62,7 @@ def model_save_and_load(spark, sf) -> DataFrame:
 @query()
 def cross_validation_grid(spark, sf) -> DataFrame:
     """5-fold AUC per candidate depth over stratified folds."""
-    folded = materialize(split.assign_folds(clean_customers(spark, sf)), "folds")
+    folded = materialize(split.assign_folds(clean_table(spark, sf)), "folds")
     _, results = model.cross_validate(folded, FEATURES_8, TINY, grid={"maxDepth": [2, 4]})
     return results
 
@@ -124,7 +124,7 @@ def encoded_features(spark, sf) -> DataFrame:
 
 
 def vectors(spark, sf) -> DataFrame:
-    df = clean_customers(spark, sf)
+    df = clean_table(spark, sf)
     scaler = fit_standard(df, FEATURES_8)
     keep = cluster.to_vectors(df, FEATURES_8, scaler).select("customer_id", "churn", "segmento", "features")
     return materialize(keep, "vectors")
@@ -132,7 +132,7 @@ def vectors(spark, sf) -> DataFrame:
 
 @query()
 def kmeans_segments(spark, sf) -> DataFrame:
-    df = clean_customers(spark, sf)
+    df = clean_table(spark, sf)
     seg = cluster.fit_segmentation(df, k=2, restarts=2)
     return seg.assign(df).select("customer_id", "segmento", "cluster_id")
 

@@ -15,9 +15,9 @@ from stayline.plans.base import (
     CLEAN,
     CLUSTERED,
     CUST,
-    FLAG_SQL,
     SEGMENT_SQL,
     clean_customers,
+    clean_table,
     clustered_customers,
     customers,
     md5_mod,
@@ -26,6 +26,7 @@ from stayline.plans.base import (
 )
 from stayline.plans.evaluation import _rounded, curve_sql
 from stayline.schema import FEATURES_8, FEATURES_11
+from stayline.session import materialize
 from stayline.sources.registry import feature_registry as op_feature_registry
 from stayline.streaming import jobs
 
@@ -139,7 +140,7 @@ _RAWLONG = CUST + f", rl AS ({long_sql('cust', FEATURES_8)})"
 
 
 def raw_stats(spark, sf) -> DataFrame:
-    return _rounded(quality.feature_stats(customers(spark, sf), FEATURES_8), "mean", "std")
+    return _rounded(quality.feature_stats(materialize(customers(spark, sf), "customers"), FEATURES_8), "mean", "std")
 
 
 @query(f"WITH {_RAWLONG} {stats_sql('rl')}")
@@ -168,7 +169,7 @@ def feature_registry(spark, sf) -> DataFrame:
     FROM (SELECT * FROM s WHERE NOT ref) c FULL JOIN (SELECT * FROM s WHERE ref) r ON c.feature = r.feature"""
 )
 def statistics_drift(spark, sf) -> DataFrame:
-    df = clean_customers(spark, sf)
+    df = clean_table(spark, sf)
     cur = quality.feature_stats(df.filter(~is_reference()), FEATURES_8)
     ref = quality.feature_stats(df.filter(is_reference()), FEATURES_8)
     both = quality.compare_stats(cur, ref)
@@ -211,7 +212,7 @@ def outliers_iqr(spark, sf) -> DataFrame:
     )
 )
 def outliers_sigma(spark, sf) -> DataFrame:
-    return quality.outlier_rate(clean_customers(spark, sf), FEATURES_8, "sigma")
+    return quality.outlier_rate(clean_table(spark, sf), FEATURES_8, "sigma")
 
 
 @query(
@@ -272,7 +273,7 @@ def schema_drift(spark, sf) -> DataFrame:
     """Clean table against the canonical schema, with filled rows per column."""
     from stayline.schema import CUSTOMER_SCHEMA
 
-    df = clean_customers(spark, sf)
+    df = clean_table(spark, sf)
     expected = spark.createDataFrame([], CUSTOMER_SCHEMA)
     drift = quality.schema_drift(quality.schema_table(df), quality.schema_table(expected))
     filled = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "feature", "filled")

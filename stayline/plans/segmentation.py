@@ -17,6 +17,7 @@ from stayline.plans.base import (
     SCALED,
     SCORED,
     clean_customers,
+    clean_table,
     clustered_customers,
     query,
     raw_score,
@@ -47,7 +48,7 @@ _MINMAX = ", ".join(
 
 @query(f"WITH {CLEAN} SELECT customer_id, {_MINMAX} FROM clean")
 def minmax_scaled(spark, sf) -> DataFrame:
-    df = clean_customers(spark, sf).select("customer_id", *FEATURES_8)
+    df = clean_table(spark, sf).select("customer_id", *FEATURES_8)
     return _rounded(apply_minmax(df, fit_minmax(df, FEATURES_8)), *FEATURES_8)
 
 

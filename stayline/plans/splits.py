@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayline.operators import split
 from stayline.plans.base import CLEAN, clean_customers, md5_mod, query
+from stayline.session import materialize
 
 _EXACT = (
     CLEAN
@@ -19,9 +20,14 @@ exact AS (SELECT customer_id, churn, CASE WHEN rn <= round(0.2e0 * n) THEN 'test
 _BUCKET = f"CASE WHEN {md5_mod(42, 'customer_id', 100)} < 80 THEN 'train' ELSE 'test' END"
 
 
+def labels(spark, sf) -> DataFrame:
+    """Keys and labels, written once since an exact split reads them three times."""
+    return materialize(clean_customers(spark, sf).select("customer_id", "churn"), "labels")
+
+
 @query(f"WITH {_EXACT} SELECT * FROM exact")
 def exact_stratified_split(spark, sf) -> DataFrame:
-    return split.exact_split(clean_customers(spark, sf)).select("customer_id", "churn", "split")
+    return split.exact_split(labels(spark, sf)).select("customer_id", "churn", "split")
 
 
 @query(f"WITH {CLEAN} SELECT customer_id, churn, {_BUCKET} AS split FROM clean")
@@ -44,7 +50,7 @@ def split_class_counts(spark, sf) -> DataFrame:
         ORDER BY md5(concat('42:', customer_id))) - 1) % 5 AS INTEGER) AS fold FROM clean"""
 )
 def stratified_folds(spark, sf) -> DataFrame:
-    return split.assign_folds(clean_customers(spark, sf)).select("customer_id", "churn", "fold")
+    return split.assign_folds(labels(spark, sf)).select("customer_id", "churn", "fold")
 
 
 @query(
@@ -54,7 +60,7 @@ def stratified_folds(spark, sf) -> DataFrame:
       (SELECT count(*) FROM exact) AS n_rows"""
 )
 def split_leakage(spark, sf) -> DataFrame:
-    parts = split.exact_split(clean_customers(spark, sf)).select("customer_id", "split")
+    parts = materialize(split.exact_split(labels(spark, sf)).select("customer_id", "split"), "split")
     leaked = split.leaked_keys(parts.filter("split = 'train'"), parts.filter("split = 'test'"))
     return leaked.agg(F.count(F.lit(1)).alias("leaked")).withColumn(
         "n_rows", parts.agg(F.count(F.lit(1))).scalar()
@@ -67,7 +73,8 @@ def split_leakage(spark, sf) -> DataFrame:
 )
 def union_class_splits(spark, sf) -> DataFrame:
     """Class parts put together again; the class is a predicate on one split, not a rescan."""
-    train = split.exact_split(clean_customers(spark, sf)).filter("split = 'train'").select("customer_id", "churn")
+    parts = materialize(split.exact_split(labels(spark, sf)), "split")
+    train = parts.filter("split = 'train'").select("customer_id", "churn")
     return train.filter("churn = 1").unionByName(train.filter("churn = 0"))
 
 

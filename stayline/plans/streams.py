@@ -10,7 +10,7 @@ from stayline.operators.scaling import fit_standard
 from stayline.plans.base import (
     DIST_SQL,
     RAW_SCORE,
-    clean_customers,
+    clean_table,
     query,
     raw_score,
     table,
@@ -120,7 +120,7 @@ def stream_scoring(spark, sf) -> DataFrame:
     out, state = paths(spark)
     requests = materialize(text_requests(spark, sf), "requests")
     source = requests.inputFiles()[0].rsplit("/", 1)[0]
-    clean = clean_customers(spark, sf)
+    clean = clean_table(spark, sf)
     params = fit_standard(clean, FEATURES_8)
     zs = z_names()
     scale = {f"z_{f}": (F.col(f).cast("double") - m) / s for f, (m, s) in params.items()}
