@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.text import tokens, uni_bigrams
-from stayline.session import broadcast_if_small, fits, materialize
+from stayline.session import broadcast_if_small, fits, materialize, new_path
 
-HOT_ONE_IN = 1000  # a term is hot when at least one document in 1000 has it
+# A term is hot when at least one document in 1000 (and at least 8) has it. There can be no
+# more hot terms than 1000 times the mean number of terms per document.
+HOT_ONE_IN, HOT_MIN = 1000, 8
 BROADCAST_ROWS = 1_000_000
 SALTS = 32
+LEAD_DOCS = 1000  # postings per query that give the first candidates
+DIRECT_PAIRS = 50_000_000  # postings x queries that are simply joined, without pruning
+SEEDS = 20  # candidates per wanted hit that are scored in full first
 WHITESPACE = r"[ \t\n\r\f]+"
 
 
@@ -20,14 +25,16 @@ WHITESPACE = r"[ \t\n\r\f]+"
 class TfidfIndex:
     """Tables of a built index; all live in the shared folder as Parquet.
 
-    postings: doc key, [segment], term, tf   (tf = 1 + ln count)
-    idf:      term, df, idf
-    norms:    doc key, [segment], norm, n_terms (one row for every document)
+    postings: doc key, [segment], term, weight, norm, in folders hot=true / hot=false
+    terms:    term, df, idf, hot
+    peaks:    term, max_weight for hot terms
+    docs:     doc key, [segment] of every document
     """
 
     postings: DataFrame
-    idf: DataFrame
-    norms: DataFrame
+    terms: DataFrame
+    peaks: DataFrame
+    docs: DataFrame
     key: str
     segment: str | None = None
 
@@ -46,85 +53,100 @@ def term_counts(docs: DataFrame, key: str, text: str, keep=()) -> DataFrame:
     return grams.groupBy(key, *keep, "term").agg(F.count(F.lit(1)).alias("count"))
 
 
-def _with_idf(postings: DataFrame, idf: DataFrame, n_docs: int) -> DataFrame:
-    """postings x idf without a hot partition.
+def _with_idf(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """postings x (idf, hot) without a hot partition.
 
-    Hot terms make up most postings, but there are few of them (at most HOT_ONE_IN times
-    the mean number of terms per document): they are joined by broadcast when they fit.
-    Every other term has fewer than n/HOT_ONE_IN postings, so its shuffle is even.
+    Hot terms make up most postings and are few: they are joined by broadcast when they
+    fit. Every other term has few postings, so its shuffle is even.
     """
-    limit = max(n_docs // HOT_ONE_IN, 1)
-    hot = idf.filter(F.col("df") >= limit).select("term", "idf")
+    facts = terms.select("term", "idf", "hot")
+    hot = facts.filter("hot")
     if not fits(hot, BROADCAST_ROWS):
-        return postings.join(idf.select("term", "idf"), "term")
-    flagged = postings.join(F.broadcast(hot), "term", "left")
-    cold = idf.filter(F.col("df") < limit).select("term", "idf")
-    return flagged.filter("idf is not null").unionByName(
-        flagged.filter("idf is null").drop("idf").join(cold, "term")
-    )
+        return postings.join(facts, "term")
+    marked = postings.join(F.broadcast(hot), "term", "left")
+    cold = marked.filter("hot is null").drop("idf", "hot").join(facts.filter("not hot"), "term")
+    return marked.filter("hot").unionByName(cold)
 
 
 def build_index(
     docs: DataFrame, key: str = "doc_id", text: str = "text", segment: str | None = None
 ) -> TfidfIndex:
-    """Sublinear tf, smoothed idf = ln((1+n)/(1+df)) + 1, L2 norms per document."""
+    """Sublinear tf, smoothed idf = ln((1+n)/(1+df)) + 1, rows of unit length."""
     keep = [segment] if segment else []
     counts = term_counts(docs, key, text, keep)
-    postings = materialize(counts.select(key, *keep, "term", (1 + F.log("count")).alias("tf")), "postings")
+    raw = materialize(counts.select(key, *keep, "term", (1 + F.log("count")).alias("tf")), "term-counts")
     n_docs = docs.count()
-    df_counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = materialize(
-        df_counts.withColumn("idf", F.log((1.0 + n_docs) / (1 + F.col("df"))) + 1), "idf"
+    hot_from = max(n_docs // HOT_ONE_IN, HOT_MIN)
+    seen = raw.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = materialize(
+        seen.withColumns(
+            {"idf": F.log((1.0 + n_docs) / (1 + F.col("df"))) + 1, "hot": F.col("df") >= hot_from}
+        ),
+        "terms",
     )
-    weight = F.col("tf") * F.col("idf")
-    norms = (
-        _with_idf(postings.select(key, "term", "tf"), idf, n_docs)
-        .groupBy(key)
-        .agg(F.sqrt(F.sum(weight * weight)).alias("norm"), F.count(F.lit(1)).alias("n_terms"))
-    )
-    # documents without any term keep a row, with norm 0
-    every = docs.select(key, *keep).join(norms, key, "left").na.fill({"norm": 0.0, "n_terms": 0})
-    return TfidfIndex(postings, idf, materialize(every, "norms"), key, segment)
-
-
-def index_weights(index: TfidfIndex) -> DataFrame:
-    """(doc, term, weight), rows of unit length."""
-    n_docs = index.norms.count()
-    return (
-        _with_idf(index.postings.select(index.key, "term", "tf"), index.idf, n_docs)
-        .join(index.norms, index.key)
-        .select(index.key, "term", (F.col("tf") * F.col("idf") / F.col("norm")).alias("weight"))
+    # a window per document: its terms are bounded by its text
+    of_doc = Window.partitionBy(key)
+    w = F.col("tf") * F.col("idf")
+    weighted = _with_idf(raw, terms).withColumn("_w", w)
+    weighted = weighted.withColumn("norm", F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(of_doc)))
+    path = new_path(docs.sparkSession, "postings")
+    out = weighted.select(key, *keep, "term", (F.col("_w") / F.col("norm")).alias("weight"), "norm", "hot")
+    out.write.partitionBy("hot").parquet(path)
+    postings = docs.sparkSession.read.schema(out.schema).parquet(path)
+    hot_peaks = postings.filter("hot").groupBy("term").agg(F.max("weight").alias("max_weight"))
+    return TfidfIndex(postings, terms, materialize(hot_peaks, "peaks"), docs.select(key, *keep), key, segment)
+
+
+def document_norms(index: TfidfIndex) -> DataFrame:
+    """doc, norm, n_terms for every document; one without terms has norm 0."""
+    stats = index.postings.groupBy(index.key).agg(
+        F.first("norm").alias("norm"), F.count(F.lit(1)).alias("n_terms")
     )
+    return index.docs.select(index.key).join(stats, index.key, "left").na.fill({"norm": 0.0, "n_terms": 0})
 
 
 def query_vectors(
     queries: DataFrame, index: TfidfIndex, key: str, text: str, segment: str | None = None
 ) -> DataFrame:
-    """Unit query vectors over known terms, each weight already times the idf of its term."""
+    """key, [_qseg], term, qw (unit length over known terms), df, _ub.
+
+    `_ub` bounds what the term can add to the score of any document: its largest weight
+    for hot terms, 1 for others (weights are parts of unit vectors).
+    """
     keep = [segment] if segment else []
-    known = term_counts(queries, key, text, keep).join(index.idf.select("term", "idf"), "term")
+    counts = materialize(term_counts(queries, key, text, keep), "query-terms")
+    known = index.terms.join(broadcast_if_small(counts, BROADCAST_ROWS), "term")
+    known = known.join(broadcast_if_small(index.peaks, BROADCAST_ROWS), "term", "left")
     w = known.withColumn("_w", (1 + F.log("count")) * F.col("idf"))
-    norms = w.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_qn"))
-    qw = (F.col("_w") / F.col("_qn") * F.col("idf")).alias("qw")
-    return w.join(norms, key).select(key, *[F.col(c).alias("_qseg") for c in keep], "term", qw)
+    of_query = Window.partitionBy(key)
+    qw = F.col("_w") / F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(of_query))
+    return w.withColumn("qw", qw).select(
+        key,
+        *[F.col(c).alias("_qseg") for c in keep],
+        "term",
+        "qw",
+        "df",
+        (F.col("qw") * F.coalesce("max_weight", F.lit(1.0))).alias("_ub"),
+    )
 
 
-def _dot_products(qv: DataFrame, index: TfidfIndex, qkey: str) -> DataFrame:
-    """(query, doc, dot) for pairs of one segment that share a term.
+def _pair_scores(qv: DataFrame, postings: DataFrame, index: TfidfIndex, qkey: str) -> DataFrame:
+    """(query, doc, part): summed contributions of the given terms inside the segment.
 
-    A query batch that fits is broadcast, so postings never move by term and a term found
-    in a third of all documents costs no hot partition. A larger batch is joined by term
-    with the postings of each term spread over salts.
+    Query terms that fit are broadcast, so postings never move by term. A larger batch is
+    joined by term with the postings of each term spread over salts.
     """
-    if fits(qv, BROADCAST_ROWS):
-        pairs = index.postings.join(F.broadcast(qv), "term")
+    cols = [c for c in (qkey, "_qseg", "term", "qw") if c in qv.columns]
+    small = qv.select(*cols)
+    if fits(small, BROADCAST_ROWS):
+        pairs = postings.join(F.broadcast(small), "term")
     else:
-        salted = qv.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
-        spread = index.postings.withColumn("_s", F.pmod(F.xxhash64(index.key), F.lit(SALTS)))
+        salted = small.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+        spread = postings.withColumn("_s", F.pmod(F.xxhash64(index.key), F.lit(SALTS)))
         pairs = spread.join(salted, ["term", "_s"])
-    if "_qseg" in qv.columns:
+    if "_qseg" in cols:
         pairs = pairs.filter(F.col("_qseg").isNull() | (F.col("_qseg") == F.col(index.segment)))
-    return pairs.groupBy(qkey, index.key).agg(F.sum(F.col("tf") * F.col("qw")).alias("dot"))
+    return pairs.groupBy(qkey, index.key).agg(F.sum(F.col("weight") * F.col("qw")).alias("part"))
 
 
 def top_k(scored: DataFrame, group: str, order, k) -> DataFrame:
@@ -134,6 +156,82 @@ def top_k(scored: DataFrame, group: str, order, k) -> DataFrame:
     return ranked.filter(F.col("rank") <= k)
 
 
+def _look_up(pairs: DataFrame, qv: DataFrame, index: TfidfIndex, qkey: str) -> DataFrame:
+    """(query, doc, part) rows of given pairs for given query terms.
+
+    Each pair and term asks for one posting by (doc, term), which is a unique key, so
+    neither a frequent term nor a long document gathers rows.
+    """
+    dkey = index.key
+    wanted = pairs.select(qkey, dkey).join(
+        broadcast_if_small(qv.select(qkey, "term", "qw"), BROADCAST_ROWS), qkey
+    )
+    wanted = broadcast_if_small(materialize(wanted, "wanted"), BROADCAST_ROWS)
+    return (
+        index.postings.select(dkey, "term", "weight")
+        .join(wanted, [dkey, "term"])
+        .select(qkey, dkey, (F.col("weight") * F.col("qw")).alias("part"))
+    )
+
+
+def _total(parts: DataFrame, qkey: str, dkey: str, name: str) -> DataFrame:
+    return parts.groupBy(qkey, dkey).agg(F.sum("part").alias(name))
+
+
+def _scores(qv: DataFrame, index: TfidfIndex, qkey: str, k: int, margin: float, floor: float) -> DataFrame:
+    """(query, doc, score) for every pair that can be among the k best; scores are exact.
+
+    The document frequencies tell beforehand how many postings the query terms meet. Up
+    to DIRECT_PAIRS all of them are joined. Beyond that, terms found in much of the
+    corpus are kept from pairing every query with every document:
+
+    1. The rarest terms of a query (about LEAD_DOCS postings) give first candidates.
+    2. The best of them are scored in full; the k-th score is a bound all hits reach.
+    3. Of the other terms, those with the most postings for their possible share of a score
+       are set aside as long as together they could not lift a document over the bound:
+       documents known only from these cannot be hits. The remaining terms are joined
+       with all their postings.
+    4. Pairs still able to reach the bound get the terms set aside looked up.
+
+    Nothing is capped: a query without a useful bound has no term set aside.
+    """
+    dkey = index.key
+    qv = materialize(qv, "query-vectors")
+    if (qv.agg(F.sum("df")).first()[0] or 0) <= DIRECT_PAIRS:
+        return _pair_scores(qv, index.postings, index, qkey).withColumnRenamed("part", "score")
+    rare_first = Window.partitionBy(qkey).orderBy("df", "term")
+    lead = (F.sum("df").over(rare_first) <= LEAD_DOCS) | (F.row_number().over(rare_first) == 1)
+    qv = qv.withColumn("_lead", lead)
+    first = materialize(_pair_scores(qv.filter("_lead"), index.postings, index, qkey), "first-scores")
+
+    seeds = top_k(first, qkey, [F.col("part").desc()], SEEDS * k).select(qkey, dkey, "part")
+    seeds = materialize(seeds, "seeds")
+    seeded = seeds.unionByName(_look_up(seeds, qv.filter("not _lead"), index, qkey))
+    kth = top_k(_total(seeded, qkey, dkey, "score"), qkey, [F.col("score").desc()], k).filter(F.col("rank") == k)
+    bound = kth.select(qkey, F.greatest("score", F.lit(floor)).alias("_bound"))
+
+    most_saved = Window.partitionBy(qkey).orderBy((F.col("df") / F.col("_ub")).desc(), "term")
+    others = (
+        qv.filter("not _lead")
+        .withColumn("_upto", F.sum("_ub").over(most_saved))
+        .join(bound, qkey, "left")
+        .na.fill({"_bound": floor})
+        .withColumn("_aside", F.col("_upto") < F.col("_bound") - margin)
+    )
+    others = materialize(others, "other-terms")
+    second = _pair_scores(others.filter("not _aside"), index.postings, index, qkey)
+    parts = _total(first.unionByName(second), qkey, dkey, "part")
+
+    # one row per query: the bound, and what the terms set aside can add at most
+    aside = others.filter("_aside")
+    rest = aside.groupBy(qkey).agg(F.max("_upto").alias("_rest"), F.first("_bound").alias("_bound"))
+    can_reach = F.col("_rest").isNull() | (F.col("part") + F.col("_rest") >= F.col("_bound") - margin)
+    open_pairs = parts.join(broadcast_if_small(rest, BROADCAST_ROWS), qkey, "left").filter(can_reach)
+    open_pairs = materialize(open_pairs.select(qkey, dkey, "part"), "open-pairs")
+    full = open_pairs.unionByName(_look_up(open_pairs, aside, index, qkey))
+    return _total(full, qkey, dkey, "score")
+
+
 def search(
     queries: DataFrame,
     index: TfidfIndex,
@@ -151,15 +249,12 @@ def search(
     k matches are filled up with documents of score 0, as a full scan would give.
     """
     dkey = index.key
-    qv = materialize(query_vectors(queries, index, qkey, text, segment), "query-vectors")
-    score = F.col("dot") / F.col("norm")
+    qv = query_vectors(queries, index, qkey, text, segment)
+    # scores closer than the rounding step may tie, so they must not be cut
+    margin = 1e-9 if decimals is None else 10.0**-decimals
+    scored = _scores(qv, index, qkey, k, margin, min_score or 0.0)
     if decimals is not None:
-        score = F.round(score, decimals)
-    scored = (
-        _dot_products(qv, index, qkey)
-        .join(index.norms.select(dkey, "norm"), dkey)
-        .select(qkey, dkey, score.alias("score"))
-    )
+        scored = scored.withColumn("score", F.round("score", decimals))
     if min_score is not None:
         scored = scored.filter(F.col("score") >= min_score)
     # at most k rows per query
@@ -176,7 +271,7 @@ def _pad_zero_scores(hits, queries, index, qkey, k, segment):
     whatever the corpus size; they travel as one short array per segment.
     """
     dkey = index.key
-    ids_type = f"array<{dict(index.norms.dtypes)[dkey]}>"
+    ids_type = f"array<{dict(index.docs.dtypes)[dkey]}>"
     have = hits.groupBy(qkey).agg(F.count(F.lit(1)).cast("int").alias("_have"), F.collect_list(dkey).alias("_got"))
     short = (
         queries.select(qkey, *([F.col(segment).alias("_qseg")] if segment else []))
@@ -184,11 +279,11 @@ def _pad_zero_scores(hits, queries, index, qkey, k, segment):
         .na.fill({"_have": 0})
         .filter(F.col("_have") < k)
     )
-    newest = index.norms.select(dkey).orderBy(F.col(dkey).desc()).limit(2 * k)
+    newest = index.docs.select(dkey).orderBy(F.col(dkey).desc()).limit(2 * k)
     anywhere = newest.agg(F.collect_list(dkey)).scalar()
     if segment:
         dseg = F.col(index.segment).alias("_dseg")
-        per_segment = top_k(index.norms.select(dkey, dseg), "_dseg", [F.col(dkey).desc()], 2 * k)
+        per_segment = top_k(index.docs.select(dkey, dseg), "_dseg", [F.col(dkey).desc()], 2 * k)
         lists = per_segment.groupBy("_dseg").agg(F.collect_list(dkey).alias("_ids"))
         short = short.join(lists, F.col("_qseg") == F.col("_dseg"), "left")
         ids = F.when(F.col("_qseg").isNull(), anywhere).otherwise(F.col("_ids"))
@@ -208,7 +303,7 @@ def search_overfetch(
     """Rank 4k first, then filter by the query's segment: may give fewer than k rows."""
     wide = materialize(search(queries, index, qkey=qkey, k=4 * k, **kw), "wide-hits")
     dkey = index.key
-    meta = index.norms.select(dkey, F.col(index.segment).alias("_dseg"))
+    meta = index.docs.select(dkey, F.col(index.segment).alias("_dseg"))
     kept = (
         broadcast_if_small(wide.drop("rank"), BROADCAST_ROWS)
         .join(meta, dkey)

@@ -97,12 +97,12 @@ def ngram_counts(spark, sf) -> DataFrame:
     coalesce(n_terms, 0) AS n_terms FROM documents d LEFT JOIN dn ON dn.doc_id = d.doc_id"""
 )
 def tfidf_document_norms(spark, sf) -> DataFrame:
-    return _rounded(doc_index(spark, sf).norms.select("doc_id", "norm", "n_terms"), "norm")
+    return _rounded(retrieval.document_norms(doc_index(spark, sf)), "norm")
 
 
 @query(f"WITH {index_sql('documents', 'doc_id', 'text')} SELECT term, df, round(idf, 6) AS idf FROM idf")
 def tfidf_vocabulary(spark, sf) -> DataFrame:
-    return _rounded(doc_index(spark, sf).idf.select("term", "df", "idf"), "idf")
+    return _rounded(doc_index(spark, sf).terms.select("term", "df", "idf"), "idf")
 
 
 @query(
@@ -111,7 +111,7 @@ def tfidf_vocabulary(spark, sf) -> DataFrame:
 )
 def tfidf_weights(spark, sf) -> DataFrame:
     """Summary per document of the unit-length weights."""
-    w = retrieval.index_weights(doc_index(spark, sf)).groupBy("doc_id").agg(
+    w = doc_index(spark, sf).postings.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_terms"), F.max("weight").alias("top_weight"), F.sum("weight").alias("weight_sum")
     )
     return _rounded(_rounded(w, "top_weight"), "weight_sum", digits=4)

@@ -80,7 +80,7 @@ def test_external_metrics(spark):
     r = cm.external_metrics(one, "y", "c").first()
     assert r["adjusted_rand"] == pytest.approx(0.0) and r["homogeneity"] == pytest.approx(0.0)
     assert r["completeness"] == 1.0 and r["v_measure"] == pytest.approx(0.0)
-    mixed = spark.createDataFrame([(0, 0), (0, 0), (0, 1), (1, 1), (1, 1), (1, 2)], "y int, c int")
+    mixed = spark.createDataFrame([(0, 0), (0, 0), (0, 1), (1, 1), (1, 2), (1, 2)], "y int, c int")
     assert cm.external_metrics(mixed, "y", "c").first()["adjusted_rand"] == pytest.approx(0.24242424, abs=1e-6)
 
 
