@@ -71,19 +71,20 @@ def chi_square(df: DataFrame, category: str, is_reference) -> DataFrame:
     one over categories do it.
     """
     cells = df.withColumn("_ref", is_reference).groupBy(category).agg(
-        F.count_if("_ref").alias("r"), F.count_if(~F.col("_ref")).alias("c")
+        F.count_if("_ref").alias("_n_ref"), F.count_if(~F.col("_ref")).alias("_n_cur")
     )
     # sum over cells of (o - e)^2 / e, with e = row total x column total / n
+    both = F.col("_n_ref") + F.col("_n_cur")
     sums = cells.agg(
-        F.sum("r").cast("double").alias("R"),
-        F.sum("c").cast("double").alias("C"),
-        F.sum(F.col("r") * F.col("r") / (F.col("r") + F.col("c"))).alias("rr"),
-        F.sum(F.col("c") * F.col("c") / (F.col("r") + F.col("c"))).alias("cc"),
+        F.sum("_n_ref").cast("double").alias("_sum_ref"),
+        F.sum("_n_cur").cast("double").alias("_sum_cur"),
+        F.sum(F.col("_n_ref") * (F.col("_n_ref") / both)).alias("_sq_ref"),
+        F.sum(F.col("_n_cur") * (F.col("_n_cur") / both)).alias("_sq_cur"),
         (F.count(F.lit(1)) - 1).alias("dof"),
     )
-    n = F.col("R") + F.col("C")
-    stat = n * (F.try_divide(F.col("rr"), F.col("R")) + F.try_divide(F.col("cc"), F.col("C")) - 1)
-    return sums.select(stat.alias("chi2"), "dof")
+    n = F.col("_sum_ref") + F.col("_sum_cur")
+    parts = F.try_divide("_sq_ref", F.col("_sum_ref")) + F.try_divide("_sq_cur", F.col("_sum_cur"))
+    return sums.select((n * (parts - 1)).alias("chi2"), "dof")
 
 
 def feature_stats(df: DataFrame, features, probs=(0.25, 0.5, 0.75)) -> DataFrame:

@@ -141,7 +141,7 @@ def _pair_scores(qv: DataFrame, postings: DataFrame, index: TfidfIndex, qkey: st
     if fits(small, BROADCAST_ROWS):
         pairs = postings.join(F.broadcast(small), "term")
     else:
-        salted = small.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+        salted = small.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
         spread = postings.withColumn("_s", F.pmod(F.xxhash64(index.key), F.lit(SALTS)))
         pairs = spread.join(salted, ["term", "_s"])
     if "_qseg" in cols:

@@ -33,6 +33,8 @@ def read_customers_csv(
             recursiveFileLookup=True,
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=CORRUPT,
+            # a field that is not read cannot be found malformed
+            columnPruning=False,
         )
         .csv(path)
     )
