@@ -22,10 +22,16 @@ CARDS_TYPE = f"map<string,map<string,{CARD_STRUCT}>>"
 def read_customers_csv(
     spark: SparkSession, path, schema: T.StructType = CUSTOMER_SCHEMA
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit the schema, quarantined raw lines) from CSV folders."""
-    with_raw = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    """(typed rows, quarantined records with the names of the bad fields) from CSV folders.
+
+    All fields are read as text and cast by expressions. The reader's own check looks only
+    at the fields a query selects, so a bad field would go unnoticed in a narrow query.
+    """
+    text_schema = T.StructType(
+        [T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())]
+    )
     raw = (
-        spark.read.schema(with_raw)
+        spark.read.schema(text_schema)
         .options(
             header=True,
             sep=",",
@@ -33,14 +39,24 @@ def read_customers_csv(
             recursiveFileLookup=True,
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=CORRUPT,
-            # a field that is not read cannot be found malformed
             columnPruning=False,
         )
         .csv(path)
     )
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # The raw line alone cannot be projected from CSV, so the key comes along.
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(schema.fields[0].name, CORRUPT)
+    names = [f.name for f in schema.fields]
+    bad_fields = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), f.name)
+                for f in schema.fields
+            ],
+            F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT)),
+        )
+    )
+    checked = raw.withColumn("errors", bad_fields)
+    good = cast_columns(checked.filter(F.size("errors") == 0), schema)
+    record = F.coalesce(CORRUPT, F.to_json(F.struct(*names)))
+    bad = checked.filter(F.size("errors") > 0).select(names[0], "errors", record.alias("record"))
     return good, bad
 
 

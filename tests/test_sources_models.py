@@ -18,7 +18,12 @@ def test_csv_quarantine_in_nested_folders(spark, tmp_path):
     (tmp_path / "d1" / "d2" / "b.csv").write_text(head + "\nc2,doze,100.5,500,2,1,0,30,5.5,1,2024-01-01 00:00:00\n")
     good, bad = readers.read_customers_csv(spark, str(tmp_path))
     assert [r["customer_id"] for r in good.collect()] == ["c1"]
-    assert "doze" in bad.first()["_corrupt_record"]
+    assert good.select("age").count() == 1  # also when the bad field is not selected
+    r = bad.first()
+    assert r["errors"] == ["tenure_months"] and "doze" in r["record"]
+    (tmp_path / "short.csv").write_text(head + "\nc3,12\n")
+    _, bad = readers.read_customers_csv(spark, str(tmp_path))
+    assert {r["customer_id"]: r["errors"] for r in bad.collect()}["c3"] == ["_corrupt_record"]
 
 
 def test_load_folder_prefers_parquet(spark, tmp_path):
