@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stayline.operators.clean import derive_features, drop_unlabelled, fill_nulls, flag_ranges
 from stayline.operators.cluster_metrics import assign_nearest, fit_centroids
+from stayline.operators.joins import lookup_join
 from stayline.operators.scaling import fit_standard
 from stayline.operators.segment import add_segment
 from stayline.schema import FEATURES_8, FILL_VALUES
@@ -113,15 +114,22 @@ cust AS (
 
 
 def customer_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw ETL input: one record per order of a customer, so keys repeat."""
-    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    base = customers(spark, sf).drop("monthly_charges", "event_date")
-    return base.join(orders, F.col("customer_id") == F.col("o_custkey"), "left").select(
-        *base.columns,
+    """Raw ETL input: one record per order of a customer, so keys repeat.
+
+    Orders look up their customer, so a customer with very many orders is spread over
+    tasks; customers without orders (they have no label) are added after.
+    """
+    base = materialize(customers(spark, sf).drop("monthly_charges", "event_date"), "customers")
+    orders = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("customer_id"),
         (F.col("o_totalprice") / 1000).alias("monthly_charges"),
         F.col("o_orderdate").alias("event_date"),
         F.col("o_orderkey").alias("record_id"),
     )
+    known = base.withColumn("_known", F.lit(True))
+    with_orders = lookup_join(orders, known, "customer_id").filter("_known").drop("_known")
+    without = base.filter("churn is null")
+    return with_orders.unionByName(without, allowMissingColumns=True)
 
 
 FEED = (

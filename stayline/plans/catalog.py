@@ -9,6 +9,7 @@ from stayline.plans import (  # noqa: F401
     retrieval,
     segmentation,
     splits,
+    storage,
     streams,
 )
 from stayline.plans.base import ORACLES, QUERIES

@@ -28,6 +28,7 @@ from stayline.plans.base import (
 )
 from stayline.plans.evaluation import _rounded
 from stayline.schema import FEATURES_8
+from stayline.session import materialize
 from stayline.sources.readers import explode_cards, parse_cards
 from stayline.sources.writers import nest_cards
 
@@ -354,6 +355,11 @@ def cards(spark, sf) -> DataFrame:
     return segment.profile_cards(segment.segment_profiles(clustered_customers(spark, sf)))
 
 
+def _cards_of(clustered: DataFrame) -> DataFrame:
+    """Cards written once: one row per segment and cluster."""
+    return materialize(segment.profile_cards(segment.segment_profiles(clustered)), "cards")
+
+
 @query(f"WITH {CARDS} SELECT {_CARD_COLS}, {', '.join(f'mean_{f}' for f in FEATURES_8)} FROM cards")
 def profile_cards(spark, sf) -> DataFrame:
     flat = cards(spark, sf).withColumns(
@@ -385,9 +391,9 @@ def list_segment_profiles(spark, sf) -> DataFrame:
 
 def scored_with_cards(spark, sf) -> DataFrame:
     """Clustered, scored customers with their card label."""
-    clustered = clustered_customers(spark, sf).withColumn("score", raw_score())
-    known = cards(spark, sf).filter("n_amostras >= 20")
-    return score.lookup_cards(clustered, known)
+    clustered = clustered_customers(spark, sf)
+    known = _cards_of(clustered).filter("n_amostras >= 20")
+    return score.lookup_cards(clustered.withColumn("score", raw_score()), known)
 
 
 _BAND = "CASE WHEN p < 0.30 THEN 'BAIXO' WHEN p < 0.60 THEN 'MÉDIO' ELSE 'ALTO' END"
