@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.text import tokens, uni_bigrams
-from stayline.session import broadcast_if_small, fits, materialize, new_path
+from stayline.session import broadcast_if_small, fits, materialize
 
 # A term is hot when at least one document in 1000 (and at least 8) has it. There can be no
 # more hot terms than 1000 times the mean number of terms per document.
@@ -25,19 +26,35 @@ WHITESPACE = r"[ \t\n\r\f]+"
 class TfidfIndex:
     """Tables of a built index; all live in the shared folder as Parquet.
 
-    postings: doc key, [segment], term, weight, norm, in folders hot=true / hot=false
-    terms:    term, df, idf, hot
-    peaks:    term, max_weight for hot terms
-    docs:     doc key, [segment] of every document
+    counts:  doc key, [segment], term, tf   (tf = 1 + ln count)
+    terms:   term, df, idf, hot
+    norms:   doc key, [segment], norm, n_terms for every document (norm 0 without terms)
     """
 
-    postings: DataFrame
+    counts: DataFrame
     terms: DataFrame
-    peaks: DataFrame
-    docs: DataFrame
+    norms: DataFrame
     key: str
     segment: str | None = None
 
+    @cached_property
+    def postings(self) -> DataFrame:
+        """doc key, [segment], term, weight, hot: rows of unit length per document."""
+        keep = [self.segment] if self.segment else []
+        weight = F.col("tf") * F.col("idf") / F.col("norm")
+        return materialize(
+            _with_idf(self.counts, self.terms)
+            .join(self.norms.select(self.key, "norm"), self.key)
+            .select(self.key, *keep, "term", weight.alias("weight"), "hot"),
+            "postings",
+        )
+
+    @cached_property
+    def peaks(self) -> DataFrame:
+        """term, max_weight for hot terms."""
+        hot = self.postings.filter("hot").groupBy("term").agg(F.max("weight").alias("max_weight"))
+        return materialize(hot, "peaks")
+
 
 def term_counts(docs: DataFrame, key: str, text: str, keep=()) -> DataFrame:
     """(key, term, count) over 1- and 2-grams; `keep` columns depend on the key.
@@ -84,39 +101,21 @@ def build_index(
         ),
         "terms",
     )
-    # a window per document: its terms are bounded by its text
-    of_doc = Window.partitionBy(key)
     w = F.col("tf") * F.col("idf")
-    weighted = _with_idf(raw, terms).withColumn("_w", w)
-    weighted = weighted.withColumn("norm", F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(of_doc)))
-    path = new_path(docs.sparkSession, "postings")
-    out = weighted.select(key, *keep, "term", (F.col("_w") / F.col("norm")).alias("weight"), "norm", "hot")
-    out.write.partitionBy("hot").parquet(path)
-    postings = docs.sparkSession.read.schema(out.schema).parquet(path)
-    hot_peaks = postings.filter("hot").groupBy("term").agg(F.max("weight").alias("max_weight"))
-    return TfidfIndex(postings, terms, materialize(hot_peaks, "peaks"), docs.select(key, *keep), key, segment)
-
-
-def document_norms(index: TfidfIndex) -> DataFrame:
-    """doc, norm, n_terms for every document; one without terms has norm 0."""
-    stats = index.postings.groupBy(index.key).agg(
-        F.first("norm").alias("norm"), F.count(F.lit(1)).alias("n_terms")
+    norms = _with_idf(raw.select(key, "term", "tf"), terms).groupBy(key).agg(
+        F.sqrt(F.sum(w * w)).alias("norm"), F.count(F.lit(1)).alias("n_terms")
     )
-    return index.docs.select(index.key).join(stats, index.key, "left").na.fill({"norm": 0.0, "n_terms": 0})
+    every = docs.select(key, *keep).join(norms, key, "left").na.fill({"norm": 0.0, "n_terms": 0})
+    return TfidfIndex(raw, terms, materialize(every, "norms"), key, segment)
 
 
 def query_vectors(
     queries: DataFrame, index: TfidfIndex, key: str, text: str, segment: str | None = None
 ) -> DataFrame:
-    """key, [_qseg], term, qw (unit length over known terms), df, _ub.
-
-    `_ub` bounds what the term can add to the score of any document: its largest weight
-    for hot terms, 1 for others (weights are parts of unit vectors).
-    """
+    """key, [_qseg], term, qw (unit length over known terms), df, idf."""
     keep = [segment] if segment else []
     counts = materialize(term_counts(queries, key, text, keep), "query-terms")
     known = index.terms.join(broadcast_if_small(counts, BROADCAST_ROWS), "term")
-    known = known.join(broadcast_if_small(index.peaks, BROADCAST_ROWS), "term", "left")
     w = known.withColumn("_w", (1 + F.log("count")) * F.col("idf"))
     of_query = Window.partitionBy(key)
     qw = F.col("_w") / F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(of_query))
@@ -126,7 +125,7 @@ def query_vectors(
         "term",
         "qw",
         "df",
-        (F.col("qw") * F.coalesce("max_weight", F.lit(1.0))).alias("_ub"),
+        "idf",
     )
 
 
@@ -198,7 +197,20 @@ def _scores(qv: DataFrame, index: TfidfIndex, qkey: str, k: int, margin: float,
     dkey = index.key
     qv = materialize(qv, "query-vectors")
     if (qv.agg(F.sum("df")).first()[0] or 0) <= DIRECT_PAIRS:
-        return _pair_scores(qv, index.postings, index, qkey).withColumnRenamed("part", "score")
+        # tf stands in for the weight; idf goes to the query side, the norm to the sum
+        dots = _pair_scores(
+            qv.withColumn("qw", F.col("qw") * F.col("idf")),
+            index.counts.withColumnRenamed("tf", "weight"),
+            index,
+            qkey,
+        )
+        norms = index.norms.select(dkey, "norm")
+        return dots.join(norms, dkey).select(qkey, dkey, (F.col("part") / F.col("norm")).alias("score"))
+    # what a term can add to any document at most: its largest weight for hot terms, 1 for
+    # others (weights are parts of unit vectors)
+    peaks = broadcast_if_small(index.peaks, BROADCAST_ROWS)
+    most = F.col("qw") * F.coalesce("max_weight", F.lit(1.0))
+    qv = qv.join(peaks, "term", "left").withColumn("_ub", most).drop("max_weight", "idf")
     rare_first = Window.partitionBy(qkey).orderBy("df", "term")
     lead = (F.sum("df").over(rare_first) <= LEAD_DOCS) | (F.row_number().over(rare_first) == 1)
     qv = qv.withColumn("_lead", lead)
@@ -271,7 +283,7 @@ def _pad_zero_scores(hits, queries, index, qkey, k, segment):
     whatever the corpus size; they travel as one short array per segment.
     """
     dkey = index.key
-    ids_type = f"array<{dict(index.docs.dtypes)[dkey]}>"
+    ids_type = f"array<{dict(index.norms.dtypes)[dkey]}>"
     have = hits.groupBy(qkey).agg(F.count(F.lit(1)).cast("int").alias("_have"), F.collect_list(dkey).alias("_got"))
     short = (
         queries.select(qkey, *([F.col(segment).alias("_qseg")] if segment else []))
@@ -279,11 +291,11 @@ def _pad_zero_scores(hits, queries, index, qkey, k, segment):
         .na.fill({"_have": 0})
         .filter(F.col("_have") < k)
     )
-    newest = index.docs.select(dkey).orderBy(F.col(dkey).desc()).limit(2 * k)
+    newest = index.norms.select(dkey).orderBy(F.col(dkey).desc()).limit(2 * k)
     anywhere = newest.agg(F.collect_list(dkey)).scalar()
     if segment:
         dseg = F.col(index.segment).alias("_dseg")
-        per_segment = top_k(index.docs.select(dkey, dseg), "_dseg", [F.col(dkey).desc()], 2 * k)
+        per_segment = top_k(index.norms.select(dkey, dseg), "_dseg", [F.col(dkey).desc()], 2 * k)
         lists = per_segment.groupBy("_dseg").agg(F.collect_list(dkey).alias("_ids"))
         short = short.join(lists, F.col("_qseg") == F.col("_dseg"), "left")
         ids = F.when(F.col("_qseg").isNull(), anywhere).otherwise(F.col("_ids"))
@@ -303,7 +315,7 @@ def search_overfetch(
     """Rank 4k first, then filter by the query's segment: may give fewer than k rows."""
     wide = materialize(search(queries, index, qkey=qkey, k=4 * k, **kw), "wide-hits")
     dkey = index.key
-    meta = index.docs.select(dkey, F.col(index.segment).alias("_dseg"))
+    meta = index.norms.select(dkey, F.col(index.segment).alias("_dseg"))
     kept = (
         broadcast_if_small(wide.drop("rank"), BROADCAST_ROWS)
         .join(meta, dkey)
