@@ -208,8 +208,9 @@ def label_queries(spark, sf, units: DataFrame) -> DataFrame:
 
 
 def dense_hits(spark, sf, k: int) -> DataFrame:
-    units = unit_embeddings(spark, sf)
-    return dense.search_dense(units.select("vec_id", "unit"), label_queries(spark, sf, units), k=k, key="vec_id")
+    units = materialize(unit_embeddings(spark, sf), "unit-vectors")
+    queries = materialize(label_queries(spark, sf, units), "label-queries")
+    return dense.search_dense(units.select("vec_id", "unit"), queries, k=k, key="vec_id")
 
 
 _DENSE = f"""{_CENTROID},
