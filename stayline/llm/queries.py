@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bytebpe, mixing
+from stayline.llm import bytebpe, mixing, quality, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +17,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), topk.integer_vector("embedding").alias("v")
+    )
+    return topk.search(rows, rows.filter("id % 20 = 0"), k=20)
+
+
+QUERIES["op1_maxscore"] = op1_maxscore
+ORACLES["op1_maxscore"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.e, d.e) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
+"""
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.classify(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+QUERIES["op2_quality"] = op2_quality
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -80,3 +111,24 @@ parts AS (
   LEFT JOIN cut c ON d.source IS NOT DISTINCT FROM c.source)
 SELECT doc_id, size, source_size, target, whole, part, CAST(whole * size + part AS BIGINT) AS taken FROM parts
 """
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op10_warc"] = op10_warc
+# Base32 takes the 160 bits of the digest in groups of five; 40 hex digits are 8 groups of 20 bits.
+ORACLES["op10_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+marked AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS first FROM p)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (CAST(concat('0x', substr(hex, CAST(1 + (i // 4) * 5 AS BIGINT), 5)) AS BIGINT)
+             >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM marked
+"""

@@ -15,8 +15,13 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20  # text bytes worked on at a time, unless one text is longer
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SEPARATOR = np.zeros(256, dtype=bool)
-_SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: By byte: 0 for separators, and one kind for all others.
+WORD = np.ones(256, dtype=np.uint8)
+WORD[[0x20, *range(0x09, 0x0E)]] = 0
+#: By byte: separators, letters and digits (all of UTF-8 above ASCII too), other signs.
+WORD_OR_SIGNS = WORD * 2
+for _a, _b in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
+    WORD_OR_SIGNS[_a:_b] = 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -75,17 +80,22 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 class Words:
-    """The words of a slice of texts: `start`, `end` (bytes), `hash`, and `row` offsets into them."""
+    """The words of a slice of texts: `start`, `end` (bytes), `hash`, and `row` offsets into them.
 
-    def __init__(self, column: pa.Array, lower: bool = True):
+    `kinds` gives each byte's kind; a word is a run of bytes of one kind other than 0.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool = True, kinds: np.ndarray = WORD):
         data, self.offsets = raw_bytes(column)
         self.data = _LOWER[data] if lower else data
-        word = ~_SEPARATOR[data]
+        kind = kinds[data]
+        word = kind > 0
         first = word.copy()
         last = word.copy()
         if len(data):
-            first[1:] &= ~word[:-1]
-            last[:-1] &= ~word[1:]
+            change = kind[1:] != kind[:-1]
+            first[1:] &= change
+            last[:-1] &= change
             cuts = self.offsets[1:-1]  # texts stand side by side, a word ends with its text
             cuts = cuts[(cuts > 0) & (cuts < len(data))]
             first[cuts] |= word[cuts]
