@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bytebpe, mixing, quality, topk, warc
+from stayline.llm import bytebpe, forest, mixing, quality, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +55,33 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op5_byte_bpe"] = op5_byte_bpe
 
 
+def op7_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), n_words=4)
+
+
+QUERIES["op7_forest"] = op7_forest
+ORACLES["op7_forest"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM w),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM sets),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common, any_value(a.n) AS nx, any_value(b.n) AS ny
+  FROM one a JOIN one b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs WHERE 100 * common >= 80 * (nx + ny - common)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM reach r JOIN ways e ON e.x = r.node),
+least AS (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s JOIN least USING (doc_id)
+"""
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "whole", "part")
