@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bytebpe, forest, mixing, quality, topk, warc
+from stayline.llm import bytebpe, forest, lattice, mixing, multiindex, quality, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +55,29 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op5_byte_bpe"] = op5_byte_bpe
 
 
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+QUERIES["op6_multi_index"] = op6_multi_index
+ORACLES["op6_multi_index"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(vec_id, node) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON l.x = r.node),
+least AS (SELECT vec_id, min(node) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
+
+
 def op7_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), n_words=4)
 
@@ -82,6 +105,13 @@ FROM sets s JOIN least USING (doc_id)
 """
 
 
+def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"), group="lang")
+
+
+QUERIES["op8_lattice"] = op8_lattice
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "whole", "part")
