@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bytebpe, forest, lattice, mixing, multiindex, quality, topk, warc
+from stayline.llm import bytebpe, forest, lattice, mixing, multiindex, passages, quality, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op2_quality"] = op2_quality
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op3_passages"] = op3_passages
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(table(spark, sf_dir, "documents"))
 
