@@ -147,8 +147,15 @@ def _ddl(df: DataFrame, columns) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in columns)
 
 
-def encode(docs: DataFrame, path: str | None = None, text: str = "text", offsets: bool = False) -> DataFrame:
-    """All columns of `docs` but the text, with `ids array<int>` (and `starts`, `ends` in characters).
+def encode(
+    docs: DataFrame,
+    path: str | None = None,
+    text: str = "text",
+    offsets: bool = False,
+    decoded: str | None = None,
+) -> DataFrame:
+    """All columns of `docs` but the text, with `ids array<int>` (and `starts`, `ends` in characters,
+    and the text decoded from the ids in a column named `decoded`).
 
     NULL and empty texts have no ids; repeated rows are encoded alike. The vocabulary file is read
     once and sent to the executors, its size does not depend on the input. Texts are encoded
@@ -156,7 +163,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", offsets
     named ids, starts or ends are replaced.
     """
     ranks = _ranks(docs, path)
-    made = ["ids", "starts", "ends"][: 3 if offsets else 1]
+    made = ["ids", "starts", "ends"][: 3 if offsets else 1] + [decoded] * bool(decoded)
     rest = [c for c in docs.columns if c != text and c not in made]
 
     def run(batches):
@@ -171,9 +178,12 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", offsets
                     spans = [codec.offsets(t.encode(), ids[a:b]) for t, a, b in zip(texts, at, at[1:]) if t]
                     both = np.concatenate([np.zeros((0, 2), np.int64), *spans]).astype(np.int32)
                     cols += [pa.ListArray.from_arrays(at.astype(np.int32), both[:, k].copy()) for k in (0, 1)]
+                if decoded:
+                    cols.append(pa.array([codec.decode(ids[a:b]).decode() for a, b in zip(at, at[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names=[*rest, *made])
 
-    ddl = ", ".join(filter(None, [_ddl(docs, rest), *[f"{c} array<int>" for c in made]]))
+    kinds = [f"`{c}` {'string' if c == decoded else 'array<int>'}" for c in made]
+    ddl = ", ".join(filter(None, [_ddl(docs, rest), *kinds]))
     return docs.select(*[f"`{c}`" for c in [*rest, text]]).mapInArrow(run, ddl)
 
 
@@ -185,7 +195,12 @@ def decode(tokens: DataFrame, path: str | None = None, ids: str = "ids") -> Data
     def run(batches):
         codec = _codec(ranks.value)
         for batch in batches:
-            out = [None if i is None else codec.decode(i) for i in batch.column(ids).to_pylist()]
+            column = batch.column(ids)
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            sizes = column.value_lengths()
+            at = np.concatenate([[0], np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False))])
+            known = sizes.is_valid().to_pylist()
+            out = [codec.decode(flat[a:b]) if k else None for k, a, b in zip(known, at, at[1:])]
             cols = [batch.column(c) for c in rest]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.binary())], names=[*rest, "bytes"])
 

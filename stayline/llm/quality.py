@@ -121,15 +121,17 @@ def bounded_sample(labels: DataFrame, key: str = "doc_id", max_rows: int = MAX_R
     return picked.filter(F.col("order") < int(max_rows / n * 2**63))
 
 
-def score(docs: DataFrame, weights: np.ndarray, text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """All columns of `docs` but the text, with score and predicted: one dot product per row.
+def score(
+    docs: DataFrame, weights: np.ndarray, text: str = "text", threshold: float = 0.3, keep_text: bool = False
+) -> DataFrame:
+    """All columns of `docs` (the text on demand), with score and predicted: one dot product per row.
 
     Every text is read whole. NULL and empty texts get the score of the bias alone.
     """
     bits = (len(weights) - 1).bit_length() - 1
     shared = docs.sparkSession.sparkContext.broadcast(weights.tobytes())  # 2 ** bits floats
     made = ["score", "predicted"]
-    rest = [c for c in docs.columns if c != text and c not in made]
+    rest = [c for c in docs.columns if (keep_text or c != text) and c not in made]
 
     def run(batches):
         w = np.frombuffer(shared.value, dtype=np.float32).astype(np.float64)
@@ -145,7 +147,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", threshold: f
                 yield pa.RecordBatch.from_arrays(cols, names=[*rest, *made])
 
     ddl = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in rest]
-    return docs.select(*[f"`{c}`" for c in [*rest, text]]).mapInArrow(
+    return docs.select(*[f"`{c}`" for c in dict.fromkeys([*rest, text])]).mapInArrow(
         run, ", ".join([*ddl, "score double", "predicted int"])
     )
 

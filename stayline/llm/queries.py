@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bytebpe, forest, lattice, mixing, multiindex, passages, quality, topk, warc
+from stayline.llm import bytebpe, forest, langid, lattice, mixing, multiindex, passages, quality, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +55,13 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op3_passages"] = op3_passages
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
+QUERIES["op4_language"] = op4_language
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(table(spark, sf_dir, "documents"))
 
