@@ -7,13 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, RobustScaler, VectorAssembler
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.hashing import md5_uniform
 from stayline.operators.cluster_metrics import external_metrics
+from stayline.operators.quality import to_long
+from stayline.operators.ranks import exact_quantiles
 from stayline.operators.scaling import fit_standard
 from stayline.schema import FEATURES_8
 from stayline.session import local_table, materialize
@@ -44,7 +46,7 @@ def to_vectors(df: DataFrame, features=FEATURES_8, scaler: dict | None = None) -
     return out.drop(*names)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 20) -> KMeansModel:
+def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300) -> KMeansModel:
     """Best of several seeds by training cost (Spark has no restart parameter)."""
     best = None
     for i in range(restarts):
@@ -60,14 +62,29 @@ def fit_segmentation(df: DataFrame, features=FEATURES_8, k: int = 2, restarts: i
     return Segmentation(scaler, fit_kmeans(vectors, k, restarts, seed), tuple(features))
 
 
+def davies_bouldin(assigned: DataFrame, centers) -> float:
+    """From the mean distance of each cluster's rows to its centre: k rows reach the driver."""
+    gaps = F.zip_with(vector_to_array("features"), F.get(F.lit([list(map(float, c)) for c in centers]), F.col("prediction")), lambda x, c: (x - c) * (x - c))
+    far = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda t, x: t + x))
+    spread = {r["prediction"]: r["s"] for r in assigned.groupBy("prediction").agg(F.avg(far).alias("s")).collect()}
+    worst = [
+        max((spread[i] + spread[j]) / (math.dist(centers[i], centers[j]) or math.inf) for j in spread if j != i)
+        for i in spread
+        if len(spread) > 1
+    ]
+    return sum(worst) / len(worst) if worst else 0.0
+
+
 def elbow(vectors: DataFrame, ks=range(2, 9), restarts: int = 10, seed: int = 42) -> DataFrame:
-    """k, inertia (two decimals) and squared silhouette; one fit per k over written vectors."""
+    """k, inertia (two decimals), squared silhouette and Davies-Bouldin; fits per k over written vectors."""
     rows = []
     for k in ks:
         model = fit_kmeans(vectors, k, restarts, seed)
         scored = model.transform(vectors)
-        rows.append((k, round(model.summary.trainingCost, 2), ClusteringEvaluator().evaluate(scored)))
-    return local_table(vectors.sparkSession, rows, "k int, inertia double, silhouette_sq double")
+        index = davies_bouldin(scored, model.clusterCenters())
+        rows.append((k, round(model.summary.trainingCost, 2), ClusteringEvaluator().evaluate(scored), index))
+    ddl = "k int, inertia double, silhouette_sq double, davies_bouldin double"
+    return local_table(vectors.sparkSession, rows, ddl)
 
 
 def fit_bisecting(vectors: DataFrame, k: int = 2, seed: int = 42):
@@ -93,14 +110,18 @@ def pca_2d(vectors: DataFrame, keep=()) -> tuple[DataFrame, list[float]]:
     return points, list(model.explainedVariance)
 
 
-def robust_scaled(vectors: DataFrame) -> DataFrame:
-    """Median and quartile scaling, for features with outliers."""
-    scaler = RobustScaler(inputCol="features", outputCol="robust", withCentering=True)
-    return scaler.fit(vectors).transform(vectors)
+def robust_scaled(df: DataFrame, features) -> DataFrame:
+    """Columns scaled by exact median and quartile distance, for features with outliers.
+
+    One row per feature reaches the driver. A quartile distance of 0 scales by 1.
+    """
+    marks = exact_quantiles(to_long(df, features), "value", (0.25, 0.5, 0.75), ["feature"]).collect()
+    by = {r["feature"]: (r["q1"], (r["q2"] - r["q0"]) or 1.0) for r in marks}
+    return df.withColumns({f: (F.col(f).cast("double") - by[f][0]) / by[f][1] for f in features if f in by})
 
 
 def stability(
-    vectors: DataFrame, key: str, k: int = 2, runs: int = 10, share: int = 80, seed: int = 42, restarts: int = 3
+    vectors: DataFrame, key: str, k: int = 2, runs: int = 10, share: int = 80, seed: int = 42, restarts: int = 10
 ) -> DataFrame:
     """ARI of each bootstrap run (a stable share of the rows) against a fit on all rows."""
     base = fit_kmeans(vectors, k, restarts, seed).setPredictionCol("_base")

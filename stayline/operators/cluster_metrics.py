@@ -8,14 +8,10 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.operators.ranks import exact_quantiles
-from stayline.operators.split import capture_sample
-from stayline.session import materialize
 
 
 def fit_centroids(df: DataFrame, features, group: str) -> dict[int, list[float]]:
@@ -136,73 +132,17 @@ def internal_metrics(df: DataFrame, features, cluster: str = "cluster_id") -> Da
     )
 
 
-def _distance_sums(ids: np.ndarray, clusters: np.ndarray, mat: np.ndarray, key: str, cluster: str, features):
-    """Per row of a batch: distances to a block of points, summed by the block's clusters."""
-
-    def run(batches):
-        groups = [(int(c), np.flatnonzero(clusters == c)) for c in np.unique(clusters)]
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x = pdf[list(features)].to_numpy(dtype="float64")
-            sq = (x * x).sum(1)[:, None] + (mat * mat).sum(1)[None, :] - 2 * x @ mat.T
-            dist = np.sqrt(np.maximum(sq, 0.0))
-            dist[pdf[key].to_numpy()[:, None] == ids[None, :]] = 0.0
-            for c, members in groups:
-                yield pd.DataFrame(
-                    {key: pdf[key], cluster: pdf[cluster], "_c2": c, "_d": dist[:, members].sum(1), "_n": len(members)}
-                )
-
-    return run
-
-
-def silhouette_sample_euclid(
-    df: DataFrame,
-    features,
-    key: str,
-    cluster: str = "cluster_id",
-    percent: int = 1,
-    seed: int = 42,
-    block: int = 4096,
-) -> DataFrame:
-    """Exact Euclidean silhouette on a stable md5 sample, for comparison with the default.
+def silhouette_centroids(df: DataFrame, features, centroids: dict[int, list[float]], cluster: str = "cluster_id") -> DataFrame:
+    """Adds `silhouette`, with Euclidean distances to the own and the nearest other centroid.
 
-    The sampling is the operator: distances are quadratic in the sample, so callers
-    choose the percentage. Blocks of points go to the tasks, which forward one sum per
-    row and cluster; pairs are never rows.
+    Linear in the rows, over all of them. With one centroid, or both distances 0, it is 0.
     """
-    sample = materialize(
-        capture_sample(df, percent, key, seed).select(
-            F.col(key).cast("bigint").alias(key), F.col(cluster).cast("int").alias(cluster), *features
-        ),
-        "silhouette-sample",
-    )
-    parts = max(-(-sample.count() // block), 1)
-    slot = F.pmod(F.xxhash64(key), F.lit(parts))
-    sums = None
-    for b in range(parts):
-        pts = sample.filter(slot == b).toPandas()
-        if not len(pts):
-            continue
-        run = _distance_sums(
-            pts[key].to_numpy(), pts[cluster].to_numpy(), pts[list(features)].to_numpy(dtype="float64"),
-            key, cluster, features,
-        )
-        part = sample.mapInPandas(run, f"{key} bigint, {cluster} int, _c2 int, _d double, _n bigint")
-        sums = part if sums is None else sums.unionByName(part)
-    if sums is None:
-        return sample.select(key, cluster, F.lit(0.0).alias("silhouette"))
-    per = sums.groupBy(key, cluster, "_c2").agg(F.sum("_d").alias("_d"), F.sum("_n").alias("_n"))
-    here = F.col(cluster) == F.col("_c2")
-    ab = per.groupBy(key, cluster).agg(
-        # the row itself is in its own cluster, at distance 0
-        F.min(F.when(here, F.try_divide(F.col("_d"), (F.col("_n") - 1).cast("double")))).alias("_a"),
-        F.min(F.when(~here, F.col("_d") / F.col("_n"))).alias("_b"),
-    )
-    a, b = F.col("_a"), F.col("_b")
-    return ab.select(
-        key, cluster, F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)).alias("silhouette")
-    )
+    far = {c: F.sqrt(squared_distance(features, p)) for c, p in sorted(centroids.items())}
+    own = F.array_min(F.array(*[F.when(F.col(cluster) == c, d) for c, d in far.items()]))
+    other = F.array_min(F.array(*[F.when(F.col(cluster) != c, d) for c, d in far.items()]))
+    df = df.withColumns({"_a": own, "_b": other})
+    s = F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0))
+    return df.withColumn("silhouette", s).drop("_a", "_b")
 
 
 def contingency(df: DataFrame, label: str, cluster: str) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from stayline.functions.vectors import safe_norm, unit
 
-QUERY_BLOCK = 4096  # query vectors held by a task at a time
+QUERY_BLOCK = 4096  # queries of a block, about
+SHARD_ROWS = 16_384  # documents of a shard, about
+STEP = 256  # queries multiplied at a time
 
 
 def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
@@ -18,19 +20,28 @@ def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumns({"norm": safe_norm(v), "unit": unit(v)})
 
 
-def _block_top(q_ids: list, q_mat: np.ndarray, key: str, vector: str, k: int, decimals: int):
-    """Best k documents of each Arrow batch for each query, by one matrix product."""
+def _tile(key: str, qkey: str, vector: str, k: int, decimals: int):
+    """Best k documents of a shard for each query of a block, by one matrix product per step."""
 
-    def run(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            ids = pdf[key].to_numpy()
-            scores = np.round(q_mat @ np.stack(pdf[vector].to_numpy()).astype("float64").T, decimals)
+    def run(docs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({qkey: [], key: [], "score": []}).astype({qkey: "int64", key: "int64"})
+        if not len(docs) or not len(queries):
+            return empty
+        docs = docs.sort_values(key, ascending=False)  # ties favour the larger key
+        ids, mat = docs[key].to_numpy(), np.stack(docs[vector].to_numpy()).astype("float64")
+        parts = []
+        for at in range(0, len(queries), STEP):
+            some = queries.iloc[at : at + STEP]
+            scores = np.round(np.stack(some[vector].to_numpy()).astype("float64") @ mat.T, decimals)
             take = min(k, len(ids))
-            for i, q in enumerate(q_ids):
-                order = np.lexsort((-ids, -scores[i]))[:take]
-                yield pd.DataFrame({"query_id": q, key: ids[order], "score": scores[i][order]})
+            kth = -np.partition(-scores, take - 1, axis=1)[:, take - 1]
+            row, col = np.nonzero(scores >= kth[:, None])  # the k best and their ties
+            order = np.lexsort((col, -scores[row, col], row))
+            row, col = row[order], col[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < take
+            row, col = row[best], col[best]
+            parts.append(pd.DataFrame({qkey: some[qkey].to_numpy()[row], key: ids[col], "score": scores[row, col]}))
+        return pd.concat(parts)
 
     return run
 
@@ -44,34 +55,27 @@ def search_dense(
     qkey: str = "query_id",
     decimals: int = 6,
     block: int = QUERY_BLOCK,
+    shard: int = SHARD_ROWS,
 ) -> DataFrame:
     """Top k documents per query; ties favour the larger key.
 
-    Each task multiplies its Arrow batches with a block of query vectors and forwards
-    only k rows per query and batch, so query x document pairs are never rows. A query
-    set beyond one block takes further scans of the documents, one per block.
+    Documents are dealt by hash to shards and queries to blocks of bounded size; every pair of a shard and
+    a block is one task, which forwards k rows per query. Neither side passes through the driver.
     """
-    spark = docs.sparkSession
-    n = queries.count()
-    parts = -(-n // block) or 1
-    rn = F.pmod(F.xxhash64(qkey), F.lit(parts))
-    found = None
-    for b in range(parts):
-        rows = (queries.filter(rn == b) if parts > 1 else queries).select(qkey, vector).collect()
-        if not rows:
-            continue
-        q_ids = [r[0] for r in rows]
-        q_mat = np.array([r[1] for r in rows], dtype="float64")
-        part = docs.select(F.col(key).cast("bigint").alias(key), vector).mapInPandas(
-            _block_top(q_ids, q_mat, key, vector, k, decimals),
-            f"query_id bigint, {key} bigint, score double",
-        )
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], f"{qkey} bigint, {key} bigint, score double, rank int")
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(key).desc())
-    best = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return best.withColumnRenamed("query_id", qkey)
+
+    def dealt(df: DataFrame, name: str, rows: int, id_: str) -> tuple[DataFrame, int]:
+        parts = -(-df.count() // rows) or 1
+        kept = df.select(F.col(id_).cast("bigint").alias(id_), vector)
+        return kept.withColumn(name, F.pmod(F.xxhash64(id_), F.lit(parts)).cast("int")), parts
+
+    doc_rows, shards = dealt(docs, "_shard", shard, key)
+    query_rows, blocks = dealt(queries, "_block", block, qkey)
+    doc_rows = doc_rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    query_rows = query_rows.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    tiles = doc_rows.groupBy("_shard", "_block").cogroup(query_rows.groupBy("_shard", "_block"))
+    found = tiles.applyInPandas(_tile(key, qkey, vector, k, decimals), f"{qkey} bigint, {key} bigint, score double")
+    w = Window.partitionBy(qkey).orderBy(F.col("score").desc(), F.col(key).desc())
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def group_centroids(df: DataFrame, group: str, vector: str, dims: int) -> DataFrame:

@@ -3,24 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-HOT_ONE_IN = 1000
+SKEW_JOIN = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join to a table with unique keys.
+    """Left join to a table with unique keys; each side is read once.
 
-    Keys with at least one in 1000 of the left rows are hot; there can be at most 1000 of
-    them, so their right rows are broadcast. All other rows meet through a shuffle in
-    which no key is large. Rows with a NULL key match nothing and skip the shuffle.
+    A key with a third of all rows makes one large partition of `left`. Spark's skew join, which
+    must be on (its default), cuts such a partition by the tasks that wrote it and gives each piece the
+    partition's rows of `right`, at most one per key. The limit is a partition's size, so keys just below it
+    are no load either. Rows with a NULL key match nothing and are cut alike.
     """
-    counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.agg(F.count(F.lit(1))).scalar()
-    hot = counts.filter(F.col("_n") * HOT_ONE_IN >= total).select(key, F.lit(True).alias("_hot"))
-    marked = left.join(F.broadcast(hot), key, "left")
-    hot_rows = F.broadcast(right.join(F.broadcast(hot.select(key)), key, "left_semi"))
-    is_hot = F.coalesce("_hot", F.lit(False)) | F.col(key).isNull()
-    via_broadcast = marked.filter(is_hot).drop("_hot").join(hot_rows, key, "left")
-    via_shuffle = marked.filter(~is_hot).drop("_hot").join(right, key, "left")
-    return via_broadcast.unionByName(via_shuffle)
+    spark = left.sparkSession
+    off = [c for c in SKEW_JOIN if spark.conf.get(c, "true").lower() != "true"]
+    if off:
+        raise ValueError(f"lookup_join needs {' and '.join(off)}")
+    return left.join(right, key, "left")

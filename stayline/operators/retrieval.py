@@ -57,17 +57,22 @@ class TfidfIndex:
 
 
 def term_counts(docs: DataFrame, key: str, text: str, keep=()) -> DataFrame:
-    """(key, term, count) over 1- and 2-grams; `keep` columns depend on the key.
+    """(key, term, count) over 1- and 2-grams; `key` is unique, `keep` columns depend on it.
 
-    The text is hashed by key before it is exploded: the n-grams of a document are then
-    counted in place, and only the (smaller) text crosses the network. The number of
-    partitions is fixed, since they grow several times over when exploded.
+    N-grams are counted inside the row, as the lengths of the runs in their sorted array, so neither
+    texts nor n-grams are moved.
     """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_key = docs.select(key, *keep, text).repartition(n, key)
-    toks = by_key.select(key, *keep, tokens(F.col(text)).alias("_t"))
-    grams = toks.select(key, *keep, F.explode(uni_bigrams(F.col("_t"))).alias("term"))
-    return grams.groupBy(key, *keep, "term").agg(F.count(F.lit(1)).alias("count"))
+
+    def runs(g):
+        n = F.size(g)
+        starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.get(g, i - 1) != F.get(g, i - 2)))
+        ends = F.concat(F.slice(starts, F.lit(2), F.greatest(F.size(starts), F.lit(1))), F.array(n + 1))
+        return F.zip_with(starts, ends, lambda a, b: F.struct(F.get(g, a - 1).alias("term"), (b - a).cast("bigint").alias("count")))
+
+    grams = docs.select(key, *keep, uni_bigrams(tokens(F.col(text))).alias("_g")).filter(F.size("_g") > 0)
+    # The array of one array binds the sorted n-grams to a name, so that they are sorted once.
+    counted = F.get(F.transform(F.array(F.array_sort("_g")), runs), F.lit(0))
+    return grams.select(key, *keep, F.explode(counted).alias("_r")).select(key, *keep, "_r.term", "_r.count")
 
 
 def _with_idf(postings: DataFrame, terms: DataFrame) -> DataFrame:

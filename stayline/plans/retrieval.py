@@ -58,8 +58,15 @@ def documents(spark, sf) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "lang", "text")
 
 
+_INDEXES: dict = {}
+
+
 def doc_index(spark, sf) -> retrieval.TfidfIndex:
-    return retrieval.build_index(documents(spark, sf), "doc_id", "text", segment="lang")
+    """The index of a corpus, built once per application and shared by all queries on it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _INDEXES:
+        _INDEXES[key] = retrieval.build_index(documents(spark, sf), "doc_id", "text", segment="lang")
+    return _INDEXES[key]
 
 
 def text_queries(spark, sf) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from stayline.operators import cluster_metrics as cm
 from stayline.operators import metrics, score, segment
+from stayline.operators.cluster_metrics import assign_nearest, fit_centroids
+from stayline.operators.dense import group_centroids
 from stayline.operators.ranks import exact_quantiles, prefix_sums
 from stayline.operators.scaling import apply_minmax, fit_minmax, log_scale
 from stayline.plans.base import (
@@ -32,6 +34,7 @@ from stayline.session import materialize
 from stayline.sources.readers import explode_cards, parse_cards
 from stayline.sources.writers import nest_cards
 
+DIMS = 64  # components of an embedding
 Z = z_names()
 _Z_ROUND = ", ".join(f"round({z}, 6) AS {z}" for z in Z)
 
@@ -195,16 +198,37 @@ def external_cluster_metrics(spark, sf) -> DataFrame:
 
 
 @query(
-    "WITH lc AS (SELECT label, CASE WHEN embedding[1] > 0 THEN 1 ELSE 0 END + CASE WHEN embedding[2] > 0 THEN 2 ELSE 0 END AS c FROM embeddings),"
+    """WITH parts AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+    means AS (SELECT label AS c, i, avg(x) AS x FROM parts GROUP BY ALL),
+    gaps AS (SELECT vec_id, label, c, round(sum((p.x - q.x) * (p.x - q.x)), 9) AS d FROM parts p JOIN means q ON p.i = q.i GROUP BY ALL),
+    lc AS (SELECT vec_id, label, arg_min(c, (d, c)) AS c FROM gaps GROUP BY ALL),"""
     + external_sql("lc", "label", "lc.c")
 )
 def embedding_label_agreement(spark, sf) -> DataFrame:
-    """External metrics of a sign hash of the vectors against their labels."""
-    v = F.col("embedding")
-    hashed = table(spark, sf, "embeddings").select(
-        "label", (F.when(v[0] > 0, 1).otherwise(0) + F.when(v[1] > 0, 2).otherwise(0)).alias("c")
-    )
-    return _rounded(cm.external_metrics(hashed, "label", "c"), *_EXT_NAMES)
+    """External metrics of the nearest label centroid, over all components, against the labels."""
+    v = table(spark, sf, "embeddings").select("label", F.col("embedding").cast("array<double>").alias("v"))
+    cents = group_centroids(v, "label", "v", DIMS).collect()  # one row per label
+    distance = [
+        F.round(F.aggregate(F.zip_with("v", F.array(*map(F.lit, r["centroid"])), lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda s, x: s + x), 9)
+        for r in cents
+    ]
+    best = F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(r["label"]).alias("c")) for d, r in zip(distance, cents)]))
+    return _rounded(cm.external_metrics(v.select("label", best["c"].alias("c")), "label", "c"), *_EXT_NAMES)
+
+
+_OTHER = "(SELECT c2.customer_id, min(d) AS b FROM (SELECT clus.customer_id, cid, sqrt(" + DIST_SQL + ") AS d FROM clus, cent WHERE cid <> clus.cluster_id) c2 GROUP BY c2.customer_id)"
+
+
+@query(
+    f"""WITH {CLUSTERED} SELECT clus.customer_id, clus.cluster_id, round((b - sqrt(sq_distance)) / greatest(b, sqrt(sq_distance)), 6) AS silhouette
+    FROM clus JOIN {_OTHER} o ON o.customer_id = clus.customer_id"""
+)
+def silhouette_euclid(spark, sf) -> DataFrame:
+    """Euclidean silhouette of every row by its distances to the own and the nearest other centroid."""
+    scaled = scaled_customers(spark, sf)
+    cents = fit_centroids(scaled, Z, "segmento")
+    df = assign_nearest(scaled, Z, cents)
+    return _rounded(cm.silhouette_centroids(df, Z, cents).select("customer_id", "cluster_id", "silhouette"), "silhouette")
 
 
 @query(f"WITH {CLUSTERED} SELECT round(sum(sq_distance), 4) AS inertia FROM clus")
@@ -392,7 +416,7 @@ def list_segment_profiles(spark, sf) -> DataFrame:
 def scored_with_cards(spark, sf) -> DataFrame:
     """Clustered, scored customers with their card label."""
     clustered = clustered_customers(spark, sf)
-    known = _cards_of(clustered).filter("n_amostras >= 20")
+    known = _cards_of(clustered)
     return score.lookup_cards(clustered.withColumn("score", raw_score()), known)
 
 
@@ -403,7 +427,7 @@ _BAND = "CASE WHEN p < 0.30 THEN 'BAIXO' WHEN p < 0.60 THEN 'MÉDIO' ELSE 'ALTO'
     f"""WITH {CARDS}, sc AS (SELECT clus.*, {RAW_SCORE} AS p FROM clus)
     SELECT customer_id, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS churn_prediction, round_even(p, 4) AS churn_probability,
       {_BAND} AS risk_level, 'unknown' AS model_version, sc.cluster_id, cards.perfil_label, sc.segmento
-    FROM sc LEFT JOIN cards ON sc.segmento = cards.segmento AND sc.cluster_id = cards.cluster_id AND n_amostras >= 20"""
+    FROM sc LEFT JOIN cards ON sc.segmento = cards.segmento AND sc.cluster_id = cards.cluster_id"""
 )
 def prediction_responses(spark, sf) -> DataFrame:
     return score.respond(scored_with_cards(spark, sf), "score")

@@ -9,7 +9,7 @@ from stayline.operators import split
 from stayline.plans.base import CLEAN, clean_customers, md5_mod, query
 from stayline.session import materialize
 
-_EXACT = (
+EXACT = (
     CLEAN
     + """,
 ranked AS (
@@ -25,7 +25,7 @@ def labels(spark, sf) -> DataFrame:
     return materialize(clean_customers(spark, sf).select("customer_id", "churn"), "labels")
 
 
-@query(f"WITH {_EXACT} SELECT * FROM exact")
+@query(f"WITH {EXACT} SELECT * FROM exact")
 def exact_stratified_split(spark, sf) -> DataFrame:
     return split.exact_split(labels(spark, sf)).select("customer_id", "churn", "split")
 
@@ -54,7 +54,7 @@ def stratified_folds(spark, sf) -> DataFrame:
 
 
 @query(
-    f"""WITH {_EXACT} SELECT
+    f"""WITH {EXACT} SELECT
       (SELECT count(*) FROM (SELECT customer_id FROM exact WHERE split = 'train'
         INTERSECT SELECT customer_id FROM exact WHERE split = 'test')) AS leaked,
       (SELECT count(*) FROM exact) AS n_rows"""
@@ -68,7 +68,7 @@ def split_leakage(spark, sf) -> DataFrame:
 
 
 @query(
-    f"""WITH {_EXACT} SELECT customer_id, churn FROM exact WHERE split = 'train' AND churn = 1
+    f"""WITH {EXACT} SELECT customer_id, churn FROM exact WHERE split = 'train' AND churn = 1
     UNION ALL SELECT customer_id, churn FROM exact WHERE split = 'train' AND churn = 0"""
 )
 def union_class_splits(spark, sf) -> DataFrame:

@@ -1,8 +1,10 @@
 """Streaming jobs over file sources.
 
 Sinks are written per micro-batch into a folder named by the batch number, so a batch
-that runs again after a failure replaces its own output. Every stateful job takes a
-watermark, one hour unless given: rows later than that are dropped and counted.
+that runs again after a failure replaces its own output. Jobs keep no state in Spark: each
+batch writes aggregates that can be merged (counts, sums, histograms, the first or newest row
+of a key), and reading merges them. So no row is ever too late to count, whatever the number and order
+of files; rows later than a delay are counted in a log, not dropped.
 """
 
 from __future__ import annotations
@@ -15,9 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stayline.operators import score, validate
 from stayline.operators.clean import latest_per_key
+from stayline.operators.ranks import prefix_sums, quantiles_from
 from stayline.operators.split import capture_sample
 
-WATERMARK = "1 hour"
+DELAY = "1 hour"
 BATCH = "_batch"
 
 
@@ -38,36 +41,63 @@ def append_to(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> S
     return start(df, lambda b, i: _write_batch(b, i, path), checkpoint, "append", once)
 
 
-def update_to(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Changed result rows per batch; `latest_updates` gives the current table."""
-    return start(df, lambda b, i: _write_batch(b, i, path), checkpoint, "update", once)
+def merge_to(df: DataFrame, parts: Callable, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """`parts(batch)`, mergeable aggregates of each batch, appended; the reader merges them."""
+    return start(df, lambda b, i: _write_batch(parts(b), i, path), checkpoint, "append", once)
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH)
 
 
-def latest_updates(spark: SparkSession, path: str, keys) -> DataFrame:
-    """Newest version of each result row of an update-mode job."""
-    rows = spark.read.parquet(path)
-    key = keys[0] if len(keys) == 1 else "_key"
-    if len(keys) > 1:
-        rows = rows.withColumn("_key", F.struct(*keys))
-    return latest_per_key(rows, key, BATCH, BATCH).drop("_key", BATCH)
+def compact(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace all batches written so far by one merged table.
 
+    `merge` must give the same result on merged and unmerged rows. The merged rows take the place of
+    the newest batch, in a new folder beside the old one, which readers use until the next call.
+    """
+    newest = spark.read.parquet(path).agg(F.max(BATCH)).first()[0]
+    done = f"{path.rstrip('/')}-compacted"
+    merge(read_appended(spark, path)).write.mode("overwrite").parquet(f"{done}/{BATCH}={newest}")
+
+
+def _log_arrivals(batch: DataFrame, number: int, ts: str, delay: str, log: str) -> None:
+    spark = batch.sparkSession
+    newest = None
+    if number:
+        newest = spark.read.parquet(log).filter(F.col(BATCH) < number).agg(F.max("newest")).first()[0]
+    late = F.lit(0)
+    if newest is not None:
+        late = F.count(F.when(F.col(ts) < F.lit(newest) - F.expr(f"interval {delay}"), 1))
+    row = batch.agg(F.count(F.lit(1)).alias("rows"), late.cast("bigint").alias("late_rows"), F.max(ts).alias("newest"))
+    _write_batch(row, number, log)
+
+
+def windows_to(
+    df: DataFrame,
+    ts: str,
+    parts: Callable[[DataFrame], DataFrame],
+    output: str,
+    log: str,
+    checkpoint: str,
+    delay: str = DELAY,
+    once: bool = True,
+) -> StreamingQuery:
+    """Windowed aggregates of every row, early or late, and a log of arrivals.
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as later than the watermark, over all batches of the query."""
-    total = 0
-    for progress in query.recentProgress:
-        for op in progress["stateOperators"]:
-            total += int(op["numRowsDroppedByWatermark"])
-    return total
+    `parts` makes mergeable rows per window. The log has a row per batch: rows, late_rows (input
+    rows more than `delay` older than the newest row of earlier batches) and the newest time.
+    """
 
+    def handle(batch: DataFrame, number: int) -> None:
+        _write_batch(parts(batch), number, output)
+        _log_arrivals(batch, number, ts, delay, log)
 
-def with_watermark(df: DataFrame, ts: str, delay: str = WATERMARK) -> DataFrame:
-    """Event time needs the zoned timestamp type."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    return start(df, handle, checkpoint, "append", once)
+
+
+def arrivals(spark: SparkSession, log: str) -> DataFrame:
+    return spark.read.parquet(log).select(F.col(BATCH).cast("bigint").alias("batch"), "rows", "late_rows")
 
 
 # --- jobs ----------------------------------------------------------------------------
@@ -98,9 +128,20 @@ def score_requests(
     return start(requests, handle, checkpoint, "append", once)
 
 
-def first_per_key(df: DataFrame, key: str, ts: str, delay: str = WATERMARK) -> DataFrame:
-    """Streaming deduplication; the first row of a key inside the watermark wins."""
-    return with_watermark(df, ts, delay).dropDuplicatesWithinWatermark([key])
+def first_rows(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
+    """Earliest row per key; summed up in the tasks first, so a key with very many rows is no load."""
+    rest = [c for c in df.columns if c not in (key, ts, tiebreak)]
+    first = df.groupBy(key).agg(F.min(F.struct(ts, tiebreak, *rest)).alias("_first"))
+    return first.select(key, *[F.col(f"_first.{c}").alias(c) for c in (ts, tiebreak, *rest)])
+
+
+def first_wins(df: DataFrame, key: str, ts: str, tiebreak: str, path: str, checkpoint: str, once: bool = True):
+    """Deduplication of a stream: the earliest row of each key, over all batches (`read_first`)."""
+    return merge_to(df, lambda b: first_rows(b, key, ts, tiebreak), path, checkpoint, once)
+
+
+def read_first(spark: SparkSession, path: str, key: str, ts: str, tiebreak: str) -> DataFrame:
+    return first_rows(read_appended(spark, path), key, ts, tiebreak)
 
 
 def latest_wins(df: DataFrame, key: str, ts: str, tiebreak: str, path: str, checkpoint: str, once: bool = True):
@@ -125,33 +166,63 @@ def _flat_window(df: DataFrame) -> DataFrame:
     return df.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest)
 
 
-def latency_aggs(value: str) -> list[Column]:
-    q = F.percentile_approx(value, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)), 10000)
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.avg(value).alias("mean"),
-        q[0].alias("p50"),
-        q[1].alias("p95"),
-        q[2].alias("p99"),
-    ]
+WINDOW = ("window_start", "window_end")
+
+
+def value_counts(df: DataFrame, ts: str, value: str, width: str = "1 day") -> DataFrame:
+    """Histogram of a value per tumbling window; histograms of parts of the rows add up."""
+    counts = df.groupBy(_in_window(ts, width, None).alias("window"), F.col(value).alias("value"))
+    return _flat_window(counts.agg(F.count(F.lit(1)).alias("n")))
+
+
+def latency_from(counts: DataFrame) -> DataFrame:
+    """Requests, mean and exact percentiles per window from histograms. NULL values only count as requests."""
+    whole = counts.groupBy(*WINDOW, "value").agg(F.sum("n").alias("n"))
+    known = F.col("value").isNotNull()
+    stats = whole.groupBy(*WINDOW).agg(
+        F.sum("n").alias("n"), (F.sum(F.col("value") * F.col("n")) / F.sum(F.when(known, F.col("n")))).alias("mean")
+    )
+    ranked = prefix_sums(whole.filter(known), "value", ["n"], WINDOW)
+    marks = quantiles_from(ranked, "value", (0.5, 0.95, 0.99), WINDOW)
+    marks = marks.withColumnsRenamed({"q0": "p50", "q1": "p95", "q2": "p99"})
+    return stats.join(marks, list(WINDOW), "left")
 
 
 def latency_stats(df: DataFrame, ts: str, value: str, width: str = "1 day") -> DataFrame:
-    """Requests, mean and percentiles per tumbling window (batch or stream)."""
-    return _flat_window(df.groupBy(_in_window(ts, width, None).alias("window")).agg(*latency_aggs(value)))
+    return latency_from(value_counts(df, ts, value, width))
+
+
+def rate_counts(df: DataFrame, ts: str, indicator: Column, width: str, step: str | None = None) -> DataFrame:
+    """Rows and rows with the indicator per (sliding) window."""
+    counts = df.groupBy(_in_window(ts, width, step).alias("window")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(indicator).alias("hits")
+    )
+    return _flat_window(counts)
+
+
+def rate_from(counts: DataFrame) -> DataFrame:
+    whole = counts.groupBy(*WINDOW).agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    return whole.select(*WINDOW, "n", (F.col("hits") / F.col("n")).alias("rate"))
 
 
 def rate_in_windows(df: DataFrame, ts: str, indicator: Column, width: str, step: str | None = None) -> DataFrame:
     """Share of rows with the indicator per (sliding) window."""
-    agg = df.groupBy(_in_window(ts, width, step).alias("window")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(indicator.cast("double")).alias("rate")
-    )
-    return _flat_window(agg)
+    return rate_from(rate_counts(df, ts, indicator, width, step))
+
+
+def drift_from_baseline(rates: DataFrame, baseline: float, limit: float) -> DataFrame:
+    """Each window's rate against the rate of a reference period, and whether it moved by more than `limit`."""
+    moved = F.col("rate") - F.lit(baseline)
+    return rates.withColumns({"baseline": F.lit(baseline), "drifted": (F.abs(moved) > limit).cast("int")})
 
 
 def running_totals(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
+def totals_from(parts: DataFrame, key: str) -> DataFrame:
+    return parts.groupBy(key).agg(F.sum("n").alias("n"))
+
+
 def captured(df: DataFrame, key: str, percent: int = 20, seed: int = 42) -> DataFrame:
     return capture_sample(df, percent, key, seed)

@@ -45,12 +45,25 @@ def test_silhouette_closed_form(spark):
     assert np.mean(list(got.values())) == pytest.approx(ClusteringEvaluator().evaluate(vec))
 
 
-@pytest.mark.parametrize("block", [7, 4096])
-def test_euclidean_sample_equals_brute_force(spark, block):
+def test_centroid_silhouette_and_davies_bouldin(spark):
     df, rows = points(spark)
-    got = {r["id"]: r["silhouette"] for r in cm.silhouette_sample_euclid(df, COLS, "id", "c", percent=100, block=block).collect()}
-    want = brute_silhouette(rows, False)
-    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-7) for i in want)
+    cents = cm.fit_centroids(df, COLS, "c")
+    got = {r["id"]: r["silhouette"] for r in cm.silhouette_centroids(df, COLS, cents, "c").collect()}
+    for i, x, y, c in rows:
+        far = {k: math.dist((x, y), p) for k, p in cents.items()}
+        a, b = far.pop(c), min(far.values())
+        assert got[i] == pytest.approx((b - a) / max(a, b))
+    vec = cluster.to_vectors(df, COLS).withColumn("prediction", F.col("c"))
+    index = cluster.davies_bouldin(vec, [cents[k] for k in sorted(cents)])
+    assert index == pytest.approx(cm.internal_metrics(df, COLS, "c").first()["davies_bouldin"])
+    one = cm.silhouette_centroids(df, COLS, {0: [0.0, 0.0]}, "c").agg(F.max("silhouette")).first()[0]
+    assert one == 0.0
+
+
+def test_robust_scaling_is_exact(spark):
+    df = spark.createDataFrame([(float(i), 7.0) for i in range(101)], "a double, b double")
+    got = sorted((r["a"], r["b"]) for r in cluster.robust_scaled(df, ("a", "b")).collect())
+    assert got[0][0] == -1.0 and got[-1][0] == 1.0 and {b for _, b in got} == {0.0}
 
 
 def test_cluster_of_one_point_scores_zero(spark):

@@ -33,20 +33,42 @@ def rows_of(df):
     return sorted(map(tuple, df.select(*sorted(df.columns)).collect()))
 
 
-def test_windows_over_many_batches_equal_the_batch_result(spark, folder, tmp_path):
-    live = jobs.latency_stats(jobs.with_watermark(stream(spark, folder), "ts"), "ts", "value")
-    q = jobs.update_to(live, str(tmp_path / "out"), str(tmp_path / "state"))
+def shuffled(spark, path, parts, rows):
+    """Files that arrive out of time order."""
+    order = list(range(parts))
+    random.Random(1).shuffle(order)
+    for k in order:
+        part = [r for r in rows if r[0] * parts // len(rows) == k]
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return order
+
+
+def test_windows_are_complete_whatever_the_order_of_files(spark, tmp_path):
+    path, rows = str(tmp_path / "in"), events()
+    shuffled(spark, path, 7, rows)
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    q = jobs.windows_to(stream(spark, path), "ts", lambda b: jobs.value_counts(b, "ts", "value"), out, log, str(tmp_path / "state"))
     q.awaitTermination()
-    assert len({p["batchId"] for p in q.recentProgress}) >= 6
-    got = jobs.latest_updates(spark, str(tmp_path / "out"), ["window_start", "window_end"])
-    want = jobs.latency_stats(spark.createDataFrame(events(), SCHEMA), "ts", "value")
+    want = jobs.latency_stats(spark.createDataFrame(rows, SCHEMA), "ts", "value")
+    got = jobs.latency_from(jobs.read_appended(spark, out))
     assert rows_of(got.drop("mean")) == rows_of(want.drop("mean"))
+    arrived = jobs.arrivals(spark, log).collect()
+    assert len(arrived) == 7 and sum(r["rows"] for r in arrived) == len(rows) and sum(r["late_rows"] for r in arrived) > 0
+
+
+def test_percentiles_are_exact(spark):
+    rows = [(i, dt.datetime(2024, 1, 1), 0, float((i * 7919) % 20_000)) for i in range(20_000)] + [(-1, dt.datetime(2024, 1, 1), 0, None)]
+    r = jobs.latency_stats(spark.createDataFrame(rows, SCHEMA), "ts", "value").first()
+    assert (r["n"], r["p50"], r["p95"], r["p99"], r["mean"]) == (20_001, 9999.0, 18999.0, 19799.0, 9999.5)
 
 
 def test_running_totals(spark, folder, tmp_path):
-    jobs.update_to(jobs.running_totals(stream(spark, folder), "user_id"), str(tmp_path / "o"), str(tmp_path / "s")).awaitTermination()
-    got = jobs.latest_updates(spark, str(tmp_path / "o"), ["user_id"])
-    assert rows_of(got) == rows_of(jobs.running_totals(spark.createDataFrame(events(), SCHEMA), "user_id"))
+    path = str(tmp_path / "o")
+    jobs.merge_to(stream(spark, folder), lambda b: jobs.running_totals(b, "user_id"), path, str(tmp_path / "s")).awaitTermination()
+    want = rows_of(jobs.running_totals(spark.createDataFrame(events(), SCHEMA), "user_id"))
+    assert rows_of(jobs.totals_from(jobs.read_appended(spark, path), "user_id")) == want
+    jobs.compact(spark, path, lambda d: jobs.totals_from(d, "user_id"))
+    assert rows_of(jobs.totals_from(jobs.read_appended(spark, path + "-compacted"), "user_id")) == want
 
 
 def test_restart_goes_on_where_it_stopped(spark, folder, tmp_path):
@@ -61,26 +83,27 @@ def test_restart_goes_on_where_it_stopped(spark, folder, tmp_path):
 
 
 def test_first_and_latest_per_key(spark, folder, tmp_path):
-    jobs.append_to(jobs.first_per_key(stream(spark, folder), "user_id", "ts", "30 days"), str(tmp_path / "o"), str(tmp_path / "s")).awaitTermination()
-    firsts = jobs.read_appended(spark, str(tmp_path / "o"))
-    assert firsts.count() == firsts.select("user_id").distinct().count() == 10
+    jobs.first_wins(stream(spark, folder), "user_id", "ts", "event_id", str(tmp_path / "o"), str(tmp_path / "s")).awaitTermination()
+    firsts = jobs.read_first(spark, str(tmp_path / "o"), "user_id", "ts", "event_id")
+    assert rows_of(firsts) == rows_of(jobs.first_rows(spark.createDataFrame(events(), SCHEMA), "user_id", "ts", "event_id"))
     jobs.latest_wins(stream(spark, folder), "user_id", "ts", "event_id", str(tmp_path / "lo"), str(tmp_path / "ls")).awaitTermination()
     got = jobs.read_latest(spark, str(tmp_path / "lo"), "user_id", "ts", "event_id")
     want = latest_per_key(spark.createDataFrame(events(), SCHEMA), "user_id", "ts", "event_id")
     assert rows_of(got) == rows_of(want)
 
 
-def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+def test_late_rows_are_counted_and_kept(spark, tmp_path):
     path = str(tmp_path / "in")
     late = [(9000 + i, dt.datetime(2023, 12, 1), 1, 5.0) for i in range(7)]
     for part in (events(200), events(210)[200:], late):
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(path)
-    live = jobs.rate_in_windows(jobs.with_watermark(stream(spark, path), "ts"), "ts", F.col("value") > 100, "1 day")
-    q = jobs.update_to(live, str(tmp_path / "o"), str(tmp_path / "s"))
-    q.awaitTermination()
-    got = jobs.latest_updates(spark, str(tmp_path / "o"), ["window_start"])
-    assert got.agg(F.min("window_start")).first()[0] == dt.datetime(2024, 1, 1)
-    assert jobs.late_rows(q) >= 1 and got.agg(F.sum("n")).first()[0] == 210
+    out, log = str(tmp_path / "o"), str(tmp_path / "l")
+    parts = lambda b: jobs.rate_counts(b, "ts", F.col("value") > 100, "1 day")
+    jobs.windows_to(stream(spark, path), "ts", parts, out, log, str(tmp_path / "s")).awaitTermination()
+    got = jobs.rate_from(jobs.read_appended(spark, out))
+    assert got.agg(F.min("window_start")).first()[0] == dt.datetime(2023, 12, 1)
+    assert got.agg(F.sum("n")).first()[0] == 217
+    assert sum(r["late_rows"] for r in jobs.arrivals(spark, log).collect()) == 7
 
 
 def test_scoring_quarantines_bad_requests(spark, tmp_path):
