@@ -352,8 +352,7 @@ def score(
     words, totals = word_scores(materialize(word_counts(docs, groups, key, text, group), "words"), slots, path)
     words = materialize(words.filter(F.length("word") > 0), "word-scores")
     docs = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
-    most = words.filter("c > 0").orderBy(F.desc("c"), "word").limit(COMMON)
-    table = most.select("word", "base", *made).toPandas()  # COMMON rows at most
+    table = _most_common(words).select("word", "base", *made).toPandas()  # COMMON rows at most
     blob = b"\n".join(bytes(w) for w in table["word"])
     numbers = table[["base", *made]].to_numpy("float64").T.tobytes()
     shared = docs.sparkSession.sparkContext.broadcast((blob, numbers))
@@ -393,6 +392,19 @@ def score(
     )
 
 
+def _most_common(words: DataFrame) -> DataFrame:
+    """The words from a count on, the least count for which they are COMMON at most.
+
+    Counts are binned in steps of about 1 % (a few thousand bins, whatever the input).
+    """
+    level = F.floor(F.log2("c") * 64)
+    known = words.filter("c > 0").withColumn("_level", level)
+    bins = sorted(known.groupBy("_level").count().collect(), reverse=True)
+    sums = np.cumsum([b["count"] for b in bins])
+    fit = [b["_level"] for b, n in zip(bins, sums) if n <= COMMON]
+    return known.filter(F.col("_level") >= (fit[-1] if fit else 1 << 20))
+
+
 @functools.lru_cache(maxsize=1)
 def _common(blob: bytes, numbers: bytes):
     hashes = Words(pa.array([blob], pa.large_binary())).hash
