@@ -177,6 +177,25 @@ def coverage(df: DataFrame, assigned: str, group: str) -> DataFrame:
     )
 
 
+def compare_parts(df: DataFrame, features, is_reference) -> DataFrame:
+    """Per feature: mean, std and null_rate of the rows outside and inside the reference part, and
+    their differences (mean and std to 5 decimals)."""
+    long = to_long(df.withColumn("_ref", is_reference), features, ["_ref"])
+    aggs = []
+    for name, part in (("cur", ~F.col("_ref")), ("ref", F.col("_ref"))):
+        v = F.when(part, F.col("value"))
+        aggs += [
+            F.avg(v).alias(f"{name}_mean"),
+            F.stddev_pop(v).alias(f"{name}_std"),
+            F.avg(F.when(part, F.col("value").isNull().cast("double"))).alias(f"{name}_null_rate"),
+        ]
+    both = long.groupBy("feature").agg(*aggs)
+    gap = lambda c: F.col(f"cur_{c}") - F.col(f"ref_{c}")
+    return both.withColumns(
+        {"diff_mean": F.round(gap("mean"), 5), "diff_std": F.round(gap("std"), 5), "diff_null_rate": gap("null_rate")}
+    )
+
+
 def status_rows(metrics: DataFrame, limits=LIMITS) -> DataFrame:
     """metric, value -> ok / warn / alert and whether to retrain."""
     table = local_table(

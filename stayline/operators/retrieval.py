@@ -182,11 +182,13 @@ def _total(parts: DataFrame, qkey: str, dkey: str, name: str) -> DataFrame:
     return parts.groupBy(qkey, dkey).agg(F.sum("part").alias(name))
 
 
-def _scores(qv: DataFrame, index: TfidfIndex, qkey: str, k: int, margin: float, floor: float) -> DataFrame:
+def _scores(
+    qv: DataFrame, index: TfidfIndex, qkey: str, k: int, margin: float, floor: float, direct_pairs: int
+) -> DataFrame:
     """(query, doc, score) for every pair that can be among the k best; scores are exact.
 
     The document frequencies tell beforehand how many postings the query terms meet. Up
-    to DIRECT_PAIRS all of them are joined. Beyond that, terms found in much of the
+    to `direct_pairs` all of them are joined. Beyond that, terms found in much of the
     corpus are kept from pairing every query with every document:
 
     1. The rarest terms of a query (about LEAD_DOCS postings) give first candidates.
@@ -201,7 +203,7 @@ def _scores(qv: DataFrame, index: TfidfIndex, qkey: str, k: int, margin: float,
     """
     dkey = index.key
     qv = materialize(qv, "query-vectors")
-    if (qv.agg(F.sum("df")).first()[0] or 0) <= DIRECT_PAIRS:
+    if (qv.agg(F.sum("df")).first()[0] or 0) <= direct_pairs:
         # tf stands in for the weight; idf goes to the query side, the norm to the sum
         dots = _pair_scores(
             qv.withColumn("qw", F.col("qw") * F.col("idf")),
@@ -258,9 +260,13 @@ def search(
     segment: str | None = None,
     min_score: float | None = None,
     decimals: int | None = None,
+    direct_pairs: int = DIRECT_PAIRS,
 ) -> DataFrame:
     """Top k documents per query by cosine; ties favour the larger document key.
 
+    Both ways of scoring give the same hits; `direct_pairs` says up to how many joined postings
+    the plain one is taken.
+
     `segment` names a query column: only documents of that segment count (NULL takes
     all), applied before scores are summed. Without `min_score`, queries with fewer than
     k matches are filled up with documents of score 0, as a full scan would give.
@@ -269,7 +275,7 @@ def search(
     qv = query_vectors(queries, index, qkey, text, segment)
     # scores closer than the rounding step may tie, so they must not be cut
     margin = 1e-9 if decimals is None else 10.0**-decimals
-    scored = _scores(qv, index, qkey, k, margin, min_score or 0.0)
+    scored = _scores(qv, index, qkey, k, margin, min_score or 0.0, direct_pairs)
     if decimals is not None:
         scored = scored.withColumn("score", F.round("score", decimals))
     if min_score is not None:

@@ -6,6 +6,7 @@ from stayline.plans import (  # noqa: F401
     formats,
     models,
     monitoring,
+    reports,
     retrieval,
     segmentation,
     splits,

@@ -277,18 +277,29 @@ def prediction_capture(spark, sf) -> DataFrame:
     return split.capture_sample(scored_customers(spark, sf)).select("customer_id", "score")
 
 
+_SEARCHES = """asked AS (
+  SELECT item_id, text AS query, 'PF' AS segmento, CAST(item_id % 12 AS INTEGER) AS top_k FROM benchmark
+  UNION ALL SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN 'PF' WHEN 1 THEN 'PJ' WHEN 2 THEN upper(lang) END,
+    CASE WHEN doc_id % 3 > 0 THEN CAST(doc_id % 12 AS INTEGER) END FROM documents)"""
+
+
 @query(
-    """SELECT item_id, text AS query, CAST(3 AS INTEGER) AS top_k,
-    CASE WHEN length(text) BETWEEN 3 AND 500 THEN '' ELSE 'query:length' END AS errors FROM benchmark
-    UNION ALL SELECT doc_id, text, 3, CASE WHEN length(text) BETWEEN 3 AND 500 THEN '' ELSE 'query:length' END
-    FROM documents"""
+    f"""WITH {_SEARCHES} SELECT item_id, query, coalesce(top_k, 3) AS top_k, array_to_string(list_filter([
+      CASE WHEN NOT length(query) BETWEEN 3 AND 500 THEN 'query:length' END,
+      CASE WHEN segmento NOT IN ('PF', 'PJ') THEN 'segmento:enum' END,
+      CASE WHEN NOT coalesce(top_k, 3) BETWEEN 1 AND 10 THEN 'top_k:range' END], lambda x: x IS NOT NULL), ',') AS errors FROM asked"""
 )
 def search_request_validation(spark, sf) -> DataFrame:
-    """Search requests from benchmark items and documents; long texts are rejected."""
-    asked = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("query"))
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), F.col("text").alias("query"))
-    reqs = asked.unionByName(docs).withColumns(
-        {"segmento": F.lit(None).cast("string"), "top_k": F.lit(None).cast("int")}
+    """Search requests from benchmark items and documents, with every kind of error among them."""
+    asked = table(spark, sf, "benchmark").select(
+        "item_id", F.col("text").alias("query"), F.lit("PF").alias("segmento"), (F.col("item_id") % 12).cast("int").alias("top_k")
+    )
+    turn = F.col("doc_id") % 4
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("item_id"),
+        F.col("text").alias("query"),
+        F.when(turn == 0, "PF").when(turn == 1, "PJ").when(turn == 2, F.upper("lang")).alias("segmento"),
+        F.when(F.col("doc_id") % 3 > 0, (F.col("doc_id") % 12).cast("int")).alias("top_k"),
     )
-    checked = validate.validate_searches(reqs)
+    checked = validate.validate_searches(asked.unionByName(docs))
     return checked.select("item_id", "query", "top_k", F.array_join("errors", ",").alias("errors"))

@@ -169,13 +169,8 @@ def feature_registry(spark, sf) -> DataFrame:
     FROM (SELECT * FROM s WHERE NOT ref) c FULL JOIN (SELECT * FROM s WHERE ref) r ON c.feature = r.feature"""
 )
 def statistics_drift(spark, sf) -> DataFrame:
-    df = clean_table(spark, sf)
-    cur = quality.feature_stats(df.filter(~is_reference()), FEATURES_8)
-    ref = quality.feature_stats(df.filter(is_reference()), FEATURES_8)
-    both = quality.compare_stats(cur, ref)
-    both = _rounded(both, "cur_mean", "cur_std", "ref_mean", "ref_std")
-    raw = quality.compare_stats(cur, ref).select("feature", *[F.round(f"diff_{c}", 5).alias(f"d_{c}") for c in ("mean", "std")])
-    return both.join(raw, "feature").withColumns({"diff_mean": F.col("d_mean"), "diff_std": F.col("d_std")}).drop("d_mean", "d_std")
+    """Mean, deviation and share of NULLs of both parts, from one aggregate."""
+    return _rounded(quality.compare_parts(clean_customers(spark, sf), FEATURES_8, is_reference()), "cur_mean", "cur_std", "ref_mean", "ref_std")
 
 
 _FILLED = " + ".join(f"({f} IS NOT NULL)::INT" for f in FEATURES_8)
@@ -299,28 +294,6 @@ def profile_coverage(spark, sf) -> DataFrame:
     return quality.coverage(every.join(assigned, "customer_id", "left"), "cluster_id", "segmento")
 
 
-@query(
-    f"""WITH {CUST}, l AS (SELECT * FROM cust WHERE churn IS NOT NULL), m AS (
-      SELECT 'completeness_pct' AS metric, round(avg(({_FILLED}) / 8e0) * 100, 6) AS value FROM cust
-      UNION ALL SELECT 'churn_pct', round(avg(churn) * 100, 6) FROM l
-      UNION ALL SELECT 'freshness_days', round(avg(date_diff('day', event_date::DATE, DATE '2001-08-02')), 6) FROM l),
-    g AS (SELECT * FROM (VALUES ('completeness_pct', 'high', 80e0, 60e0), ('churn_pct', 'high', 5e0, 5e0), ('freshness_days', 'low', 30e0, 90e0)) t(metric, direction, goal, alert)),
-    s AS (SELECT m.metric, value, CASE WHEN direction = 'high' THEN CASE WHEN value >= goal THEN 'ok' WHEN value < alert THEN 'alert' ELSE 'warn' END
-       ELSE CASE WHEN value <= goal THEN 'ok' WHEN value > alert THEN 'alert' ELSE 'warn' END END AS status FROM m JOIN g ON m.metric = g.metric)
-    SELECT *, CASE WHEN status = 'alert' THEN 1 ELSE 0 END AS retrain FROM s"""
-)
-def monitoring_status(spark, sf) -> DataFrame:
-    """Quality metrics against their limits; the churn share doubles as viability check."""
-    filled = sum((F.col(f).isNotNull().cast("int") for f in FEATURES_8), F.lit(0))
-    age = F.when(F.col("churn").isNotNull(), F.date_diff(F.lit(AS_OF), F.col("event_date")))
-    wide = customers(spark, sf).agg(
-        F.round(F.avg(filled / 8.0) * 100, 6).alias("completeness_pct"),
-        F.round(F.avg(F.col("churn").cast("double")) * 100, 6).alias("churn_pct"),
-        F.round(F.avg(age), 6).alias("freshness_days"),
-    )
-    return quality.status_rows(metrics.metrics_long(wide, ["completeness_pct", "churn_pct", "freshness_days"]))
-
-
 @query(
     """WITH o AS (SELECT o_custkey, o_orderkey, o_totalprice FROM orders
       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)

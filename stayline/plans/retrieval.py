@@ -134,6 +134,13 @@ def tfidf_search(spark, sf) -> DataFrame:
     return retrieval.search(queries, doc_index(spark, sf), segment="seg", k=3, decimals=6)
 
 
+@query(f"WITH {_HITS} SELECT query_id, doc_id, score, rank FROM hits")
+def tfidf_search_pruned(spark, sf) -> DataFrame:
+    """The same search by the way that large query batches take."""
+    queries = text_queries(spark, sf)
+    return retrieval.search(queries, doc_index(spark, sf), segment="seg", k=3, decimals=6, direct_pairs=0)
+
+
 @query(
     f"""WITH {_QUERIES}{search_sql('documents', 'doc_id', 'text', 'qs', 'query_id', 'query', 12)},
     kept AS (SELECT h.query_id, h.doc_id, h.score FROM hits h JOIN documents d ON d.doc_id = h.doc_id
@@ -297,3 +304,50 @@ def card_search(spark, sf) -> DataFrame:
     )
     index = retrieval.build_index(materialize(texts, "cards"), "card_key", "text", segment="segmento")
     return retrieval.search(materialize(nation_queries(spark, sf), "nation-queries"), index, segment="seg", k=3, decimals=6)
+
+
+def _card_fields(spark, sf) -> DataFrame:
+    """Cards by key, with the fields of a search result."""
+    key = F.concat(F.lit("cluster_"), F.col("cluster_id").cast("string"))
+    profile = F.struct("n_amostras", "churn_rate", "description", "action_recommendation")
+    return cards(spark, sf).select(
+        F.concat("segmento", F.lit("/"), key).alias("card_key"),
+        "segmento",
+        "cluster_id",
+        key.alias("cluster_key"),
+        "perfil_label",
+        "risk_level",
+        profile.alias("profile"),
+    )
+
+
+@query(
+    f"""WITH {CARDS}{_NATION}{search_sql('cdocs', 'card_key', 'text', 'qs', 'query_id', 'query', 3, seg='segmento')}
+    SELECT query_id, rank, c.segmento, c.cluster_id, concat('cluster_', c.cluster_id) AS cluster_key, perfil_label, risk_level,
+      score AS relevance_score, n_amostras, churn_rate, description, action_recommendation
+    FROM hits JOIN texts c ON card_key = concat(c.segmento, '/cluster_', c.cluster_id)"""
+)
+def card_search_results(spark, sf) -> DataFrame:
+    """The hits of a card search with their seven fields; the profile is spread over columns."""
+    found = card_search(spark, sf).join(_card_fields(spark, sf), "card_key")
+    fields = ("segmento", "cluster_id", "cluster_key", "perfil_label", "risk_level")
+    return found.select("query_id", "rank", *fields, F.col("score").alias("relevance_score"), "profile.*")
+
+
+@query(
+    f"""WITH cdocs AS (SELECT doc_id, text, concat(lang, '/', source) AS kind FROM documents),
+    qs AS (SELECT item_id AS query_id, text AS query, CASE WHEN item_id % 2 = 0 THEN concat('en/src', item_id % 20) END AS seg FROM benchmark),
+    {search_sql('cdocs', 'doc_id', 'text', 'qs', 'query_id', 'query', 3, extra=', kind', seg='kind')}
+    SELECT query_id, doc_id, score, rank FROM hits"""
+)
+def filtered_search(spark, sf) -> DataFrame:
+    """Search with a filter on two properties of a document at once, its language and its source."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.concat("lang", F.lit("/"), "source").alias("kind"))
+    index = retrieval.build_index(docs, "doc_id", "text", segment="kind")
+    item = F.col("item_id")
+    queries = table(spark, sf, "benchmark").select(
+        item.alias("query_id"),
+        F.col("text").alias("query"),
+        F.when(item % 2 == 0, F.concat(F.lit("en/src"), (item % 20).cast("string"))).alias("seg"),
+    )
+    return retrieval.search(queries, index, segment="seg", k=3, decimals=6)

@@ -236,19 +236,43 @@ def cluster_inertia(spark, sf) -> DataFrame:
     return _rounded(cm.inertia(clustered_customers(spark, sf)), "inertia", digits=4)
 
 
+CLUSTER_GATES = (
+    ("silhouette_sq", ">=", 0.3),
+    ("davies_bouldin", "<", 1.5),
+    ("calinski_harabasz", ">", 0.0),
+    ("v_measure", ">=", 0.5),
+    ("homogeneity", ">=", 0.0),
+    ("homogeneity", "<=", 1.0),
+    ("completeness", ">=", 0.0),
+    ("completeness", "<=", 1.0),
+    ("adjusted_rand", ">=", -1.0),
+    ("adjusted_rand", "<=", 1.0),
+)
+_GATE_ROWS = ", ".join(f"('{m}', '{op}', {x}e0)" for m, op, x in CLUSTER_GATES)
+CLUSTER_METRICS = ("silhouette_sq", "davies_bouldin", "calinski_harabasz", *_EXT_NAMES)
+METRIC_ROWS = (
+    f"{CLUSTERED},{_SIL},{_INTERNAL}, ex AS (WITH {external_sql('clus', 'churn', 'cluster_id')}), v AS ("
+    "SELECT 'silhouette_sq' AS metric, round(silhouette_sq, 6) AS value FROM internal "
+    "UNION ALL SELECT 'davies_bouldin', round(davies_bouldin, 6) FROM internal "
+    "UNION ALL SELECT 'calinski_harabasz', round(calinski_harabasz, 4) FROM internal "
+    + " ".join(f"UNION ALL SELECT '{m}', {m} FROM ex" for m in _EXT_NAMES)
+    + ")"
+)
+
+
+def cluster_metric_rows(spark, sf) -> DataFrame:
+    """(metric, value) of all internal and external metrics."""
+    inside = metrics.metrics_long(internal_cluster_metrics(spark, sf), CLUSTER_METRICS[:3])
+    return inside.unionByName(metrics.metrics_long(external_cluster_metrics(spark, sf), _EXT_NAMES))
+
+
 @query(
-    f"""WITH {CLUSTERED},{_SIL},{_INTERNAL}, v AS (
-      SELECT 'silhouette_sq' AS metric, round(silhouette_sq, 6) AS value FROM internal
-      UNION ALL SELECT 'davies_bouldin', round(davies_bouldin, 6) FROM internal
-      UNION ALL SELECT 'calinski_harabasz', round(calinski_harabasz, 4) FROM internal),
-    g AS (SELECT * FROM (VALUES ('silhouette_sq', '>=', 0.3e0), ('davies_bouldin', '<', 1.5e0), ('calinski_harabasz', '>', 0e0)) t(metric, op, gate))
-    SELECT v.metric, value, op, gate, CASE WHEN (op = '>=' AND value >= gate) OR (op = '>' AND value > gate) OR (op = '<' AND value < gate)
-      THEN 1 ELSE 0 END AS pass FROM v JOIN g ON v.metric = g.metric"""
+    f"""WITH {METRIC_ROWS}, g AS (SELECT * FROM (VALUES {_GATE_ROWS}) t(metric, op, gate))
+    SELECT v.metric, value, op, gate, CASE WHEN (op = '>=' AND value >= gate) OR (op = '>' AND value > gate)
+      OR (op = '<' AND value < gate) OR (op = '<=' AND value <= gate) THEN 1 ELSE 0 END AS pass FROM v JOIN g ON v.metric = g.metric"""
 )
 def cluster_gates(spark, sf) -> DataFrame:
-    m = internal_cluster_metrics(spark, sf)
-    gates = (("silhouette_sq", ">=", 0.3), ("davies_bouldin", "<", 1.5), ("calinski_harabasz", ">", 0.0))
-    return metrics.apply_gates(metrics.metrics_long(m, [g[0] for g in gates]), gates)
+    return metrics.apply_gates(cluster_metric_rows(spark, sf), CLUSTER_GATES)
 
 
 _K_CENTROIDS = (2, 3, 4, 5)
