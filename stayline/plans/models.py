@@ -18,7 +18,7 @@ from stayline.operators.scaling import fit_standard
 from stayline.plans.base import CLEAN, CUST, clean_customers, clean_table, customers, md5_mod, query, table
 from stayline.plans.splits import EXACT
 from stayline.schema import FEATURES_8, FEATURES_11, GATE_AUC_REGISTER
-from stayline.session import materialize, new_path
+from stayline.session import kept_scratch, materialize, new_path
 from stayline.sources.registry import PENDING, model_metadata, register
 from stayline.sources.writers import write_report
 
@@ -37,7 +37,8 @@ def split_frames(spark, sf) -> tuple[DataFrame, DataFrame]:
 def _once(spark, sf, name, make):
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _TRAINED:
-        _TRAINED[key] = make()
+        with kept_scratch():
+            _TRAINED[key] = make()
     return _TRAINED[key]
 
 

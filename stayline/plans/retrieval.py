@@ -11,7 +11,7 @@ from stayline.operators import dense, retrieval, segment
 from stayline.plans.base import FEATURES_8, clean_customers, query, table
 from stayline.plans.evaluation import _rounded
 from stayline.plans.segmentation import CARDS, cards
-from stayline.session import materialize
+from stayline.session import kept_scratch, materialize
 
 DIMS = 64
 
@@ -65,7 +65,10 @@ def doc_index(spark, sf) -> retrieval.TfidfIndex:
     """The index of a corpus, built once per application and shared by all queries on it."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _INDEXES:
-        _INDEXES[key] = retrieval.build_index(documents(spark, sf), "doc_id", "text", segment="lang")
+        with kept_scratch():
+            index = retrieval.build_index(documents(spark, sf), "doc_id", "text", segment="lang")
+            index.postings, index.peaks  # noqa: B018  written with the index
+        _INDEXES[key] = index
     return _INDEXES[key]
 
 

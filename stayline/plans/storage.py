@@ -43,6 +43,17 @@ def csv_quarantine(spark, sf) -> DataFrame:
     return bad.select("customer_id", F.array_join("errors", ",").alias("errors"))
 
 
+@query(
+    f"""WITH {CUST} SELECT CAST(customer_id AS VARCHAR) AS customer_id, CASE WHEN satisfaction_score < 0 THEN 1 ELSE 0 END AS quarantined FROM cust
+    WHERE satisfaction_score IS NOT NULL"""
+)
+def csv_folder_load(spark, sf) -> DataFrame:
+    """The folder loader on a CSV folder: typed rows and quarantined ones, none lost."""
+    good, bad = readers.load_folder_checked(spark, csv_folder(spark, sf))
+    kept = good.select("customer_id", F.lit(0).alias("quarantined"))
+    return kept.unionByName(bad.select("customer_id", F.lit(1).alias("quarantined")))
+
+
 @query(
     f"""WITH {CLEAN}, s AS (SELECT *, CASE WHEN {md5_mod(42, 'customer_id', 100)} < 80 THEN 'train' ELSE 'test' END AS split FROM clean)
     SELECT split, data_quality_flag, count(*) AS n, CAST(sum(churn) AS BIGINT) AS churned FROM s GROUP BY ALL"""

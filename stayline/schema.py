@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names of customers, features, and columns that are never features.
 FEATURES_8 = (
     "tenure_months",
     "monthly_charges",
@@ -28,6 +29,7 @@ NON_FEATURES = (
     "data_quality_flag",
 )
 
+# Types of the customer columns.
 CUSTOMER_SCHEMA = T.StructType(
     [
         T.StructField("customer_id", T.StringType(), False),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -44,8 +46,37 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCOPES: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that are written inside once their results have been consumed."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for name in _SCOPES.pop():
+            path = hadoop.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def kept_scratch() -> Iterator[None]:
+    """Inside, tables outlive the scope around: they are shared by later queries of the application."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

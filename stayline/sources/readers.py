@@ -74,17 +74,28 @@ def _exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def load_folder(
+def load_folder_checked(
     spark: SparkSession, path: str, schema: T.StructType = CUSTOMER_SCHEMA
-) -> DataFrame:
-    """Parquet if the folder has any, else CSV, else an error."""
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows, quarantined records): Parquet if the folder has any, else CSV, else an error.
+
+    Parquet is typed already and has no quarantine (None).
+    """
     if _exists(spark, f"{path}/*.parquet"):
-        return spark.read.parquet(path)
+        return spark.read.parquet(path), None
     if _exists(spark, f"{path}/*.csv"):
-        return spark.read.schema(schema).option("header", True).csv(path)
+        return read_customers_csv(spark, path, schema)
     raise FileNotFoundError(f"no parquet or csv files in {path}")
 
 
+def load_folder(spark: SparkSession, path: str, schema: T.StructType = CUSTOMER_SCHEMA) -> DataFrame:
+    """Rows of a folder; fails on records of a CSV folder that do not fit the schema."""
+    rows, bad = load_folder_checked(spark, path, schema)
+    if bad is not None and bad.limit(1).count():
+        raise ValueError(f"{path} has records that do not fit; use load_folder_checked")
+    return rows
+
+
 def explode_cards(nested: DataFrame, column: str = "cards") -> DataFrame:
     """Flat card rows from a map segment -> cluster key -> card."""
     by_segment = nested.select(F.explode(column).alias("_segment", "_clusters"))

@@ -22,8 +22,8 @@ def write_by_month(df: DataFrame, output: str, ts: str = "event_date") -> None:
     (
         df.withColumn("year", F.year(ts))
         .withColumn("month", F.month(ts))
-        # several writers per month, so a busy month is not one task
-        .repartition("year", "month", F.pmod(F.xxhash64(*df.columns[:1]), F.lit(16)))
+        # rows of a month together where they are few; Spark cuts a busy month by its size
+        .hint("rebalance", "year", "month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
