@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -21,6 +22,9 @@ from stayline.schema import FEATURES_8
 from stayline.session import local_table, materialize
 
 
+PARALLEL_FITS = 8
+
+
 @dataclass
 class Segmentation:
     """Scaler parameters and K-means model; both are needed at scoring time."""
@@ -47,13 +51,21 @@ def to_vectors(df: DataFrame, features=FEATURES_8, scaler: dict | None = None) -
 
 
 def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300) -> KMeansModel:
-    """Best of several seeds by training cost (Spark has no restart parameter)."""
-    best = None
-    for i in range(restarts):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    """Best of several seeds by training cost (Spark has no restart parameter).
+
+    The restarts are independent fits over the same cached vectors and run side by side.
+    """
+    points = vectors.select("features").persist()
+
+    def fit(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||").fit(points)
+
+    try:
+        with ThreadPool(PARALLEL_FITS) as pool:
+            models = pool.map(fit, range(restarts))
+    finally:
+        points.unpersist()
+    return min(models, key=lambda m: m.summary.trainingCost)  # the first of equal ones
 
 
 def fit_segmentation(df: DataFrame, features=FEATURES_8, k: int = 2, restarts: int = 10, seed: int = 42) -> Segmentation:
