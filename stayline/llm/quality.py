@@ -89,8 +89,11 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", order: st
 
     def run(key, pdf):
         pdf = pdf.sort_values(order)
-        at, slots = ngram_slots(pa.array(pdf[text]), bits)
-        rows = [_row(slots[a:b], size) for a, b in zip(at, at[1:])]
+        texts = pa.RecordBatch.from_arrays([pa.array(pdf[text], pa.string())], names=[text])
+        rows = []
+        for part in slices(texts, text):
+            at, slots = ngram_slots(part.column(text), bits)
+            rows += [_row(slots[a:b], size) for a, b in zip(at, at[1:])]
         model = Ftrl(size)
         for _ in range(EPOCHS):
             for (idx, x), y in zip(rows, pdf[label]):
