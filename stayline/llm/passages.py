@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm.linking import CAP, resolve
-from stayline.llm.wordbytes import Words, distinct_sets, mix, raw_bytes, shingles, slices
+from stayline.llm.wordbytes import Words, mix, raw_bytes, sequence_ids, shingles, slices
 from stayline.session import materialize
 
 PARAGRAPH_WORDS = 25  # shorter paragraphs are not compared on their own
 WINDOW = 24  # words of a passage inside paragraphs
-SPAN = 14  # of so many neighbouring windows one is looked up at least
+SPAN = 20  # of so many neighbouring windows one is looked up at least
 MAX_HASHES = 32
 _STEP = np.uint64(0xD1342543DE82EF95)
 
@@ -43,42 +43,38 @@ def _lines(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.
     return row, starts - offsets[row], stop - offsets[row], lines
 
 
-def _set_ids(at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    return mix(np.add.reduceat(mix(hashes), at[:-1]) ^ np.diff(at).astype(np.uint64)).view(np.int64)
-
-
-def _paragraph_sets(part, text: str, least: int, n_words: int):
+def _paragraphs(part, text: str, least: int):
+    """(row, start, end, lines, words) of the lines of at least `least` words."""
     row, start, end, lines = _lines(part, text)
-    counts = Words(lines).counts if len(lines) else np.zeros(0, int)
-    long = np.flatnonzero(counts >= least)
-    lines = lines.take(pa.array(long))
     words = Words(lines)
-    at, hashes = distinct_sets(*shingles(words, n_words), len(long))
-    return row[long], start[long], end[long], lines, at, hashes
+    long = np.flatnonzero(words.counts >= least)
+    return row[long], start[long], end[long], lines.take(pa.array(long)), words.pick(long)
 
 
 def paragraphs(docs: DataFrame, key: str, text: str, least: int, n_words: int, bands: int, rows: int) -> DataFrame:
-    """(key, start, end, id, bands) of every paragraph of at least `least` words; id stands for its set."""
+    """(key, start, end, id, bands) of every paragraph of at least `least` words; id stands for its words."""
     factors = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):
-                row, start, end, _, at, hashes = _paragraph_sets(part, text, least, n_words)
+                row, start, end, _, words = _paragraphs(part, text, least)
                 if not len(row):
                     continue
+                of, hashes = shingles(words, n_words)  # in row order: no paragraph is shorter than a shingle
+                at = np.searchsorted(of, np.arange(len(row)))
                 band = np.empty((len(row), bands), dtype=np.uint64)
                 for b in range(bands):
                     x = np.full(len(row), b + 1, dtype=np.uint64)
                     for k in range(rows):
-                        x = mix(x * np.uint64(31) + np.minimum.reduceat(hashes * factors[b * rows + k], at[:-1]))
+                        x = mix(x * np.uint64(31) + np.minimum.reduceat(hashes * factors[b * rows + k], at))
                     band[:, b] = x
                 edges = np.arange(0, band.size + 1, bands, dtype=np.int32)
                 cols = [
                     part.column(key).take(pa.array(row)),
                     pa.array(start),
                     pa.array(end),
-                    pa.array(_set_ids(at, hashes)),
+                    pa.array(sequence_ids(words).view(np.int64)),
                     pa.ListArray.from_arrays(edges, band.reshape(-1).view(np.int64)),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=[key, "start", "end", "id", "bands"])
@@ -86,15 +82,15 @@ def paragraphs(docs: DataFrame, key: str, text: str, least: int, n_words: int, b
     return docs.mapInArrow(run, f"`{key}` bigint, start bigint, end bigint, id bigint, bands array<bigint>")
 
 
-def paragraph_texts(docs: DataFrame, text: str, least: int, n_words: int) -> DataFrame:
+def paragraph_texts(docs: DataFrame, text: str, least: int) -> DataFrame:
     """(id, text) of the same paragraphs."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):
-                row, _, _, lines, at, hashes = _paragraph_sets(part, text, least, n_words)
+                row, _, _, lines, words = _paragraphs(part, text, least)
                 if len(row):
-                    cols = [pa.array(_set_ids(at, hashes)), lines.cast(pa.large_string()).cast(pa.string())]
+                    cols = [pa.array(sequence_ids(words).view(np.int64)), lines.cast(pa.large_string()).cast(pa.string())]
                     yield pa.RecordBatch.from_arrays(cols, names=["id", "text"])
 
     return docs.select(f"`{text}`").mapInArrow(run, "id bigint, text string")
@@ -158,19 +154,20 @@ def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW, span: int
 def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_id", text: str = "text", least: int = PARAGRAPH_WORDS) -> DataFrame:
     """(key, start, end, first): byte spans that repeat a passage of the text with the smaller key `first`.
 
-    Paragraphs (lines) of at least `least` words are compared as sets of n_words-word shingles: bands
+    Paragraphs (lines) of at least `least` words (never fewer than a shingle has) are compared as sets of n_words-word shingles: bands
     tuned for a recall of 0.999 at Jaccard 0.8 give candidates, exact Jaccard decides, and each component
     stays in the text with its smallest key only. Runs of words that stand in paragraphs of
-    other texts are found by windows of WINDOW words, equal word for word; a run of 37 words or more
+    other texts are found by windows of WINDOW words, equal word for word; a run of 43 words or more
     (WINDOW + SPAN - 1) that two texts share is found wherever it stands in them.
     """
     docs = docs.select(F.col(f"`{key}`").cast("bigint").alias(key), F.col(f"`{text}`").alias(text))
     docs = docs.filter(F.col(key).isNotNull())
+    least = max(least, n_words)
     bands, rows = tune_bands(ratio[0] / ratio[1])
     spans = materialize(paragraphs(docs, key, text, least, n_words, bands, rows), "paragraphs")
     classes = spans.groupBy("id").agg(F.min(F.struct(key, "bands")).alias("_f"))
     classes = materialize(classes.select("id", F.col(f"_f.{key}").alias("first"), F.col("_f.bands").alias("bands")), "classes")
-    found = resolve(band_blocks(classes), paragraph_texts(docs, text, least, n_words), n_words, ratio)
+    found = resolve(band_blocks(classes), paragraph_texts(docs, text, least), n_words, ratio)
     named = classes.select("id", "first").join(found, "id", "left")
     named = named.select("id", "first", F.coalesce("component", "id").alias("component"))
     least_key = named.groupBy("component").agg(F.min("first").alias("first"))

@@ -105,6 +105,16 @@ class Words:
         self.row = np.searchsorted(self.start, self.offsets)
         self.hash = range_hashes(self.data, self.start, self.end)
 
+    def pick(self, rows: np.ndarray) -> Words:
+        """The words of some rows only (ascending), without the bytes."""
+        mask = np.zeros(len(self.row) - 1, dtype=bool)
+        mask[rows] = True
+        keep = np.repeat(mask, self.counts)
+        out = object.__new__(Words)
+        out.hash, out.start, out.end = self.hash[keep], self.start[keep], self.end[keep]
+        out.row = np.concatenate([[0], np.cumsum(self.counts[rows])])
+        return out
+
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.row)
@@ -137,6 +147,15 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, out
 
 
+def sequence_ids(words: Words) -> np.ndarray:
+    """A hash of each row's words in their order; 0 words give one value too."""
+    h = words.hash
+    power, back = _powers(max(21, int(len(h) + 1).bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h) * power[: len(h)])])
+    start, end = words.row[:-1], words.row[1:]
+    return mix(((sums[end] - sums[start]) * back[start]) ^ mix((end - start).astype(np.uint64)))
+
+
 def distinct_sets(rows: np.ndarray, hashes: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes per row: (offsets of n_rows + 1, hashes in row order)."""
     order = np.lexsort((hashes, rows))
