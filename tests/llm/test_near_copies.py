@@ -125,6 +125,17 @@ def test_repeated_passages_go_and_clean_texts_stay(docs_of, prose):
     assert got[3].score == "x3"
 
 
+def test_every_run_of_37_words_is_found(docs_of, prose):
+    rnd = random.Random(4)
+    unique = lambda i, n: " ".join(f"v{i}x{k}" for k in range(n))
+    texts = []
+    for i in range(300):
+        run = unique(f"r{i}", 37)
+        texts += [f"{unique(f'{i}{s}a', rnd.randint(20, 60))} {run} {unique(f'{i}{s}b', 40)}" for s in "lr"]
+    got = {r.doc_id: r.n_removed for r in passages.remove_repeats(docs_of(texts)).collect()}
+    assert got == {i: i % 2 for i in range(600)}
+
+
 def test_near_equal_paragraphs_and_odd_rows(docs_of, prose):
     line = " ".join(f"w{k}" for k in range(60))
     near = line.replace("w0 ", "other ").replace("w59", "last")
