@@ -107,50 +107,92 @@ def band_blocks(classes: DataFrame, cap: int = CAP) -> DataFrame:
     return met.select("id", block.alias("block"), "region", wide.alias("wide"))
 
 
+def _marks(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of every window of `size` words that lies in one text."""
+    n = len(words.hash) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    power = np.full(len(words.hash), _STEP, dtype=np.uint64)
+    back = np.full(len(words.hash), pow(int(_STEP), -1, 1 << 64), dtype=np.uint64)
+    power[0] = back[0] = 1
+    power, back = np.cumprod(power), np.cumprod(back)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.hash * power)])
+    mark = mix((sums[size:] - sums[:-size]) * back[:n])
+    row = words.row_of()
+    inside = np.flatnonzero(row[:n] == row[size - 1 :])
+    return inside, mark[inside]
+
+
 def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW, span: int = SPAN) -> DataFrame:
-    """(key, start, end, mark): windows of `size` words of each text, with a hash of their words.
+    """(key, at, mark): windows of `size` words of each text, `at` their first word, with a hash of their words.
 
     Of any `span` neighbouring windows the one with the least hash is taken, wherever they stand; so
     two texts that share a run of size + span - 1 words take the same window of it.
     """
-    inverse = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):
                 words = Words(part.column(text))
-                n = len(words.hash) - size + 1
-                if n <= 0:
-                    continue
-                power = np.full(len(words.hash), _STEP, dtype=np.uint64)
-                back = np.full(len(words.hash), inverse, dtype=np.uint64)
-                power[0] = back[0] = 1
-                power, back = np.cumprod(power), np.cumprod(back)
-                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.hash * power)])
-                mark = mix((sums[size:] - sums[:-size]) * back[:n])
-                row = words.row_of()
-                inside = np.flatnonzero(row[:n] == row[size - 1 :])
+                inside, mark = _marks(words, size)
                 if not len(inside):
                     continue
+                row = words.row_of()[inside]
                 # Texts are kept apart by gaps, so that a choice depends on one text only.
-                spot = np.arange(len(inside)) + (np.cumsum(np.diff(row[inside], prepend=row[inside[0]]) > 0) + 1) * span
+                spot = np.arange(len(inside)) + (np.cumsum(np.diff(row, prepend=row[0]) > 0) + 1) * span
                 line = np.full(spot[-1] + span, np.uint64(0xFFFFFFFFFFFFFFFF))
-                line[spot] = mark[inside]
+                line[spot] = mark
                 view = np.lib.stride_tricks.sliding_window_view(line, span)
                 picked = np.unique(view.argmin(axis=1) + np.arange(len(view)))
-                at = inside[np.flatnonzero(np.isin(spot, picked))]
-                base = words.offsets[row[at]]
+                at = np.flatnonzero(np.isin(spot, picked))
                 cols = [
                     part.column(key).take(pa.array(row[at])),
-                    pa.array(words.start[at] - base),
-                    pa.array(words.end[at + size - 1] - base),
+                    pa.array((inside[at] - words.row[row[at]]).astype(np.int32)),
                     pa.array(mark[at].view(np.int64)),
                 ]
+                yield pa.RecordBatch.from_arrays(cols, names=[key, "at", "mark"])
+
+    return docs.mapInArrow(run, f"`{key}` bigint, at int, mark bigint")
+
+
+def windows_near(docs: DataFrame, key: str, text: str, size: int = WINDOW, span: int = SPAN) -> DataFrame:
+    """(key, start, end, mark): all windows of `size` words that begin less than `span` words from one of `hits`
+    (array of first words) of their text."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text):
+                words = Words(part.column(text))
+                inside, mark = _marks(words, size)
+                hits = part.column("hits")
+                n = hits.value_lengths().to_numpy(zero_copy_only=False)
+                low, high = np.repeat(words.row[:-1], n), np.repeat(words.row[1:], n)  # a hit reaches into no other text
+                hit = low + hits.flatten().to_numpy(zero_copy_only=False)
+                edge = np.zeros(len(words.hash) + 1, dtype=np.int64)
+                np.add.at(edge, np.clip(hit - span + 1, low, high), 1)
+                np.add.at(edge, np.clip(hit + span, low, high), -1)
+                row = words.row_of()
+                keep = np.cumsum(edge)[inside] > 0
+                at = inside[keep]
+                if not len(at):
+                    continue
+                cols = [
+                    part.column(key).take(pa.array(row[at])),
+                    pa.array(words.start[at] - words.offsets[row[at]]),
+                    pa.array(words.end[at + size - 1] - words.offsets[row[at]]),
+                    pa.array(mark[keep].view(np.int64)),
+                ]
                 yield pa.RecordBatch.from_arrays(cols, names=[key, "start", "end", "mark"])
 
     return docs.mapInArrow(run, f"`{key}` bigint, start bigint, end bigint, mark bigint")
 
 
+def shared_marks(marks: DataFrame, key: str) -> DataFrame:
+    """(mark, first) of the marks of several texts, with their smallest key."""
+    shared = marks.groupBy("mark").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    return shared.filter("first < last").select("mark", "first")
+
+
 def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_id", text: str = "text", least: int = PARAGRAPH_WORDS) -> DataFrame:
     """(key, start, end, first): byte spans that repeat a passage of the text with the smaller key `first`.
 
@@ -158,7 +200,7 @@ def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_
     tuned for a recall of 0.999 at Jaccard 0.8 give candidates, exact Jaccard decides, and each component
     stays in the text with its smallest key only. Runs of words that stand in paragraphs of
     other texts are found by windows of WINDOW words, equal word for word; a run of 37 words or more
-    (WINDOW + SPAN - 1) that two texts share is found wherever it stands in them.
+    (WINDOW + SPAN - 1) that two texts share is found as a whole, to its first and last word, wherever it stands in them.
     """
     docs = docs.select(F.col(f"`{key}`").cast("bigint").alias(key), F.col(f"`{text}`").alias(text))
     docs = docs.filter(F.col(key).isNotNull())
@@ -174,9 +216,12 @@ def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_
     named = named.select("id", "component").join(least_key, "component").select("id", "first")
     near = spans.select(key, "start", "end", "id").join(named, "id").filter(F.col(key) > F.col("first"))
 
+    # Texts that share a run of WINDOW + SPAN - 1 words pick a common window less than SPAN words from either end of it;
+    # so all windows about the picked ones that several texts have, looked up once more, cover the whole run.
     marks = windows(docs, key, text)
-    shared = marks.groupBy("mark").agg(F.min(key).alias("first"), F.max(key).alias("last")).filter("first < last")
-    equal = marks.join(shared.select("mark", "first"), "mark").filter(F.col(key) > F.col("first"))
+    hits = marks.join(shared_marks(marks, key).select("mark"), "mark").groupBy(key).agg(F.collect_set("at").alias("hits"))
+    close = materialize(windows_near(docs.join(hits, key), key, text), "windows")
+    equal = close.join(shared_marks(close, key), "mark").filter(F.col(key) > F.col("first"))
     cols = [key, "start", "end", "first"]
     return near.select(cols).unionByName(equal.select(cols))
 

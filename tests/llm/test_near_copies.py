@@ -136,6 +136,21 @@ def test_every_run_of_37_words_is_found(docs_of, prose):
     assert got == {i: i % 2 for i in range(600)}
 
 
+def test_nothing_of_a_repeated_passage_is_left(docs_of):
+    rnd = random.Random(5)
+    unique = lambda i, n: " ".join(f"v{i}x{k}" for k in range(n))
+    texts, want = [], []
+    for i in range(60):
+        run = unique(f"r{i}", rnd.randint(37, 90))
+        for k in range(3):  # the second one shares a longer run with the third than with the first
+            a, b = unique(f"{i}a{k}", rnd.randint(0, 50)), unique(f"{i}b{k}", 40)
+            more = unique(f"m{i}", 6) if k else ""
+            texts.append(" ".join(f"{a} {run} {more} {b}".split()))
+            want.append(texts[-1].split() if k == 0 else f"{a} {more} {b}".split() if k == 1 else f"{a} {b}".split())
+    rows = passages.remove_repeats(docs_of(texts)).collect()
+    assert {r.doc_id: r.text.split() for r in rows} == dict(enumerate(want))
+
+
 def test_near_equal_paragraphs_and_odd_rows(docs_of, prose):
     line = " ".join(f"w{k}" for k in range(60))
     near = line.replace("w0 ", "other ").replace("w59", "last")
