@@ -11,7 +11,7 @@ from stayline.llm.linking import CAP, resolve
 from stayline.llm.wordbytes import Words, mix, raw_bytes, sequence_ids, shingles, slices
 from stayline.session import materialize
 
-PARAGRAPH_WORDS = 25  # shorter paragraphs are not compared on their own
+BLOCK_WORDS = 6  # of several lines; five one-word lines, a list of equal items say, make one shingle only
 WINDOW = 24  # words of a passage inside paragraphs
 SPAN = 14  # of so many neighbouring windows one is looked up at least
 MAX_HASHES = 32
@@ -43,22 +43,41 @@ def _lines(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.
     return row, starts - offsets[row], stop - offsets[row], lines
 
 
+def _texts(data: pa.Array, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes of ascending ranges of the bytes behind `data` that do not overlap."""
+    edges = np.stack([start, end], axis=1).reshape(-1).astype(np.int64)
+    both = pa.Array.from_buffers(pa.large_binary(), max(0, len(edges) - 1), [None, pa.py_buffer(edges), data.buffers()[2]])
+    return both.take(pa.array(np.arange(0, max(0, len(edges) - 1), 2)))
+
+
 def _paragraphs(part, text: str, least: int):
-    """(row, start, end, lines, words) of the lines of at least `least` words."""
+    """(row, start, end, block, texts, words) of the lines of at least `least` words, and of the blocks of several
+    lines between blank ones."""
     row, start, end, lines = _lines(part, text)
     words = Words(lines)
+    base = words.offsets
+    full = words.counts > 0
     long = np.flatnonzero(words.counts >= least)
-    return row[long], start[long], end[long], lines.take(pa.array(long)), words.pick(long)
+    # A block begins at a line with words that follows a blank one or another text.
+    joined = full[1:] & full[:-1] & (row[1:] == row[:-1])
+    head = np.flatnonzero(full & ~np.append(False, joined)[: len(full)])
+    tail = np.flatnonzero(full & ~np.append(joined, False)[: len(full)])
+    some = (tail > head) & (words.row[tail + 1] - words.row[head] >= max(least, BLOCK_WORDS))
+    head, tail = head[some], tail[some]
+    first, last = np.concatenate([long, head]), np.concatenate([long, tail])
+    texts = pa.concat_arrays([_texts(lines, base[a], base[b + 1]) for a, b in ((long, long), (head, tail))])
+    block = np.arange(len(first)) >= len(long)
+    return row[first], start[first], end[last], block, texts, words.spans(first, last + 1)
 
 
 def paragraphs(docs: DataFrame, key: str, text: str, least: int, n_words: int, bands: int, rows: int) -> DataFrame:
-    """(key, start, end, id, bands) of every paragraph of at least `least` words; id stands for its words."""
+    """(key, start, end, block, id, bands) of every paragraph (line or block) of at least `least` words; id stands for its words."""
     factors = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):
-                row, start, end, _, words = _paragraphs(part, text, least)
+                row, start, end, block, _, words = _paragraphs(part, text, least)
                 if not len(row):
                     continue
                 of, hashes = shingles(words, n_words)  # in row order: no paragraph is shorter than a shingle
@@ -74,12 +93,13 @@ def paragraphs(docs: DataFrame, key: str, text: str, least: int, n_words: int, b
                     part.column(key).take(pa.array(row)),
                     pa.array(start),
                     pa.array(end),
+                    pa.array(block),
                     pa.array(sequence_ids(words).view(np.int64)),
                     pa.ListArray.from_arrays(edges, band.reshape(-1).view(np.int64)),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=[key, "start", "end", "id", "bands"])
+                yield pa.RecordBatch.from_arrays(cols, names=[key, "start", "end", "block", "id", "bands"])
 
-    return docs.mapInArrow(run, f"`{key}` bigint, start bigint, end bigint, id bigint, bands array<bigint>")
+    return docs.mapInArrow(run, f"`{key}` bigint, start bigint, end bigint, block boolean, id bigint, bands array<bigint>")
 
 
 def paragraph_texts(docs: DataFrame, text: str, least: int) -> DataFrame:
@@ -88,9 +108,9 @@ def paragraph_texts(docs: DataFrame, text: str, least: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):
-                row, _, _, lines, words = _paragraphs(part, text, least)
+                row, _, _, _, texts, words = _paragraphs(part, text, least)
                 if len(row):
-                    cols = [pa.array(sequence_ids(words).view(np.int64)), lines.cast(pa.large_string()).cast(pa.string())]
+                    cols = [pa.array(sequence_ids(words).view(np.int64)), texts.cast(pa.large_string()).cast(pa.string())]
                     yield pa.RecordBatch.from_arrays(cols, names=["id", "text"])
 
     return docs.select(f"`{text}`").mapInArrow(run, "id bigint, text string")
@@ -193,11 +213,11 @@ def shared_marks(marks: DataFrame, key: str) -> DataFrame:
     return shared.filter("first < last").select("mark", "first")
 
 
-def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_id", text: str = "text", least: int = PARAGRAPH_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_id", text: str = "text", least: int = 0) -> DataFrame:
     """(key, start, end, first): byte spans that repeat a passage of the text with the smaller key `first`.
 
-    Paragraphs (lines) of at least `least` words (never fewer than a shingle has) are compared as sets of n_words-word shingles: bands
-    tuned for a recall of 0.999 at Jaccard 0.8 give candidates, exact Jaccard decides, and each component
+    Paragraphs are lines, and blocks of several lines between blank ones. All that have a shingle (n_words words; blocks
+    BLOCK_WORDS) and at least `least` words are compared as sets of n_words-word shingles: bands tuned for a recall of 0.999 at Jaccard 0.8 give candidates, exact Jaccard decides, and each component
     stays in the text with its smallest key only. Runs of words that stand in paragraphs of
     other texts are found by windows of WINDOW words, equal word for word; a run of 37 words or more
     (WINDOW + SPAN - 1) that two texts share is found as a whole, to its first and last word, wherever it stands in them.
@@ -213,8 +233,13 @@ def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_
     named = classes.select("id", "first").join(found, "id", "left")
     named = named.select("id", "first", F.coalesce("component", "id").alias("component"))
     least_key = named.groupBy("component").agg(F.min("first").alias("first"))
-    named = named.select("id", "component").join(least_key, "component").select("id", "first")
-    near = spans.select(key, "start", "end", "id").join(named, "id").filter(F.col(key) > F.col("first"))
+    named = named.select("id", "component").join(least_key, "component")
+    near = spans.select(key, "start", "end", "block", "id").join(named, "id").filter(F.col(key) > F.col("first"))
+    near = materialize(near.drop("id"), "near")
+    # A block that is like others for one of its lines goes with that line only; its other lines are its own.
+    line = near.filter("not block").select(key, "component", F.col("start").alias("_s"), F.col("end").alias("_e"))
+    inner = (F.col("_s") >= F.col("start")) & (F.col("_e") <= F.col("end"))
+    near = near.alias("b").join(line.alias("l"), [F.col(f"b.{key}") == F.col(f"l.{key}"), F.col("b.component") == F.col("l.component"), inner & F.col("block")], "left_anti")
 
     # Texts that share a run of WINDOW + SPAN - 1 words pick a common window less than SPAN words from either end of it;
     # so all windows about the picked ones that several texts have, looked up once more, cover the whole run.

@@ -105,14 +105,13 @@ class Words:
         self.row = np.searchsorted(self.start, self.offsets)
         self.hash = range_hashes(self.data, self.start, self.end)
 
-    def pick(self, rows: np.ndarray) -> Words:
-        """The words of some rows only (ascending), without the bytes."""
-        mask = np.zeros(len(self.row) - 1, dtype=bool)
-        mask[rows] = True
-        keep = np.repeat(mask, self.counts)
+    def spans(self, first: np.ndarray, stop: np.ndarray) -> Words:
+        """The words of ranges of rows, each range as one row, without the bytes; ranges may overlap."""
+        low, n = self.row[first], self.row[stop] - self.row[first]
         out = object.__new__(Words)
-        out.hash, out.start, out.end = self.hash[keep], self.start[keep], self.end[keep]
-        out.row = np.concatenate([[0], np.cumsum(self.counts[rows])])
+        out.row = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(out.row[-1]) + np.repeat(low - out.row[:-1], n)
+        out.hash, out.start, out.end = self.hash[at], self.start[at], self.end[at]
         return out
 
     @property

@@ -151,6 +151,24 @@ def test_nothing_of_a_repeated_passage_is_left(docs_of):
     assert {r.doc_id: r.text.split() for r in rows} == dict(enumerate(want))
 
 
+def test_short_lines_and_wrapped_paragraphs_are_compared(docs_of):
+    unique = lambda i, n: [f"v{i}x{k}" for k in range(n)]
+    wrap = lambda words, n: "\n".join(" ".join(words[k : k + n]) for k in range(0, len(words), n))
+    short, five, block = " ".join(unique("s", 12)), " ".join(unique("f", 5)), unique("b", 120)
+    other = ["changed" if k in (35, 75) else w for k, w in enumerate(block)]  # Jaccard 106 / 126
+    texts = [
+        f"{short}\none more\n\n{wrap(block, 11)}\n\n{five}",
+        f"head one\n{short}\ntail one",
+        f"head two\n\n{wrap(other, 9)}\n \ntail two",
+        f"{five.upper()}\n\nhead three\n\n{' '.join(block)}",
+        wrap(unique("c", 40), 8) + "\n\na b c d",
+        "a b c d\n\n" + wrap(unique("d", 40), 8),
+    ]
+    got = {r.doc_id: r.text for r in passages.remove_repeats(docs_of(texts)).collect()}
+    want = {0: texts[0].split(), 1: "head one tail one".split(), 2: "head two tail two".split(), 3: "head three".split()}
+    assert {i: got[i].split() for i in want} == want and got[4] == texts[4] and got[5] == texts[5]
+
+
 def test_near_equal_paragraphs_and_odd_rows(docs_of, prose):
     line = " ".join(f"w{k}" for k in range(60))
     near = line.replace("w0 ", "other ").replace("w59", "last")
