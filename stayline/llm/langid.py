@@ -15,7 +15,7 @@ from stayline.session import broadcast_if_small, materialize
 
 BITS = 16  # slots of hashed letter groups
 GRAM = 3  # bytes of a group
-MAX_LANGUAGES = 64
+DENSE_LANGUAGES = 64  # with more of them, a task hands on its counts after each slice
 TEMPER, MOST = 0.25, 200  # groups overlap and repeat: each counts a quarter, at most as many as 200
 KAPPA = 4.0  # texts that the level above counts for in a host's prior
 SMALL_ROWS = 100_000
@@ -52,25 +52,30 @@ def learns(key: str) -> Column:
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", bits: int = BITS):
     """(languages, log likelihoods: slots x languages, log shares) from all texts with a known language.
 
-    The languages are the MAX_LANGUAGES most frequent labels. Counts are made in the tasks and added in a
-    grouped aggregate of at most 2 ** bits x MAX_LANGUAGES rows, whatever the input.
+    The languages are all labels. Counts are made in the tasks and added in a grouped aggregate of at most
+    2 ** bits x languages rows, whatever the input.
     """
     known = docs.filter(F.col(label).isNotNull() & learns(key))
-    rows = known.groupBy(label).count().orderBy(F.desc("count"), label).limit(MAX_LANGUAGES).collect()
-    names = sorted(r[0] for r in rows)
+    rows = known.groupBy(label).count().collect()
+    count = {r[0]: r["count"] for r in rows}
+    names = sorted(count)
     if not names:
         return [], np.zeros((1 << bits, 0)), np.zeros(0)
-    share = np.array([next(r["count"] for r in rows if r[0] == x) for x in names], dtype=np.float64)
+    share = np.array([count[x] for x in names], dtype=np.float64)
     place = {x: k for k, x in enumerate(names)}
 
     def run(batches):
-        counts = np.zeros((1 << bits) * len(names), dtype=np.int64)
+        dense = len(names) <= DENSE_LANGUAGES
+        counts = np.zeros((1 << bits) * len(names) if dense else 0, dtype=np.int64)
         for batch in batches:
             for part in slices(batch, text):
                 at, slots = grams(part.column(text), bits)
-                lang = np.array([place.get(x, -1) for x in part.column(label).to_pylist()])
-                of = np.repeat(lang, np.diff(at))
-                counts += np.bincount(slots[of >= 0] * len(names) + of[of >= 0], minlength=len(counts))
+                lang = np.array([place[x] for x in part.column(label).to_pylist()])
+                cells = slots * len(names) + np.repeat(lang, np.diff(at))
+                if dense:
+                    counts += np.bincount(cells, minlength=len(counts))
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.unique(cells, return_counts=True)], names=["cell", "n"])
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["cell", "n"])
 
@@ -123,15 +128,23 @@ def declared_language(source: str) -> Column:
     return F.nullif(F.lower(tag), F.lit(""))
 
 
-def _shares(n: int, prefix: str) -> list[str]:
-    return [f"{prefix}{k}" for k in range(n)]
+def _let(value: Column, use) -> Column:
+    """`use` of a value that is computed once, also where `use` goes through an array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _soft(logs: Column, n: int) -> list[Column]:
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+
+
+def _soft(logs: Column) -> Column:
     """Probabilities from an array of logs (its greatest is found first)."""
-    top = F.array_max(logs)
-    total = F.aggregate(logs, F.lit(0.0), lambda s, x: s + F.exp(x - top))
-    return [F.exp(F.get(logs, F.lit(k)) - top) / total for k in range(n)]
+    raised = lambda x: _let(F.array_max(x), lambda top: F.transform(x, lambda v: F.exp(v - top)))
+    return _let(_let(logs, raised), lambda w: _let(_total(w), lambda t: F.transform(w, lambda v: v / t)))
+
+
+def _literals(values) -> Column:
+    return F.array(*[F.lit(float(x)) for x in values])
 
 
 def fuse(rows: DataFrame, model, kappa: float = KAPPA) -> DataFrame:
@@ -150,65 +163,54 @@ def fuse(rows: DataFrame, model, kappa: float = KAPPA) -> DataFrame:
         return rows.drop("evidence").withColumns(
             {"lang": F.lit(None).cast("string"), "probability": F.lit(None).cast("double"), "text_lang": F.lit(None).cast("string")}
         )
-    own = _soft(F.zip_with("evidence", F.array(*map(F.lit, share.tolist())), lambda a, b: a + b), n)
+    add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     parts = F.split("host", r"\.")
-    rows = rows.withColumns(dict(zip(_shares(n, "q"), own)))
     rows = materialize(
         rows.withColumns(
             {
+                "_q": _soft(add("evidence", _literals(share))),
                 "suffix": F.element_at(parts, -1),
                 "domain": F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - 1), F.lit(2)), "."),
             }
         ),
         "language-evidence",
     )
-    q = _shares(n, "q")
 
-    def summed(df, by, prefix, cols=q):
-        return df.filter(F.col(by[0]).isNotNull()).groupBy(*by).agg(
-            *[F.sum(c).alias(p) for c, p in zip(cols, _shares(n, prefix))]
-        )
+    def summed(df, by, name, values="_q"):
+        sums = [F.sum(F.get(values, F.lit(k))) for k in range(n)]
+        return df.filter(F.col(by[0]).isNotNull()).groupBy(*by).agg(F.array(*sums).alias(name))
 
-    tagged = [F.sum(F.when(F.col("declared").isNotNull(), F.col(c))) for c in q]
+    q = [F.get("_q", F.lit(k)) for k in range(n)]
+    tagged = [F.sum(F.when(F.col("declared").isNotNull(), c)) for c in q]
     sums = np.array([x or 0.0 for x in rows.agg(*[F.sum(c) for c in q], *tagged).first()])
     whole, with_tag = sums[:n] + 1e-3, sums[n:]
-    hosts = materialize(summed(rows, ["host", "domain", "suffix"], "h"), "hosts")
-    domains = summed(hosts, ["domain", "suffix"], "d", _shares(n, "h"))
-    suffixes = materialize(summed(domains, ["suffix"], "s", _shares(n, "d")), "suffixes")
-    tags = summed(rows, ["declared"], "t")
+    hosts = materialize(summed(rows, ["host", "domain", "suffix"], "_h"), "hosts")
+    domains = summed(hosts, ["domain", "suffix"], "_d", "_h")
+    suffixes = materialize(summed(domains, ["suffix"], "_s", "_d"), "suffixes")
+    tags = summed(rows, ["declared"], "_t")
 
     def level(counts, above):
         """Shares of a level, drawn to those of the level above."""
-        total = sum(F.col(c) for c in counts)
-        return [(F.col(c) + kappa * a) / (total + kappa) for c, a in zip(counts, above)]
+        return _let(_total(counts), lambda t: F.zip_with(counts, above, lambda c, a: (c + kappa * a) / (t + kappa)))
 
-    all_share = [F.lit(float(x)) for x in whole / whole.sum()]
+    all_share, zeros = _literals(whole / whole.sum()), _literals(np.zeros(n))
     # P(suffix | language) goes with the suffix level of the host's prior: its shares are P(language | suffix).
-    at_suffix = suffixes.select("suffix", *[c.alias(p) for c, p in zip(level(_shares(n, "s"), all_share), _shares(n, "S"))])
+    at_suffix = suffixes.select("suffix", level(F.col("_s"), all_share).alias("_S"))
     at_domain = domains.join(broadcast_if_small(at_suffix, SMALL_ROWS), "suffix")
-    at_domain = at_domain.select("domain", *[c.alias(p) for c, p in zip(level(_shares(n, "d"), map(F.col, _shares(n, "S"))), _shares(n, "D"))])
-    at_host = hosts.join(at_domain, "domain").select("host", *_shares(n, "h"), *_shares(n, "D"))
-    given = [(F.col(t) + 0.5) / float(w + 1) for t, w in zip(_shares(n, "t"), with_tag)]
-    tags = tags.select("declared", *[F.log(c).alias(p) for c, p in zip(given, _shares(n, "T"))])
+    at_domain = at_domain.select("domain", level(F.col("_d"), F.col("_S")).alias("_D"))
+    at_host = hosts.join(at_domain, "domain").select("host", "_h", "_D")
+    given = F.zip_with("_t", _literals(with_tag + 1), lambda t, w: F.log((t + 0.5) / w))
+    tags = tags.select("declared", given.alias("_T"))
     joined = rows.join(broadcast_if_small(tags, SMALL_ROWS), "declared", "left").join(at_host, "host", "left")
-    counts = [F.greatest(F.coalesce(F.col(h) - F.col(c), F.lit(0.0)), F.lit(0.0)) for h, c in zip(_shares(n, "h"), q)]
-    total = sum(counts)
-    above = [F.coalesce(F.col(d), a) for d, a in zip(_shares(n, "D"), all_share)]
-    prior = [F.log((c + kappa * a) / (total + kappa)) for c, a in zip(counts, above)]
-    logs = F.array(
-        *[F.get("evidence", F.lit(k)) + prior[k] + F.coalesce(F.col(t), F.lit(0.0)) for k, t in enumerate(_shares(n, "T"))]
-    )
-    joined = joined.withColumn("_logs", logs)
-    joined = joined.withColumn("_post", F.array(*_soft(F.col("_logs"), n)))
+    others = F.coalesce(F.zip_with("_h", "_q", lambda h, c: F.greatest(h - c, F.lit(0.0))), zeros)
+    prior = _let(others, lambda c: level(c, F.coalesce("_D", all_share)))
+    logs = add(add("evidence", F.transform(prior, lambda x: F.log(x))), F.coalesce("_T", zeros))
+    joined = joined.withColumn("_post", _soft(logs))
     named = F.array(*map(F.lit, names))
-    best = F.array_position("_post", F.array_max("_post")).cast("int")
-    return joined.withColumns(
-        {
-            "lang": F.element_at(named, best),
-            "probability": F.array_max("_post"),
-            "text_lang": F.element_at(named, F.array_position(F.array(*q), F.greatest(*q, q[0])).cast("int")),
-        }
-    ).select(*[c for c in rows.columns if c not in {"evidence", "suffix", "domain", *q}], "lang", "probability", "text_lang")
+    best = lambda x: F.element_at(named, F.array_position(x, F.array_max(x)).cast("int"))
+    return joined.withColumns({"lang": best("_post"), "probability": F.array_max("_post"), "text_lang": best("_q")}).select(
+        *[c for c in rows.columns if c not in {"evidence", "suffix", "domain", "_q"}], "lang", "probability", "text_lang"
+    )
 
 
 def identify(docs: DataFrame, pages: DataFrame) -> DataFrame:

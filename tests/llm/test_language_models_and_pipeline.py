@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -135,6 +136,21 @@ def test_documents_are_identified_and_rows_are_kept(spark, two_languages):
     assert identified(spark, none, [])== [] and [r.lang for r in identified(spark, none, [page(1, EN)])] == [None]
 
 
+def test_rare_labels_beyond_64_are_learned(spark):
+    words = [["".join(random.Random(f"{k} {w}").choices("abcdefghijklmnopqrstuvwxyz", k=7)) for w in range(9)] for k in range(70)]
+    rows = [
+        (100 * k + i, " ".join(words[k][(w + i) % 9] for w in range(40)), f"l{k:02}", None)
+        for k in range(70) for i in range(9 if k < 66 else 6)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = {r[0]: r[2] for r in rows}
+    got = {r.doc_id: r.lang for r in identified(spark, docs, [(1, None, None)]) if r.doc_id is not None}
+    assert len(langid.train(docs)[0]) == 70
+    assert sum(got[i] == want[i] for i in want) > 0.97 * len(want)
+    rare = [i for i in want if want[i] >= "l66"]
+    assert all(got[i] == want[i] for i in rare)
+
+
 def test_visible_text_and_declared_language():
     assert langid.visible_text("<a>x</a><!-- y --><style>z</style>&amp;<b").split() == ["x", "&<b"]
 
