@@ -69,10 +69,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights: a text comes as often as its source is repeated, a
-    fractional repetition as its first words; texts that the mix does not take go."""
+    fractional repetition by some of its texts in full; texts that the mix does not take go."""
 
     def step(rows: DataFrame) -> DataFrame:
-        return with_length(mixing.sample(mixing.mix(rows)), F.lit(True))
+        return with_length(mixing.sample(mixing.mix(rows, whole_texts=True)), F.lit(True))
 
     names = ("size", "source_size", "target", "whole", "part", "taken")
     return set_aside(docs, names, step).select(docs.columns)

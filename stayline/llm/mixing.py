@@ -69,6 +69,7 @@ def mix(
     cycle=(5, 2, 1),
     share: tuple[int, int] = (3, 2),
     cap: int = 2,
+    whole_texts: bool = False,
 ) -> DataFrame:
     """Each row of `docs` with size, source_size, target, whole, part and taken (words).
 
@@ -79,12 +80,17 @@ def mix(
     So a source's words miss its target by less than a word per text of one bucket, reruns agree, and
     no rows are sorted or moved: the texts meet a table of sources, whatever share one of them has.
 
+    With `whole_texts` no text is cut: the bucket in which the rest runs out is put in a seeded order (by the
+    doc_id, then by the whole row), and its texts are taken in full as long as they fit into the rest, so a source's
+    words miss its target by less than one text. Texts with a NULL doc_id lie in buckets by md5 of the text then.
+
     NULL and empty texts have size 0 and are taken 0 words; a NULL source is a source of its own;
     rows with a NULL or repeated doc_id share a bucket; repeated rows are all counted. An empty table
     gives an empty result. Columns of `docs` with these names are replaced.
     """
     key = F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce("source", F.lit("")))
-    bucket = F.substring(F.coalesce(md5_key(seed, "doc_id"), F.lit("000")), 1, BUCKET_HEX)
+    unnamed = F.coalesce(md5_key(seed, "text"), F.lit("000")) if whole_texts else F.lit("000")
+    bucket = F.substring(F.coalesce(md5_key(seed, "doc_id"), unnamed), 1, BUCKET_HEX)
     sized = docs.withColumns({"size": word_count("text"), "_bucket": bucket, "_key": key})
     grains = materialize(
         sized.groupBy("_key", "_bucket", "source").agg(F.sum("size").alias("words")), "mix-buckets"
@@ -115,21 +121,38 @@ def mix(
     )
     made = {"source_size", "target", "whole", "part", "taken"}
     base = sized.select(*[c for c in sized.columns if c not in made])
+    joined = base.join(broadcast_if_small(plan, SMALL_ROWS), "_key", "left")
+    here = F.coalesce(F.col("_bucket") == F.col("_at"), F.lit(False))
+    if whole_texts:
+        at_edge = F.coalesce("_part", F.lit(0))
+        joined = joined.filter(~here).withColumn("_part", F.lit(None).cast("bigint")).unionByName(_fitting(joined.filter(here), seed))
+    else:
+        at_edge = F.expr("cast(size as decimal(38,0)) * _left div _words")
     part = (
         F.when(F.col("_at").isNull(), F.lit(0))  # nothing left after the whole repetitions
         .when(F.col("_bucket") < F.col("_at"), F.col("size"))
-        .when(F.col("_bucket") == F.col("_at"), F.expr("cast(size as decimal(38,0)) * _left div _words"))
+        .when(F.col("_bucket") == F.col("_at"), at_edge)
         .otherwise(F.lit(0))
         .cast("bigint")
     )
     return (
-        base.join(broadcast_if_small(plan, SMALL_ROWS), "_key", "left")
-        .withColumn("part", part)
+        joined.withColumn("part", part)
         .withColumn("taken", F.col("whole") * F.col("size") + F.col("part"))
-        .drop("_key", "_bucket", "_at", "_left", "_words")
+        .drop("_key", "_bucket", "_at", "_left", "_words", "_part")
     )
 
 
+def _fitting(edge: DataFrame, seed: int) -> DataFrame:
+    """`edge` with _part: the size of a text that is taken in full, 0 of others."""
+    row = F.to_json(F.struct(*[f"`{c}`" for c in edge.columns]))
+    order = {"_row": md5_key(seed, "doc_id"), "_more": F.md5(F.concat(F.lit(f"{seed}:"), row)), "_tie": F.monotonically_increasing_id()}
+    edge = materialize(edge.withColumns(order), "mix-edge")  # equal rows are told apart by _tie
+    placed = edge.withColumn("_place", F.struct("_row", "_more", "_tie")).drop("_row", "_more", "_tie")
+    ranked = prefix_sums(placed, "_place", ["size"], groups=["_key"])
+    fits = F.when(F.col("cum_size") <= F.col("_left"), F.col("size")).otherwise(F.lit(0)).cast("bigint")
+    return ranked.withColumn("_part", fits).drop("_place", "cum_size", "tot_size")
+
+
 def sample(mixed: DataFrame) -> DataFrame:
     """The texts of a mix: each one `whole` times in full, and its first `part` words if it has a part.
 

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+import corpus_pipeline
 from stayline.llm import bytebpe, mixing, quality
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -102,6 +103,24 @@ def test_mix_reaches_targets(docs_of, prose):
     assert words == {r.doc_id: r.taken for r in rows if r.taken}
 
 
+def test_pipeline_mix_takes_whole_texts(spark, docs_of, prose):
+    n = 300
+    texts = [prose(i, 20 + i % 50) for i in range(n)] + ["same text here"] * 60
+    ids = [None if i % 3 == 0 else i for i in range(n)] + [7] * 30 + [None] * 30
+    sources = [["a", "b", "c", "d"][i % 4] for i in range(n)] + ["e"] * 60
+    sources = [s if i is not None or s == "e" else "none" for i, s in zip(ids, sources)]
+    df = docs_of(texts, ids=ids, sources=sources)
+    mixed = mixing.mix(df, whole_texts=True).collect()
+    assert len(mixed) == len(texts) and all(r.part in (0, r.size) for r in mixed)
+    for s in set(sources):
+        rows = [r for r in mixed if r.source == s]
+        assert abs(sum(r.taken for r in rows) - rows[0].target) <= max(r.size for r in rows)
+    got = corpus_pipeline.mix_sources(spark, df, "").collect()
+    assert {r.text for r in got} <= set(texts) and all(r.n_chars == len(r.text) for r in got)
+    again = corpus_pipeline.mix_sources(spark, df.repartition(5), "").collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
 def test_mix_odd_rows(docs_of):
     assert mixing.mix(docs_of([])).count() == 0
     rows = mixing.mix(docs_of([None, "", "  "], sources=[None, "a", "a"])).collect()
