@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bytebpe, forest, langid, lattice, mixing, multiindex, passages, quality, topk, warc
+from stayline.llm import alignment, bytebpe, forest, langid, lattice, mixing, multiindex, passages, quality, secrets, topk, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -203,3 +203,66 @@ SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM marked
 """
+
+
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("found", lambda p: p["kind"] != "literal")
+    number = lambda kind: F.size(F.filter("found", lambda p: p["kind"] == kind)).cast("bigint")
+    line = lambda ps: F.array_join(F.transform(ps, lambda p: F.concat_ws(":", p["kind"], p["start"], p["end"])), ",")
+    return found.select(
+        "doc_id",
+        *[number(k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(line(base), 256).alias("base_sha256"),
+        line(F.col("found")).alias("spans"),
+    )
+
+
+QUERIES["op11_secrets"] = op11_secrets
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(*trie.regraft(trie.turns_of(table(spark, sf_dir, "conversations"))))
+
+
+QUERIES["op12_prefix_trie"] = op12_prefix_trie
+# crc32 of a short decimal, bit by bit; sequences are lists, a prefix is a slice.
+ORACLES["op12_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(said ORDER BY i) AS own FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, own, xor(list_reduce(
+    list_transform(range(1, 1 + len(CAST(conv_id AS VARCHAR))), lambda k: CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(k AS BIGINT), 1)) AS BIGINT)),
+    lambda crc, byte: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte)),
+    CAST(4294967295 AS BIGINT)), 4294967295) % 9 AS h
+  FROM c),
+seqs AS (
+  SELECT h.conv_id, list_concat(coalesce(b.own, [])[1:h.h], h.own[h.h + 1:]) AS s
+  FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 5),
+members AS (SELECT conv_id, d, s[1:d] AS p, len(s) = d AS ends FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+nodes AS (
+  SELECT d, p, min(conv_id) AS conv_id, count(*) AS n,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ended
+  FROM members GROUP BY d, p),
+kids AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS k FROM nodes WHERE d > 0 GROUP BY ALL),
+own AS (
+  SELECT n.*, coalesce(k, 0) AS k, CASE WHEN d = 0 THEN 0 ELSE (n - 1) * strlen(p[d].text) END AS saved
+  FROM nodes n LEFT JOIN kids USING (d, p)),
+below AS (
+  SELECT a.d, a.p, count(*) FILTER (b.k = 0) AS leaves, sum(b.saved) AS saved
+  FROM own a JOIN own b ON b.d >= a.d AND b.p[1:a.d] = a.p GROUP BY a.d, a.p)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(o.n AS BIGINT) AS n_convs,
+       CAST(o.k AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens,
+       sha256(o.ended) AS ends_sha256
+FROM own o JOIN below ON below.d = o.d AND below.p = o.p LEFT JOIN own u ON u.d = o.d - 1 AND u.p = o.p[1:o.d - 1] AND o.d > 0
+"""
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op13_alignment"] = op13_alignment
