@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Spark deletes a query's shuffle files as soon as the query ends.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "stayline", cpus: str = "*", **conf) -> SparkSession:
@@ -79,14 +81,30 @@ def kept_scratch() -> Iterator[None]:
         _SCOPES.pop()
 
 
+@contextlib.contextmanager
+def outer_scratch() -> Iterator[None]:
+    """Inside, tables belong to the scope around the present one, and outlive the present one."""
+    inner = _SCOPES.pop()
+    try:
+        yield
+    finally:
+        _SCOPES.append(inner)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once as Parquet in the shared folder and read back.
 
     Used where a costly sub-plan has several readers: the lineage is cut, a lost
-    executor does not redo the work, and every reader sees the same rows.
+    executor does not redo the work, and every reader sees the same rows. The sub-plan's shuffle
+    files have no reader once the table is written and are deleted.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    before = df.sparkSession.conf.get(CLEANUP_CONF, "false")
+    df.sparkSession.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        df.sparkSession.conf.set(CLEANUP_CONF, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
