@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm.wordbytes import Words, distinct_sets, shingles
-from stayline.session import materialize
+from stayline.session import materialize, outer_scratch, scratch_scope
 
 CAP = 256  # texts compared with each other in one group
 FLUSH = 1 << 20  # edges a task holds before it reduces them
@@ -149,6 +149,13 @@ def resolve(blocks: DataFrame, texts: DataFrame, n_words: int, ratio=(80, 100),
     After them every two ids of one region are connected or compared. Returns (id, component) as
     `components` does.
     """
+    with scratch_scope(blocks.sparkSession):
+        found = _resolved(blocks, texts, n_words, ratio, cap)
+        with outer_scratch():
+            return materialize(found, "components")
+
+
+def _resolved(blocks: DataFrame, texts: DataFrame, n_words: int, ratio, cap: int) -> DataFrame:
     blocks = materialize(blocks, "blocks")
     full = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     home = blocks.join(full, "block").groupBy("id").agg(F.max(F.struct("n", "block")).alias("_h"))

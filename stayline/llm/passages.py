@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stayline.llm.linking import CAP, resolve
 from stayline.llm.wordbytes import Words, mix, raw_bytes, sequence_ids, shingles, slices
-from stayline.session import materialize
+from stayline.session import materialize, outer_scratch, scratch_scope
 
 BLOCK_WORDS = 6  # of several lines; five one-word lines, a list of equal items say, make one shingle only
 WINDOW = 24  # words of a passage inside paragraphs
@@ -71,7 +71,8 @@ def _paragraphs(part, text: str, least: int):
 
 
 def paragraphs(docs: DataFrame, key: str, text: str, least: int, n_words: int, bands: int, rows: int) -> DataFrame:
-    """(key, start, end, block, id, bands) of every paragraph (line or block) of at least `least` words; id stands for its words."""
+    """(key, _hash, start, end, block, id, bands) of every paragraph (line or block) of at least `least` words; id stands
+    for its words, _hash is that of `docs`. Of equal paragraphs of a slice the first has the bands."""
     factors = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches):
@@ -80,47 +81,63 @@ def paragraphs(docs: DataFrame, key: str, text: str, least: int, n_words: int, b
                 row, start, end, block, _, words = _paragraphs(part, text, least)
                 if not len(row):
                     continue
-                of, hashes = shingles(words, n_words)  # in row order: no paragraph is shorter than a shingle
-                at = np.searchsorted(of, np.arange(len(row)))
-                band = np.empty((len(row), bands), dtype=np.uint64)
+                ids = sequence_ids(words)
+                first = np.unique(ids, return_index=True)[1]
+                some = words.spans(first, first + 1)
+                of, hashes = shingles(some, n_words)  # in row order: no paragraph is shorter than a shingle
+                at = np.searchsorted(of, np.arange(len(first)))
+                band = np.empty((len(first), bands), dtype=np.uint64)
                 for b in range(bands):
-                    x = np.full(len(row), b + 1, dtype=np.uint64)
+                    x = np.full(len(first), b + 1, dtype=np.uint64)
                     for k in range(rows):
                         x = mix(x * np.uint64(31) + np.minimum.reduceat(hashes * factors[b * rows + k], at))
                     band[:, b] = x
-                edges = np.arange(0, band.size + 1, bands, dtype=np.int32)
+                n = np.zeros(len(row), dtype=np.int32)
+                n[first] = bands
+                edges = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                rows_of = pa.array(row)
+                band = band[np.argsort(first)]  # in the order of the rows that have them
                 cols = [
-                    part.column(key).take(pa.array(row)),
-                    pa.array(start),
-                    pa.array(end),
+                    part.column(key).take(rows_of),
+                    part.column("_hash").take(rows_of),
+                    pa.array(start.astype(np.int32)),
+                    pa.array(end.astype(np.int32)),
                     pa.array(block),
-                    pa.array(sequence_ids(words).view(np.int64)),
+                    pa.array(ids.view(np.int64)),
                     pa.ListArray.from_arrays(edges, band.reshape(-1).view(np.int64)),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=[key, "start", "end", "block", "id", "bands"])
+                yield pa.RecordBatch.from_arrays(cols, names=[key, "_hash", "start", "end", "block", "id", "bands"])
 
-    return docs.mapInArrow(run, f"`{key}` bigint, start bigint, end bigint, block boolean, id bigint, bands array<bigint>")
+    return docs.mapInArrow(
+        run, f"`{key}` bigint, _hash bigint, start int, end int, block boolean, id bigint, bands array<bigint>"
+    )
 
 
 def paragraph_texts(docs: DataFrame, text: str, least: int) -> DataFrame:
-    """(id, text) of the same paragraphs."""
+    """(id, text) of the same paragraphs, each distinct one of a slice once."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):
                 row, _, _, _, texts, words = _paragraphs(part, text, least)
                 if len(row):
-                    cols = [pa.array(sequence_ids(words).view(np.int64)), texts.cast(pa.large_string()).cast(pa.string())]
-                    yield pa.RecordBatch.from_arrays(cols, names=["id", "text"])
+                    ids, first = np.unique(sequence_ids(words), return_index=True)
+                    texts = texts.take(pa.array(first)).cast(pa.large_string()).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), texts], names=["id", "text"])
 
     return docs.select(f"`{text}`").mapInArrow(run, "id bigint, text string")
 
 
-def band_blocks(classes: DataFrame, cap: int = CAP) -> DataFrame:
-    """Candidates of `classes` (id, bands) as `resolve` takes them; full bands are dealt to several blocks."""
-    rows = classes.select("id", F.explode("bands").alias("region"))
-    full = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = rows.join(full, "region")
+def band_blocks(bands: DataFrame, cap: int = CAP) -> DataFrame:
+    """Candidates of `bands` (id, region), as `resolve` takes them; full bands are dealt to several blocks.
+
+    Bands of one id, which are most, go first: their least and greatest id are the same.
+    """
+    shared = bands.groupBy("region").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"))
+    shared = shared.filter("_lo < _hi").select("region")
+    met = materialize(bands.join(shared, "region").distinct(), "met-bands")
+    full = met.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    met = met.join(full, "region")
     salt = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / cap))
     wide = F.col("n") > 2 * cap
     block = F.when(wide, F.xxhash64("region", salt)).otherwise(F.col("region"))
@@ -144,7 +161,7 @@ def _marks(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW, span: int = SPAN) -> DataFrame:
-    """(key, at, mark): windows of `size` words of each text, `at` their first word, with a hash of their words.
+    """(key, _hash, at, mark): windows of `size` words of each text, `at` their first word, with a hash of their words.
 
     Of any `span` neighbouring windows the one with the least hash is taken, wherever they stand; so
     two texts that share a run of size + span - 1 words take the same window of it.
@@ -167,16 +184,17 @@ def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW, span: int
                 at = np.flatnonzero(np.isin(spot, picked))
                 cols = [
                     part.column(key).take(pa.array(row[at])),
+                    part.column("_hash").take(pa.array(row[at])),
                     pa.array((inside[at] - words.row[row[at]]).astype(np.int32)),
                     pa.array(mark[at].view(np.int64)),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=[key, "at", "mark"])
+                yield pa.RecordBatch.from_arrays(cols, names=[key, "_hash", "at", "mark"])
 
-    return docs.mapInArrow(run, f"`{key}` bigint, at int, mark bigint")
+    return docs.mapInArrow(run, f"`{key}` bigint, _hash bigint, at int, mark bigint")
 
 
 def windows_near(docs: DataFrame, key: str, text: str, size: int = WINDOW, span: int = SPAN) -> DataFrame:
-    """(key, start, end, mark): all windows of `size` words that begin less than `span` words from one of `hits`
+    """(key, _hash, start, end, mark): all windows of `size` words that begin less than `span` words from one of `hits`
     (array of first words) of their text."""
 
     def run(batches):
@@ -198,13 +216,14 @@ def windows_near(docs: DataFrame, key: str, text: str, size: int = WINDOW, span:
                     continue
                 cols = [
                     part.column(key).take(pa.array(row[at])),
-                    pa.array(words.start[at] - words.offsets[row[at]]),
-                    pa.array(words.end[at + size - 1] - words.offsets[row[at]]),
+                    part.column("_hash").take(pa.array(row[at])),
+                    pa.array((words.start[at] - words.offsets[row[at]]).astype(np.int32)),
+                    pa.array((words.end[at + size - 1] - words.offsets[row[at]]).astype(np.int32)),
                     pa.array(mark[keep].view(np.int64)),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=[key, "start", "end", "mark"])
+                yield pa.RecordBatch.from_arrays(cols, names=[key, "_hash", "start", "end", "mark"])
 
-    return docs.mapInArrow(run, f"`{key}` bigint, start bigint, end bigint, mark bigint")
+    return docs.mapInArrow(run, f"`{key}` bigint, _hash bigint, start int, end int, mark bigint")
 
 
 def shared_marks(marks: DataFrame, key: str) -> DataFrame:
@@ -214,7 +233,8 @@ def shared_marks(marks: DataFrame, key: str) -> DataFrame:
 
 
 def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_id", text: str = "text", least: int = 0) -> DataFrame:
-    """(key, start, end, first): byte spans that repeat a passage of the text with the smaller key `first`.
+    """(key, _hash, start, end, first): byte spans of the text with this key and hash (xxhash64) that repeat a passage
+    of the text with the smaller key `first`.
 
     Paragraphs are lines, and blocks of several lines between blank ones. All that have a shingle (n_words words; blocks
     BLOCK_WORDS) and at least `least` words are compared as sets of n_words-word shingles: bands tuned for a recall of 0.999 at Jaccard 0.8 give candidates, exact Jaccard decides, and each component
@@ -223,32 +243,43 @@ def repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_
     (WINDOW + SPAN - 1) that two texts share is found as a whole, to its first and last word, wherever it stands in them.
     """
     docs = docs.select(F.col(f"`{key}`").cast("bigint").alias(key), F.col(f"`{text}`").alias(text))
-    docs = docs.filter(F.col(key).isNotNull())
-    least = max(least, n_words)
+    docs = docs.filter(F.col(key).isNotNull()).withColumn("_hash", F.xxhash64(text))
+    with scratch_scope(docs.sparkSession):  # what is written on the way goes when the spans are written
+        near = _near_paragraphs(docs, n_words, ratio, key, text, max(least, n_words))
+        equal = _equal_windows(docs, key, text)
+        with outer_scratch():
+            return materialize(near.unionByName(equal), "spans")
+
+
+def _near_paragraphs(docs: DataFrame, n_words: int, ratio, key: str, text: str, least: int) -> DataFrame:
     bands, rows = tune_bands(ratio[0] / ratio[1])
-    spans = materialize(paragraphs(docs, key, text, least, n_words, bands, rows), "paragraphs")
-    classes = spans.groupBy("id").agg(F.min(F.struct(key, "bands")).alias("_f"))
-    classes = materialize(classes.select("id", F.col(f"_f.{key}").alias("first"), F.col("_f.bands").alias("bands")), "classes")
-    found = resolve(band_blocks(classes), paragraph_texts(docs, text, least), n_words, ratio)
-    named = classes.select("id", "first").join(found, "id", "left")
-    named = named.select("id", "first", F.coalesce("component", "id").alias("component"))
-    least_key = named.groupBy("component").agg(F.min("first").alias("first"))
-    named = named.select("id", "component").join(least_key, "component")
-    near = spans.select(key, "start", "end", "block", "id").join(named, "id").filter(F.col(key) > F.col("first"))
-    near = materialize(near.drop("id"), "near")
+    with scratch_scope(docs.sparkSession):
+        spans = materialize(paragraphs(docs, key, text, least, n_words, bands, rows), "paragraphs")
+        found = resolve(band_blocks(spans.select("id", F.explode("bands").alias("region"))), paragraph_texts(docs, text, least), n_words, ratio)
+        # A paragraph without a component is alone of its words' kind or has equal ones only.
+        named = spans.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        least_key = named.groupBy("component").agg(F.min(key).alias("first"), F.max(key).alias("_last")).filter("first < _last")
+        near = named.join(least_key.drop("_last"), "component").filter(F.col(key) > F.col("first"))
+        with outer_scratch():
+            near = materialize(near.select(key, "_hash", "start", "end", "block", "component", "first"), "near")
     # A block that is like others for one of its lines goes with that line only; its other lines are its own.
-    line = near.filter("not block").select(key, "component", F.col("start").alias("_s"), F.col("end").alias("_e"))
+    line = near.filter("not block").select(key, "_hash", "component", F.col("start").alias("_s"), F.col("end").alias("_e"))
     inner = (F.col("_s") >= F.col("start")) & (F.col("_e") <= F.col("end"))
-    near = near.alias("b").join(line.alias("l"), [F.col(f"b.{key}") == F.col(f"l.{key}"), F.col("b.component") == F.col("l.component"), inner & F.col("block")], "left_anti")
+    same = [F.col(f"b.{c}") == F.col(f"l.{c}") for c in (key, "_hash", "component")]
+    near = near.alias("b").join(line.alias("l"), [*same, inner & F.col("block")], "left_anti")
+    return near.select(key, "_hash", "start", "end", "first")
+
 
+def _equal_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
     # Texts that share a run of WINDOW + SPAN - 1 words pick a common window less than SPAN words from either end of it;
     # so all windows about the picked ones that several texts have, looked up once more, cover the whole run.
-    marks = windows(docs, key, text)
-    hits = marks.join(shared_marks(marks, key).select("mark"), "mark").groupBy(key).agg(F.collect_set("at").alias("hits"))
-    close = materialize(windows_near(docs.join(hits, key), key, text), "windows")
-    equal = close.join(shared_marks(close, key), "mark").filter(F.col(key) > F.col("first"))
-    cols = [key, "start", "end", "first"]
-    return near.select(cols).unionByName(equal.select(cols))
+    by = [key, "_hash"]
+    with scratch_scope(docs.sparkSession):
+        marks = materialize(windows(docs, key, text), "marks")
+        hits = marks.join(shared_marks(marks, key).select("mark"), "mark").groupBy(by).agg(F.collect_set("at").alias("hits"))
+        with outer_scratch():
+            close = materialize(windows_near(docs.join(hits, by), key, text), "windows")
+    return close.join(shared_marks(close, key), "mark").filter(F.col(key) > F.col("first")).select(*by, "start", "end", "first")
 
 
 def remove_repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -256,16 +287,18 @@ def remove_repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str
     joining those that touch), removed_bytes, first_docs (keys of the texts that keep the passages).
 
     Removed lines go with their line end. NULL and empty texts, texts without repeats and rows with a NULL
-    key stay as they are (n_removed 0). Rows that repeat a key are one text to this operator: they are cut
-    alike if they are equal, and spans past a text's end are ignored. Columns with these names are replaced.
+    key stay as they are (n_removed 0). Rows that repeat a key are copies of one document to this operator: each
+    is cut by the spans found in its own text, and none for what it shares with the others of its key only.
+    Columns with these names are replaced.
     """
     made = ["n_removed", "removed_bytes", "first_docs"]
     base = docs.drop(*made)
     found = repeats(base, n_words, ratio, key, text)
-    found = found.groupBy(F.col(key).alias("_k")).agg(
+    found = found.groupBy(F.col(key).alias("_k"), "_hash").agg(
         F.collect_set(F.struct("start", "end")).alias("_spans"), F.array_sort(F.collect_set("first")).alias("first_docs")
     )
-    joined = base.join(found, base[key].cast("bigint") == F.col("_k"), "left").drop("_k")
+    own = (base[key].cast("bigint") == F.col("_k")) & (F.xxhash64(base[text]) == F.col("_hash"))
+    joined = base.join(found, own, "left").drop("_k")
     rest = [c for c in base.columns if c != text]
     kinds = {f.name: f.dataType.simpleString() for f in base.schema}
 

@@ -185,3 +185,34 @@ def test_near_equal_paragraphs_and_odd_rows(docs_of, prose):
 def test_bands_are_tuned_for_recall():
     bands, rows = passages.tune_bands(0.8, 0.999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 and bands * rows <= passages.MAX_HASHES
+
+
+def test_one_id_with_two_texts(docs_of, prose):
+    """Spans belong to a row's own text: nothing is cut by places of another text that shares its id."""
+    shared = " ".join(f"shared{k}" for k in range(60))
+    texts = [shared, shared + " and own", "éé " * 7 + "\n" + shared + " ünd", "x" * 50 + " " + prose(2, 30), None, ""]
+    rows = passages.remove_repeats(docs_of(texts, [1, 7, 7, 7, 7, 7])).collect()
+    want = [(1, shared, 0), (7, "", 1), (7, "éé " * 7 + "\n", 1), (7, texts[3], 0), (7, None, 0), (7, "", 0)]
+    assert sorted(((r.doc_id, r.text, r.n_removed) for r in rows), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("cap", [256, 4])
+def test_paragraph_components_equal_brute_force(docs_of, prose, cap, monkeypatch):
+    """Lines on both sides of the limit: a line goes if its component has a line in a text with a smaller key."""
+    monkeypatch.setattr(passages, "CAP", cap)
+    monkeypatch.setattr(passages.band_blocks, "__defaults__", (cap,))
+    rnd = random.Random(11)
+    lines = [edited(prose(k % 6, 40), rnd, rnd.randint(0, 4)) for k in range(60)] + [prose(100 + k, 12) for k in range(10)]
+    rnd.shuffle(lines)
+    docs = [(i, "\n\n".join(lines[7 * i : 7 * i + 7])) for i in range(10)]
+    numbered = [(n, line) for n, line in enumerate(lines)]
+    groups = brute(numbered, 5)
+    least = {}
+    for n, _ in numbered:
+        least[groups[n][1]] = min(least.get(groups[n][1], 99), n // 7)
+    want = {(n // 7, line) for n, line in numbered if n // 7 > least[groups[n][1]]}
+    spans = passages._near_paragraphs(
+        docs_of([t for _, t in docs]).selectExpr("doc_id", "text", "xxhash64(text) as _hash"), 5, (80, 100), "doc_id", "text", 5
+    ).collect()
+    texts = {i: t.encode() for i, t in docs}
+    assert {(r.doc_id, texts[r.doc_id][r.start : r.end].decode().strip()) for r in spans} == want
