@@ -48,8 +48,8 @@ class Codec:
     emptied when it holds CACHE of them or CHARS characters, which changes no result.
     """
 
-    CACHE = 300_000
-    CHARS = 32_000_000
+    CACHE = 120_000
+    CHARS = 4_000_000
 
     def __init__(self, ranks_file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
@@ -133,7 +133,7 @@ class Codec:
         return np.stack([char_of[ends - length], char_of[ends - 1] + 1], axis=1)
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=1)
 def _codec(ranks_file: bytes) -> Codec:
     return Codec(ranks_file)
 

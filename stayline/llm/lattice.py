@@ -9,7 +9,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.wordbytes import Words, slices
@@ -19,7 +19,7 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁".encode()  # stands before a word
 GATHER = 16  # slices whose word counts are put together before they leave a task
 COMMON = 1 << 17  # words whose probabilities every task holds
-GROUPS = 8  # kinds of text told apart at most
+GROUPS = 8  # kinds of text told apart at most; more labels share them
 ROUNDS = 3  # re-estimations of the piece probabilities
 LONG = 64  # bytes; longer words are worked on one at a time
 CHUNK = 20_000
@@ -46,37 +46,69 @@ def read_pieces(path: str | None = None) -> list[tuple[bytes, float]]:
     return [(p, math.log(w / total)) for p, w in weight.items()]
 
 
+def trie_arcs(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """A trie of pieces over bytes in one row of slots: where each node's slots begin (its arc of a byte is that many
+    slots on), the node each slot belongs to, the node it leads to, the piece that ends in each node (-1: none), and
+    the longest piece's length. Nodes' slots interlock, so a vocabulary of 32,000 takes about a MB."""
+    nodes: dict[tuple[int, int], int] = {}
+    ends = []
+    for piece in pieces:
+        at = 0
+        for b in piece:
+            at = nodes.setdefault((at, b), len(nodes) + 1)
+        ends.append(at)
+    arcs: dict[int, list[int]] = {}
+    for node, b in nodes:
+        arcs.setdefault(node, []).append(b)
+    base, taken, low, floor = np.zeros(len(nodes) + 1, dtype=np.int32), 0, 0, 0
+    for node in sorted(arcs, key=lambda n: -len(arcs[n])):
+        first = min(arcs[node])
+        want = sum(1 << (b - first) for b in arcs[node])
+        if want == 1:
+            at = low = _first_gap(taken, low)
+        else:
+            at, tries = _first_gap(taken, floor), 0
+            while taken >> at & want:
+                at, tries = _first_gap(taken, at + 1), tries + 1
+                if tries == 40:  # so full that later nodes need not look here; single arcs fill the gaps
+                    floor = at
+        taken |= want << at
+        base[node] = at - first
+    owner = np.full(int(base.max(initial=0)) + 512, -1, dtype=np.int32)
+    to = np.zeros(len(owner), dtype=np.int32)
+    for (node, b), end in nodes.items():
+        owner[base[node] + b + 256], to[base[node] + b + 256] = node, end
+    ending = np.full(len(nodes) + 1, -1, dtype=np.int32)
+    ending[ends] = np.arange(len(pieces))
+    return base + 256, owner, to, ending, max(map(len, pieces))
+
+
+def _first_gap(taken: int, at: int) -> int:
+    """The first bit from `at` on that is not set."""
+    rest = ~(taken >> at)
+    return at + (rest & -rest).bit_length() - 1
+
+
 class Lattice:
-    """A trie of pieces over bytes, walked for many words of one length at a time."""
-
-    def __init__(self, pieces: list[bytes], logp: np.ndarray):
-        bytes_used = np.unique(np.frombuffer(b"".join(pieces), dtype=np.uint8))
-        self.letter = np.zeros(256, dtype=np.int64)
-        self.letter[bytes_used] = np.arange(len(bytes_used))
-        nodes: dict[tuple[int, int], int] = {}
-        ends = []
-        for piece in pieces:
-            at = 0
-            for b in piece:
-                at = nodes.setdefault((at, b), len(nodes) + 1)
-            ends.append(at)
-        self.next = np.full((len(nodes) + 1, len(bytes_used)), -1, dtype=np.int32)
-        for (node, b), to in nodes.items():
-            self.next[node, self.letter[b]] = to
-        self.piece = np.full(len(nodes) + 1, -1, dtype=np.int64)
-        self.piece[ends] = np.arange(len(pieces))
+    """Pieces with log probabilities; their trie is walked for many words of one length at a time."""
+
+    def __init__(self, trie, logp: np.ndarray):
+        self.base, self.owner, self.to, self.piece, self.longest = trie
         self.logp = np.append(logp, -np.inf)  # the last one for nodes that end no piece
-        self.longest = max(map(len, pieces))
+
+    def _step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The nodes that bytes lead to; -1: none."""
+        slot = self.base[node] + byte
+        return np.where(self.owner[slot] == node, self.to[slot], -1)
 
     def _arcs(self, text: np.ndarray):
         """Arcs of words of one length (rows of bytes): (start, end, row, piece), by start and end."""
         n, length = text.shape
-        letters = self.letter[text]
         for start in range(length):
             row = np.arange(n)
             node = np.zeros(n, dtype=np.int64)
             for end in range(start, min(length, start + self.longest)):
-                node = self.next[node, letters[row, end]]
+                node = self._step(node, text[row, end])
                 live = node >= 0
                 row, node = row[live], node[live]
                 if not len(row):
@@ -108,14 +140,14 @@ class Lattice:
 
     def _long(self, word: bytes):
         """The same for one long word: its arcs by start, and the log sums before each byte."""
-        letters = self.letter[np.frombuffer(word, np.uint8)]
+        letters = np.frombuffer(word, np.uint8)
         start = np.arange(len(word))
         node = np.zeros(len(word), dtype=np.int64)
         found = []
         for step in range(min(len(word), self.longest)):
             inside = start + step < len(word)
             start, node = start[inside], node[inside]
-            node = self.next[node, letters[start + step]]
+            node = self._step(node, letters[start + step])
             start, node = start[node >= 0], node[node >= 0]
             piece = self.piece[node]
             known = piece >= 0
@@ -146,12 +178,15 @@ class Lattice:
             yield part, np.frombuffer(b"".join([marked[k] for k in part]), np.uint8).reshape(len(part), n)
             at = stop
 
-    def log_probability(self, words: list[bytes]) -> np.ndarray:
-        """Log of the sum over all segmentations, for each word."""
-        out = np.empty(len(words))
+    def log_probability(self, words: list[bytes], *others: Lattice) -> np.ndarray:
+        """Log of the sum over all segmentations, for each word; with other lattices on the same trie, a row for each."""
+        every = (self, *others)
+        out = np.empty((len(every), len(words)))
         for at, text in self.grouped(words):
-            out[at] = self._long(MARK + words[at])[1][-1] if text is None else self.forward(text)[-1]
-        return out
+            arcs = None if text is None else list(self._arcs(text))
+            for k, lattice in enumerate(every):
+                out[k, at] = lattice._long(MARK + words[at])[1][-1] if text is None else lattice.forward(text, arcs)[-1]
+        return out if others else out[0]
 
     def piece_counts(self, words: list[bytes], counts: np.ndarray) -> None:
         """Adds the expected pieces of each word to `counts`."""
@@ -172,11 +207,6 @@ def _log_add(a: float, b: float) -> float:
     return high if low == -math.inf else high + math.log1p(math.exp(low - high))
 
 
-@functools.lru_cache(maxsize=2)
-def _lattice(pieces: tuple, logp: bytes) -> Lattice:
-    return Lattice(list(pieces), np.frombuffer(logp))
-
-
 def learns(key: str = "doc_id"):
     """Rows that the model learns from: crc32 of the id as text, mod 5, is not 1; not rows with a NULL id."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 1, F.lit(False))
@@ -200,21 +230,22 @@ def _take(words: Words, at: np.ndarray) -> pa.Array:
     )
 
 
-def learned_groups(docs: DataFrame, key: str, group: str | None) -> list:
-    """The GROUPS - 1 most frequent values of a column in the rows to learn from; others share one group."""
+def learned_groups(docs: DataFrame, key: str, group: str | None) -> tuple[DataFrame | None, int]:
+    """((value of `group`, slot), number of slots): all values in the rows to learn from are dealt in turn, the
+    most frequent first, to GROUPS slots at most."""
     if group is None:
-        return []
-    rows = docs.filter(learns(key) & F.col(group).isNotNull()).groupBy(group).count()
-    return [r[0] for r in rows.orderBy(F.desc("count"), group).limit(GROUPS - 1).collect()]
+        return None, 1
+    values = docs.filter(learns(key) & F.col(group).isNotNull()).groupBy(F.col(group).alias("_value")).count()
+    place = F.row_number().over(Window.orderBy(F.desc("count"), "_value")) - 1  # a row per value, not per text
+    values = materialize(values.select("_value", (place % GROUPS).cast("bigint").alias("slot")), "groups")
+    return values, max(1, min(GROUPS, values.count()))
 
 
-def word_counts(docs: DataFrame, groups: list, key: str = "doc_id", text: str = "text", group: str | None = None) -> DataFrame:
+def word_counts(
+    docs: DataFrame, groups: DataFrame | None = None, slots: int = 1, key: str = "doc_id", text: str = "text", group: str | None = None
+) -> DataFrame:
     """(word, c, c0, c1, ...): every word of `docs`, the end included, with its count in the rows to learn
-    from, in all and by group; the last group is that of all other values."""
-    slots = len(groups) + 1
-    slot = F.lit(slots - 1)
-    for k, value in enumerate(groups):
-        slot = F.when(F.col(group) == F.lit(value), k).otherwise(slot)
+    from, in all and by slot of their group; rows without a group are in the last one."""
     names = [f"c{k}" for k in range(slots)]
 
     def run(batches):
@@ -237,8 +268,12 @@ def word_counts(docs: DataFrame, groups: list, key: str = "doc_id", text: str =
         if held:
             yield flush()
 
-    slot = F.when(learns(key), slot).otherwise(-1)
-    rows = docs.select(F.col(f"`{text}`"), F.coalesce(slot, F.lit(slots - 1)).alias("slot"))
+    if groups is None:
+        rows = docs.select(F.col(f"`{text}`"), learns(key).alias("_l"), F.lit(slots - 1).cast("bigint").alias("slot"))
+    else:
+        rows = docs.select(F.col(f"`{text}`"), learns(key).alias("_l"), F.col(group).alias("_value")).join(groups, "_value", "left")
+    slot = F.when(F.col("_l"), F.coalesce("slot", F.lit(slots - 1))).otherwise(-1)
+    rows = rows.select(text, slot.cast("bigint").alias("slot"))
     words = rows.mapInArrow(run, ", ".join(["word binary", *[f"{c} bigint" for c in names]]))
     ends = rows.select(
         F.lit(END).cast("binary").alias("word"),
@@ -248,21 +283,19 @@ def word_counts(docs: DataFrame, groups: list, key: str = "doc_id", text: str =
     return counts.withColumn("c", F.expr(" + ".join(names)))
 
 
-def fit_pieces(words: DataFrame, pieces: list[tuple[bytes, float]], rounds: int = ROUNDS) -> np.ndarray:
+def fit_pieces(words: DataFrame, trie, logp: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Log probabilities of the pieces, re-estimated on all distinct words that were learned.
 
     Each round spreads every word over its segmentations by the present probabilities (forward and
     backward) and counts the pieces. Words count once each, as the lattice has to answer for those that
     are rare or new. The counts have a row per piece at most, whatever the input.
     """
-    names = tuple(p for p, _ in pieces)
-    logp = np.array([s for _, s in pieces])
     known = words.filter((F.col("c") > 0) & (F.length("word") > 0)).select("word")
     for _ in range(rounds):
-        shared = words.sparkSession.sparkContext.broadcast((names, logp.tobytes()))
+        shared = words.sparkSession.sparkContext.broadcast(logp)
 
         def run(batches, shared=shared):
-            lattice = _lattice(*shared.value)
+            lattice = Lattice(trie.value, shared.value)
             counts = np.zeros(len(lattice.logp) - 1)
             for batch in batches:
                 lattice.piece_counts(batch.column(0).to_pylist(), counts)
@@ -270,7 +303,7 @@ def fit_pieces(words: DataFrame, pieces: list[tuple[bytes, float]], rounds: int
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["piece", "n"])
 
         rows = known.mapInArrow(run, "piece bigint, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-        counts = np.full(len(names), 0.01)
+        counts = np.full(len(logp), 0.01)
         for r in rows:
             counts[r["piece"]] += r["n"]
         logp = np.log(counts / counts.sum())
@@ -278,8 +311,9 @@ def fit_pieces(words: DataFrame, pieces: list[tuple[bytes, float]], rounds: int
 
 
 def word_scores(words: DataFrame, slots: int, path: str | None = None) -> tuple[DataFrame, dict]:
-    """`words` with `base` and, for each group, the log10 probability of the word (m0, m1, ...).
+    """`words` with `base`, `plain` and, for each group, the log10 probability of the word (m0, m1, ...).
 
+    `plain` is the word's marginal over all segmentations by the vocabulary's own scores.
     In a group a word keeps its count less a discount (absolute discounting, from how many words were
     seen once and twice); what the discounts leave goes to all strings by their lattice probability.
     """
@@ -299,24 +333,26 @@ def word_scores(words: DataFrame, slots: int, path: str | None = None) -> tuple[
     size = np.array([stats[f"n_{c}"] or 0 for c in names], dtype=np.float64)
     left = (discount * np.array([stats[f"v_{c}"] for c in names]) + 1) / (size + 1)
     pieces = read_pieces(path)
-    logp = fit_pieces(words, pieces)
-    shared = words.sparkSession.sparkContext.broadcast((tuple(p for p, _ in pieces), logp.tobytes()))
+    context = words.sparkSession.sparkContext
+    trie = context.broadcast(trie_arcs([p for p, _ in pieces]))
+    start = np.array([s for _, s in pieces])
+    shared = context.broadcast((start, fit_pieces(words, trie, start)))
 
     def run(batches):
-        lattice = _lattice(*shared.value)
+        plain, lattice = (Lattice(trie.value, logp) for logp in shared.value)
         for batch in batches:
-            spelled = lattice.log_probability(batch.column(0).to_pylist())
+            spelled, given = lattice.log_probability(batch.column(0).to_pylist(), plain)
             total = batch.column(1).to_numpy()
             base = np.log10((total + 0.5) / (n + 0.5 * (v + 1)))
-            cols = [batch.column(0), batch.column(1), pa.array(base)]
+            cols = [batch.column(0), batch.column(1), pa.array(base), pa.array(given / math.log(10))]
             for k in range(slots):
                 kept = np.maximum(batch.column(2 + k).to_numpy() - discount, 0) / (size[k] + 1)
                 with np.errstate(divide="ignore"):
                     both = np.logaddexp(np.log(kept), math.log(left[k]) + spelled)
                 cols.append(pa.array(both / math.log(10)))
-            yield pa.RecordBatch.from_arrays(cols, names=["word", "c", "base", *made])
+            yield pa.RecordBatch.from_arrays(cols, names=["word", "c", "base", "plain", *made])
 
-    ddl = ", ".join(["word binary, c bigint, base double", *[f"{m} double" for m in made]])
+    ddl = ", ".join(["word binary, c bigint, base double, plain double", *[f"{m} double" for m in made]])
     scored = words.select("word", "c", *names).mapInArrow(run, ddl)
     ends = np.array([stats[f"e_{c}"] or 0 for c in names], dtype=np.float64)
     end = {
@@ -331,27 +367,28 @@ def word_scores(words: DataFrame, slots: int, path: str | None = None) -> tuple[
 def score(
     docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", group: str | None = None
 ) -> DataFrame:
-    """Per text: key, held_out, n_tokens, n_known, train_tokens, base_score, score, words.
+    """Per row: key, held_out, n_tokens, n_known, train_tokens, base_score, lattice_score, score.
 
     Words are runs other than white space, A-Z in lower case, and one end per text. base_score is the
     unigram score of the learned counts; score is log10 of the marginal probability of the text: over all
     segmentations of its words, and over the groups (values of `group`, such as the language) that the
-    text may belong to, by their share of the texts learned. The group is read from rows that are learned,
+    text may belong to, by their share of the texts learned. lattice_score is the marginal of the words by the
+    vocabulary's own scores alone, without the end. The group is read from rows that are learned,
     never from a row that is scored. All counts cover all rows; every word is scored once, wherever it stands.
 
     The COMMON most frequent words go to every task with their scores (a table of fixed size), the other
     words of a text meet theirs in a join, in which no word is frequent.
 
     NULL and empty texts have their end as the only token. A row with a NULL key is not learned from and
-    is not held out. Rows that repeat a key and text give one row; other columns are not read. An
+    is not held out. Repeated rows are scored alike, each on its own; other columns are not read. An
     empty table gives an empty result, and if nothing is learned all words are unknown.
     """
-    groups = learned_groups(docs, key, group)
-    slots = len(groups) + 1
-    made = [f"m{k}" for k in range(slots)]
-    words, totals = word_scores(materialize(word_counts(docs, groups, key, text, group), "words"), slots, path)
+    groups, slots = learned_groups(docs, key, group)
+    kinds = [f"m{k}" for k in range(slots)]
+    made = ["plain", *kinds]
+    words, totals = word_scores(materialize(word_counts(docs, groups, slots, key, text, group), "words"), slots, path)
     words = materialize(words.filter(F.length("word") > 0), "word-scores")
-    docs = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
+    docs = docs.select(F.monotonically_increasing_id().alias("print"), F.col(f"`{key}`"), F.col(f"`{text}`"))
     table = _most_common(words).select("word", "base", *made).toPandas()  # COMMON rows at most
     blob = b"\n".join(bytes(w) for w in table["word"])
     numbers = table[["base", *made]].to_numpy("float64").T.tobytes()
@@ -367,28 +404,27 @@ def score(
 
     cast = F.col(key).cast("string").cast("binary")
     held_out = F.coalesce(F.crc32(cast) % 5 == 1, F.lit(False))
-    parts = docs.withColumns({"held_out": held_out, "print": F.xxhash64(text)}).mapInArrow(
+    parts = docs.withColumn("held_out", held_out).mapInArrow(
         run,
         f"`{key}` {kind}, held_out boolean, print bigint, word binary, times bigint, n_tokens bigint, "
         + ", ".join(["n_known bigint, base double", *[f"{m} double" for m in made]]),
     )
     found = words.select("word", "c", *[F.col(c).alias(f"w_{c}") for c in ["base", *made]])
     joined = parts.join(found, "word", "left")
-    rows = F.count("n_tokens")  # 1, or how often the row is repeated
     rare_known = F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0))
     return (
         joined.groupBy(key, "held_out", "print")
         .agg(
             F.max("n_tokens").alias("n_tokens"),
-            (F.max("n_known") + F.floor(rare_known / rows)).alias("n_known"),
+            (F.max("n_known") + rare_known).alias("n_known"),
             F.lit(totals["train_tokens"]).cast("bigint").alias("train_tokens"),
-            *[(F.sum(F.coalesce(F.col(f"w_{c}") * F.col("times"), F.col(c))) / rows).alias(c) for c in ["base", *made]],
+            *[F.sum(F.coalesce(F.col(f"w_{c}") * F.col("times"), F.col(c))).alias(c) for c in ["base", *made]],
         )
-        .withColumns({m: F.col(m) + F.lit(p) for m, p in zip(made, totals["prior"])})
-        .withColumn("_top", F.greatest(*made, *made[:1]))
-        .withColumn("score", F.col("_top") + F.log10(sum(F.pow(F.lit(10.0), F.col(m) - F.col("_top")) for m in made)))
-        .withColumnRenamed("base", "base_score")
-        .drop("print", "_top", *made)
+        .withColumns({m: F.col(m) + F.lit(p) for m, p in zip(kinds, totals["prior"])})
+        .withColumn("_top", F.greatest(*kinds, *kinds[:1]))
+        .withColumn("score", F.col("_top") + F.log10(sum(F.pow(F.lit(10.0), F.col(m) - F.col("_top")) for m in kinds)))
+        .withColumnsRenamed({"base": "base_score", "plain": "lattice_score"})
+        .drop("print", "_top", *kinds)
     )
 
 
@@ -416,8 +452,8 @@ def _common(blob: bytes, numbers: bytes):
 def _split(part: pa.RecordBatch, common, key: str, text: str, end: dict):
     """A row per text with the sums of its end and common words, and a row per text and other word.
 
-    The first ones get a word of their own that no text has (0xFF is not UTF-8), so that they go
-    through the join without meeting one another.
+    The first ones get a word of their own that no text has (0xFF is not UTF-8, then the row's
+    number), so that they go through the join without meeting one another.
     """
     words = Words(part.column(text))
     n = part.num_rows
@@ -428,10 +464,10 @@ def _split(part: pa.RecordBatch, common, key: str, text: str, end: dict):
     is_common = hashes[at] == unique if len(hashes) else np.zeros(len(unique), dtype=bool)
     token = is_common[inverse]
     r, w = row[token], at[inverse[token]]
-    ends = [end["base"], *end["model"]]
+    ends = [end["base"], 0.0, *end["model"]]
     sums = [np.bincount(r, values[k][w], n) + e if len(r) else np.full(n, e) for k, e in enumerate(ends)]
     own = [b"\xff" + int(p).to_bytes(8, "little", signed=True) for p in part.column("print").to_pylist()]
-    made = [f"m{k}" for k in range(len(end["model"]))]
+    made = ["plain", *[f"m{k}" for k in range(len(end["model"]))]]
     names = [key, "held_out", "print", "word", "times", "n_tokens", "n_known", "base", *made]
     heads = [part.column(c) for c in names[:3]]
     yield pa.RecordBatch.from_arrays(

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20  # text bytes worked on at a time, unless one text is longer
+SLICE_BYTES = (512 << 10) - 16  # text bytes worked on at a time, unless one text is longer
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: By byte: 0 for separators, and one kind for all others.
 WORD = np.ones(256, dtype=np.uint8)
@@ -51,8 +51,17 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[start : start + offsets[-1]], offsets
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(log_size: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and its inverse for `size` places; tables for a slice are kept, longer ones are not."""
+    return _kept_powers() if size < 1 << 19 else _make_powers(size.bit_length())
+
+
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _make_powers(19)
+
+
+def _make_powers(log_size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
     out = []
     for base in (_BASE, inverse):
@@ -73,7 +82,7 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     """Hashes of byte ranges; equal bytes give equal hashes wherever they stand."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
-    power, inverse = _powers(max(21, int(len(data) + 1).bit_length()))
+    power, inverse = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
     return mix(((sums[ends] - sums[starts]) * inverse[starts]) ^ mix((ends - starts).astype(np.uint64)))
@@ -149,7 +158,7 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
 def sequence_ids(words: Words) -> np.ndarray:
     """A hash of each row's words in their order; 0 words give one value too."""
     h = words.hash
-    power, back = _powers(max(21, int(len(h) + 1).bit_length()))
+    power, back = _powers(len(h) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h) * power[: len(h)])])
     start, end = words.row[:-1], words.row[1:]
     return mix(((sums[end] - sums[start]) * back[start]) ^ mix((end - start).astype(np.uint64)))
