@@ -6,6 +6,8 @@ import functools
 import hashlib
 import itertools
 import os
+import re
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +28,8 @@ PIECE = 4 << 10  # characters of the listing of groups that travel as one row, a
 HELD = 1 << 21  # pairs whose counts a task holds before it hands them on
 COMMON = 1 << 17  # pairs whose counts every task holds; the others meet theirs in a join
 SPACE = "▁"
+WORDS = re.compile(r"(?<=\S) (?=\S)")
+WORDS_HELD, CHARS_HELD = 200_000, 4_000_000  # words that a task remembers the ids of
 
 
 class Aligner:
@@ -50,35 +54,88 @@ class Aligner:
             pieces.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode())
         self.bytes_b = self._table(pieces)
         self.digits = self._table([b"%d," % i for i in range(max(self.a.get_vocab_size(), len(pieces)))])
+        self._forget()
 
     @staticmethod
     def _table(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.frombuffer(b"".join(rows), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
 
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.fine, self.chars = bytearray(), 0
+        self.sides = [(array("i"), array("q", [0])) for _ in "ab"]  # ids, and where each word's ids end
+
+    def _learn(self, words: list[str]) -> None:
+        """Encodes words that are not known yet; which ones come back as they were is kept beside their ids.
+
+        Words without white space at their ends are encoded as one text; if that comes back changed, one by one.
+        """
+        joins = [w for w in words if not (w[0].isspace() or w[-1].isspace() or SPACE in w)]
+        alone = sorted(set(words).difference(joins))
+        if joins:
+            raw = (" " + " ".join(joins)).encode()
+            ends = np.cumsum([1 + len(w.encode()) for w in joins])
+            sides = []
+            for (ids, _), table in zip(self._both([" ".join(joins)]), (self.bytes_a, self.bytes_b)):
+                upto = np.cumsum(np.diff(table[1])[ids])
+                at = np.searchsorted(upto, ends) + 1
+                if ragged(*table, ids).tobytes() != raw or not np.array_equal(upto[at - 1], ends):
+                    alone, joins = words, []
+                    break
+                sides.append((ids, at))
+            else:
+                self._keep(joins, sides, np.ones(len(joins), dtype=bool))
+        if alone:
+            fine = np.ones(len(alone), dtype=bool)
+            sides = self._both(alone)
+            for (ids, at), table in zip(sides, (self.bytes_a, self.bytes_b)):
+                joined = ragged(*table, ids).tobytes()
+                upto = np.concatenate([[0], np.cumsum(np.diff(table[1])[ids])])[np.concatenate([[0], at])].tolist()
+                fine &= np.array([joined[x:y] == (" " + w).encode() for w, x, y in zip(alone, upto, upto[1:])])
+            self._keep(alone, sides, fine)
+
+    def _both(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of A and B: ids of all texts side by side, and where each text's ids end."""
+        found_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        out = []
+        for found in (found_a, self.b.encode(texts, num_threads=1)):
+            at = np.cumsum([len(f) for f in found])
+            out.append((np.fromiter(itertools.chain.from_iterable(found), np.int32, at[-1]), at))
+        return out
+
+    def _keep(self, words: list[str], sides, fine: np.ndarray) -> None:
+        for (new, at), (ids, ends) in zip(sides, self.sides):
+            ends.frombytes((at.astype(np.int64) + len(ids)).tobytes())
+            ids.frombytes(new.tobytes())
+        self.known.update(zip(words, range(len(self.fine), len(self.fine) + len(words))))
+        self.fine += fine.tobytes()
+        self.chars += sum(map(len, words))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, Tokens, np.ndarray]:
         """(whether both tokenizers give the bytes of space + text back, the tokens of those that do, where each text ends).
 
-        The texts stand side by side; one that is empty or comes back changed has no bytes and no tokens.
+        The texts stand side by side; one that is empty or comes back changed has no bytes and no tokens. No
+        token crosses a single space between two signs, so a text's tokens are those of its words, and a
+        word is encoded once as long as it is remembered; what is remembered has a size limit and changes no result.
         """
-        found_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        found_b = self.b.encode(texts, num_threads=1)
-        ok = np.zeros(len(texts), dtype=bool)
-        size = np.zeros(len(texts), dtype=np.int64)
-        sides = []
-        for found, table in ((found_a, self.bytes_a), (found_b, self.bytes_b)):
-            at = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
-            ids = np.fromiter(itertools.chain.from_iterable(found), np.int64, at[-1])
-            length = np.diff(table[1])[ids]
-            joined = ragged(*table, ids).tobytes()
-            sides.append((ids, length, at, joined, np.concatenate([[0], np.cumsum(length)])[at]))
-        for k, t in enumerate(texts):
-            raw = (" " + t).encode() if t else b""
-            ok[k] = bool(raw) and all(joined[upto[k] : upto[k + 1]] == raw for *_, joined, upto in sides)
-            size[k] = len(raw) if ok[k] else 0
+        words = [WORDS.split(t) if t else [] for t in texts]
+        new = set(itertools.chain.from_iterable(words)).difference(self.known)
+        if len(self.known) + len(new) > WORDS_HELD or self.chars > CHARS_HELD:
+            self._forget()
+            new = set(itertools.chain.from_iterable(words))
+        if new:
+            self._learn(sorted(new))
+        n = [len(w) for w in words]
+        rows = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(n))
+        of = np.repeat(np.arange(len(texts)), n)
+        ok = np.array(n) > 0
+        ok[of[np.frombuffer(bytes(self.fine), dtype=bool)[rows] == 0]] = False
+        size = np.array([1 + len(t.encode()) if o else 0 for t, o in zip(texts, ok)], dtype=np.int64)
+        rows = rows[ok[of]]
         out = []
-        for ids, length, at, *_ in sides:
-            keep = np.repeat(ok, np.diff(at))
-            out += [ids[keep], np.cumsum(length[keep])]
+        for (ids, ends), table in zip(self.sides, (self.bytes_a, self.bytes_b)):
+            some = ragged(np.array(ids, dtype=np.int32), np.array(ends, dtype=np.int64), rows).astype(np.int64)
+            out += [some, np.cumsum(np.diff(table[1])[some])]
         return ok, Tokens(*out), np.cumsum(size)
 
 
