@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.numeric import share
@@ -78,6 +78,23 @@ def transform_customers(
     )
 
 
+def transform_observed(
+    raw: DataFrame, processed_at: dt.datetime, job_name: str, tiebreak: str, key: str = "customer_id", ts: str = "event_date"
+) -> tuple[DataFrame, dict[str, Observation]]:
+    """`transform_customers` that counts rows on the way: (processed rows, observation of each stage).
+
+    The counts come with whatever action runs the plan first, the write for one; no further scan is made.
+    """
+    seen = {stage: Observation(stage) for stage in ("raw_rows", "deduplicated_rows", "labelled_rows")}
+
+    def counted(df: DataFrame, stage: str) -> DataFrame:
+        return df.observe(seen[stage], F.count(F.lit(1)).alias(stage))
+
+    latest = counted(raw, "raw_rows").transform(latest_per_key, key, ts, tiebreak).transform(counted, "deduplicated_rows")
+    labelled = latest.transform(fill_nulls).transform(drop_unlabelled).transform(counted, "labelled_rows")
+    return labelled.transform(flag_ranges).transform(derive_features).transform(add_lineage, processed_at, job_name), seen
+
+
 def stage_counts(raw: DataFrame, key: str = "customer_id", label: str = LABEL) -> DataFrame:
     """Raw, deduplicated and labelled counts in one pass.
 

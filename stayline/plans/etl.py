@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,7 @@ from stayline.plans.base import (
     table,
 )
 from stayline.schema import CUSTOMER_SCHEMA, FEATURES_8, FEATURES_11, NON_FEATURES
+from stayline.session import local_table, materialize
 from stayline.sources.readers import cast_columns
 from stayline.sources.synthetic import CALIBRATION, calibrated
 
@@ -98,6 +101,18 @@ def etl_stage_counts(spark, sf) -> DataFrame:
     return clean.stage_counts(customer_feed(spark, sf))
 
 
+@query(
+    f"""WITH {LATEST} SELECT (SELECT count(*) FROM feed) AS raw_rows,
+    (SELECT count(*) FROM latest) AS deduplicated_rows,
+    (SELECT count(*) FROM processed) AS labelled_rows"""
+)
+def etl_observed_counts(spark, sf) -> DataFrame:
+    """The same counts, observed while the processed table is written."""
+    done, seen = clean.transform_observed(customer_feed(spark, sf), dt.datetime(2024, 1, 1), "etl", "record_id")
+    materialize(done, "processed")
+    return local_table(spark, [[seen[c].get[c] for c in seen]], ", ".join(f"{c} bigint" for c in seen))
+
+
 @query(
     f"""WITH {CLEAN} SELECT data_quality_flag, churn, count(*) AS n,
     round(avg(avg_revenue_per_product), 6) AS mean_revenue, count(*) FILTER (is_new_customer = 1) AS new_customers

@@ -311,8 +311,10 @@ def online_feature_lookup(spark, sf) -> DataFrame:
 
 # --- batch twins of the streaming jobs -----------------------------------------------
 
+# The mean is rounded as a whole number of millionths, so no tie depends on the order of a sum.
 LATENCY_SQL = """SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS window_start,
-  time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 day' AS window_end, count(*) AS n, round(avg(value), 6) AS mean,
+  time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 day' AS window_end, count(*) AS n,
+  CAST((2 * sum(CAST(CAST(value AS DECIMAL(18, 6)) * 1000000 AS HUGEINT)) + count(value)) // (2 * count(value)) AS DOUBLE) / 1000000 AS mean,
   quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY ALL"""
 RATE_SQL = """WITH e AS (SELECT ts, value, unnest(range(7)) AS back FROM events),
 w AS (SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') - back * INTERVAL '1 day' AS s, value FROM e)
@@ -327,6 +329,27 @@ def latency_by_day(spark, sf) -> DataFrame:
     return _rounded(jobs.latency_stats(table(spark, sf, "events"), "ts", "value"), "mean")
 
 
+@query(
+    """SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS window_start, count(*) AS n, 1 AS p50, 1 AS p95, 1 AS p99
+    FROM events GROUP BY ALL"""
+)
+def latency_sketch(spark, sf) -> DataFrame:
+    """Daily percentiles from hourly sketches, each within 0.01 of its exact rank among the day's values."""
+    events = table(spark, sf, "events").select("ts", "value")
+    sketches = materialize(jobs.value_sketches(events, "ts", "value"), "sketches")
+    days = jobs.sketched_latency(sketches).drop("window_end")
+    rows = events.select(F.window("ts", "1 day")["start"].alias("window_start"), "value").join(days, "window_start")
+
+    def near(name: str, q: float):
+        """Whether q lies between the shares of values below the mark and up to it, or 0.01 beside them."""
+        below, upto = F.avg((F.col("value") < F.col(name)).cast("double")), F.avg((F.col("value") <= F.col(name)).cast("double"))
+        return ((below - 0.01 <= q) & (upto + 0.01 >= q)).cast("int").alias(name)
+
+    return rows.groupBy("window_start").agg(
+        F.max("n").alias("n"), near("p50", 0.5), near("p95", 0.95), near("p99", 0.99)
+    ).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 @query(RATE_SQL)
 def sliding_rate(spark, sf) -> DataFrame:
     events = table(spark, sf, "events").select("ts", "value")

@@ -43,6 +43,25 @@ def csv_quarantine(spark, sf) -> DataFrame:
     return bad.select("customer_id", F.array_join("errors", ",").alias("errors"))
 
 
+@query(
+    f"""WITH {CUST}, c AS (SELECT *, customer_id % 3 AS part FROM cust WHERE satisfaction_score >= 0)
+    SELECT CAST(customer_id AS VARCHAR) AS customer_id, churn, tenure_months,
+      CASE WHEN part < 2 THEN support_calls END AS support_calls, CASE WHEN part < 2 THEN satisfaction_score END AS satisfaction_score
+    FROM c"""
+)
+def csv_by_name(spark, sf) -> DataFrame:
+    """One folder of files that have their columns in different orders, some with columns missing, some with more."""
+    rows = customers(spark, sf).filter("satisfaction_score >= 0").withColumn("_part", F.col("customer_id") % 3)
+    names = [f.name for f in CUSTOMER_SCHEMA.fields]
+    orders = (names[::-1], [*names[2:], "note", *names[:2]], ["churn", "tenure_months", "customer_id"])
+    path = new_path(spark, "csv")
+    for k, order in enumerate(orders):
+        part = rows.filter(F.col("_part") == k).withColumn("note", F.lit("a, b"))
+        part.select(*[F.col(c).cast("string") for c in order]).write.option("header", True).csv(f"{path}/{k}")
+    good, _ = readers.read_customers_csv(spark, path)
+    return good.select("customer_id", "churn", "tenure_months", "support_calls", "satisfaction_score")
+
+
 @query(
     f"""WITH {CUST} SELECT CAST(customer_id AS VARCHAR) AS customer_id, CASE WHEN satisfaction_score < 0 THEN 1 ELSE 0 END AS quarantined FROM cust
     WHERE satisfaction_score IS NOT NULL"""

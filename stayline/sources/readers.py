@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,17 +22,46 @@ CARD_STRUCT = (
 CARDS_TYPE = f"map<string,map<string,{CARD_STRUCT}>>"
 
 
+def csv_headers(spark: SparkSession, path) -> DataFrame:
+    """(header, files): the first lines of the CSV files below a path, and the files that begin with each.
+
+    Only the first block of a file is looked at. There are a few headers, and as many files as the reader lists anyway.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"))
+    place = F.monotonically_increasing_id()
+    first = lines.withColumn("_row", place).filter("_at = 0").groupBy("file").agg(F.min_by("value", "_row").alias("header"))
+    return first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
+
+
+def header_names(header: str) -> list[str]:
+    """The column names of a header line; quotes, a byte order mark and blanks around names are left out."""
+    return [c.strip() for c in next(csv.reader([header.lstrip("\ufeff")]), [])]
+
+
 def read_customers_csv(
     spark: SparkSession, path, schema: T.StructType = CUSTOMER_SCHEMA
 ) -> tuple[DataFrame, DataFrame]:
     """(typed rows, quarantined records with the names of the bad fields) from CSV folders.
 
+    Columns are taken by the names in each file's header, in any order and file by file: those that a file lacks are
+    NULL, those that `schema` lacks are not read (`csv_headers` names them). Files with the same header are read together.
     All fields are read as text and cast by expressions. The reader's own check looks only
     at the fields a query selects, so a bad field would go unnoticed in a narrow query.
     """
-    text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())]
-    )
+    heads = [(header_names(r["header"]), r["files"]) for r in csv_headers(spark, path).collect()]
+    parts = [_read_by_name(spark, names, files, schema) for names, files in sorted(heads, key=lambda h: h[1])]
+    if not parts:
+        parts = [_read_by_name(spark, [f.name for f in schema.fields], path, schema)]
+    good, bad = zip(*parts)
+    return functools.reduce(DataFrame.unionByName, good), functools.reduce(DataFrame.unionByName, bad)
+
+
+def _read_by_name(spark: SparkSession, header: list[str], path, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    known = {f.name for f in schema.fields}
+    # An unknown or repeated name gets one of its own place, so that it takes its field and no other.
+    own = [c if c in known and c not in header[:k] else f"_{k}" for k, c in enumerate(header)]
+    text_schema = T.StructType([T.StructField(c, T.StringType()) for c in [*own, CORRUPT]])
     raw = (
         spark.read.schema(text_schema)
         .options(
@@ -43,6 +75,7 @@ def read_customers_csv(
         )
         .csv(path)
     )
+    raw = raw.withColumns({f.name: F.lit(None).cast("string") for f in schema.fields if f.name not in own})
     names = [f.name for f in schema.fields]
     bad_fields = F.array_compact(
         F.array(

@@ -179,15 +179,33 @@ def latency_from(counts: DataFrame) -> DataFrame:
     """Requests, mean and exact percentiles per window from histograms. NULL values only count as requests."""
     whole = counts.groupBy(*WINDOW, "value").agg(F.sum("n").alias("n"))
     known = F.col("value").isNotNull()
-    stats = whole.groupBy(*WINDOW).agg(
-        F.sum("n").alias("n"), (F.sum(F.col("value") * F.col("n")) / F.sum(F.when(known, F.col("n")))).alias("mean")
-    )
+    # Decimals add up to the same sum in any order, so a mean does not depend on how rows were dealt.
+    total = F.sum(F.col("value").cast("decimal(18,6)") * F.col("n").cast("decimal(18,0)"))
+    mean = (total / F.sum(F.when(known, F.col("n")))).cast("decimal(28,12)").cast("double")
+    stats = whole.groupBy(*WINDOW).agg(F.sum("n").alias("n"), mean.alias("mean"))
     ranked = prefix_sums(whole.filter(known), "value", ["n"], WINDOW)
     marks = quantiles_from(ranked, "value", (0.5, 0.95, 0.99), WINDOW)
     marks = marks.withColumnsRenamed({"q0": "p50", "q1": "p95", "q2": "p99"})
     return stats.join(marks, list(WINDOW), "left")
 
 
+def value_sketches(df: DataFrame, ts: str, value: str, width: str = "1 hour") -> DataFrame:
+    """A KLL sketch of a value per tumbling window: a few KB each, whatever the rows. Sketches of parts of the rows merge."""
+    sketches = df.groupBy(_in_window(ts, width, None).alias("window")).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(value)).alias("sketch")
+    )
+    return _flat_window(sketches)
+
+
+def sketched_latency(sketches: DataFrame, width: str = "1 day", marks=(0.5, 0.95, 0.99)) -> DataFrame:
+    """Requests and approximate percentiles (p50, ...) per wider window, merged from `value_sketches`."""
+    merged = sketches.groupBy(F.window("window_start", width).alias("window")).agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch")
+    )
+    at = {f"p{round(100 * q)}": F.kll_sketch_get_quantile_double("sketch", F.lit(q)) for q in marks}
+    return _flat_window(merged.withColumns(at).drop("sketch"))
+
+
 def latency_stats(df: DataFrame, ts: str, value: str, width: str = "1 day") -> DataFrame:
     return latency_from(value_counts(df, ts, value, width))
 

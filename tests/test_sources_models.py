@@ -38,6 +38,20 @@ def test_load_folder_prefers_parquet(spark, tmp_path):
         readers.load_folder(spark, str(tmp_path / "e"))
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("churn,tenure_months,customer_id\n1,12,a\n0,x,b\n")
+    (tmp_path / "b.csv").write_text('\ufeff"customer_id", extra ,churn,churn\nc,9,0,7\nd,8,1,7,surplus\n')
+    (tmp_path / "empty.csv").write_text("customer_id,churn\n")
+    good, bad = readers.read_customers_csv(spark, str(tmp_path))
+    assert {(r.customer_id, r.churn, r.tenure_months, r.age if "age" in good.columns else None) for r in good.collect()} == {
+        ("a", 1, 12, None), ("c", 0, None, None),
+    }
+    assert {(r.customer_id, tuple(r.errors)) for r in bad.collect()} == {("b", ("tenure_months",)), ("d", ("_corrupt_record",))}
+    assert good.columns == [f.name for f in readers.CUSTOMER_SCHEMA.fields]
+    heads = {tuple(readers.header_names(r.header)): len(r.files) for r in readers.csv_headers(spark, str(tmp_path)).collect()}
+    assert heads == {("churn", "tenure_months", "customer_id"): 1, ("customer_id", "extra", "churn", "churn"): 1, ("customer_id", "churn"): 1}
+
+
 def test_split_and_label_sinks(spark, tmp_path):
     df = split.bucket_split(synthetic.noisy_classes(spark, 200))
     writers.write_splits(df, str(tmp_path / "s"))
