@@ -190,7 +190,7 @@ def _value(tokens: list, k: int, text: str, end: int):
                 # A lone word at the end of its line: another target's name, or a value without quotes.
                 terms.append((m.start(), bare.end(), m.group()) if last == k else (m.start(), bare.end()))
                 k = last
-            elif after in ("+", ",", ";", ")", "]", "}") or k + 1 == len(tokens):
+            elif after in ("+", "=", ",", ";", ")", "]", "}") or k + 1 == len(tokens):
                 terms.append(m.group())
             else:
                 break
@@ -241,7 +241,9 @@ def assignments(text: str) -> list[Assignment]:
                 at += 1
             op = tokens[at].group() if at < len(tokens) else ""
             if op == ":" and at + 2 < len(tokens) and tokens[at + 1].lastgroup == "name" and tokens[at + 2].group() == "=":
-                at, op = at + 2, "="  # a type between
+                # A type between, or a label before.
+                name = max(name, tokens[at + 1].group(), key=sensitivity)
+                at, op = at + 2, "="
             if op in ("=", ":", ":=", "=>"):
                 terms, after = _value(tokens, at + 1, text, end)
                 if terms:
