@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.numeric import exact_sum
 from stayline.functions.text import join_parts, tokens, uni_bigrams
-from stayline.operators import dense, retrieval, segment
+from stayline.operators import dense, lsh, retrieval, segment
 from stayline.plans.base import FEATURES_8, clean_customers, query, table
 from stayline.plans.evaluation import _rounded
 from stayline.plans.segmentation import CARDS, cards
-from stayline.session import kept_scratch, materialize
+from stayline.session import kept_scratch, materialize, new_path
 
 DIMS = 64
 
@@ -243,6 +243,41 @@ def dense_search(spark, sf) -> DataFrame:
     return dense_hits(spark, sf, 5)
 
 
+NEAREST = 5
+
+
+@query(
+    """WITH q AS (SELECT count(DISTINCT label) + count(*) FILTER (vec_id % 50 = 0) AS n FROM embeddings)
+    SELECT n AS n_queries, n * least(5, (SELECT count(*) - 1 FROM embeddings)) AS n_hits, 0::BIGINT AS wrong_scores, 1 AS recalled FROM q"""
+)
+def dense_search_lsh(spark, sf) -> DataFrame:
+    """Nearest vectors of each label's mean and of every 50th vector (without itself) from the stored bucket index,
+    read back by its path: hits, scores that are not the inner product, and whether 0.9 of the exact hits are there."""
+    units = materialize(unit_embeddings(spark, sf), "unit-vectors")
+    means = label_queries(spark, sf, units).select((-1 - F.col("query_id")).alias("query_id"), "unit")
+    picked = units.filter("vec_id % 50 = 0").select(F.col("vec_id").cast("bigint").alias("query_id"), "unit")
+    queries = materialize(means.unionByName(picked), "lsh-batch")
+    path = new_path(spark, "lsh-index")
+    lsh.build_index(units, path, "vec_id", "unit")
+    other = Window.partitionBy("query_id").orderBy("rank")
+
+    def nearest(found: DataFrame) -> DataFrame:
+        rest = found.filter("query_id <> vec_id").withColumn("_at", F.row_number().over(other))
+        return rest.filter(F.col("_at") <= NEAREST).select("query_id", "vec_id", "score")
+
+    got = nearest(lsh.search_lsh(lsh.open_index(spark, path), queries, k=NEAREST + 1))
+    exact = nearest(dense.search_dense(units.select("vec_id", "unit"), queries, k=NEAREST + 1, key="vec_id"))
+    both = got.join(exact.withColumnRenamed("score", "true_score"), ["query_id", "vec_id"], "full")
+    found, known = F.count("score"), F.count("true_score")
+    shared = F.count(F.when(F.col("score").isNotNull() & F.col("true_score").isNotNull(), 1))
+    counted = both.agg(
+        found.alias("n_hits"),
+        F.count_if(F.abs(F.col("score") - F.col("true_score")) > 2e-6).alias("wrong_scores"),
+        (shared >= 0.9 * known).cast("int").alias("recalled"),
+    )
+    return counted.select(F.lit(queries.count()).cast("bigint").alias("n_queries"), "*")
+
+
 @query(
     f"""WITH {_DENSE}, hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id DESC) AS rank
       FROM sims QUALIFY rank <= 5),
