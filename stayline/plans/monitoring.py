@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.hashing import md5_uniform
+from stayline.functions.numeric import exact_sum
 from stayline.operators import metrics, quality, score, segment
 from stayline.operators.clean import latest_per_key
 from stayline.plans.base import (
@@ -15,6 +16,7 @@ from stayline.plans.base import (
     CLEAN,
     CLUSTERED,
     CUST,
+    ORACLES,
     SEGMENT_SQL,
     clean_customers,
     clean_table,
@@ -26,7 +28,8 @@ from stayline.plans.base import (
 )
 from stayline.plans.evaluation import _rounded, curve_sql
 from stayline.schema import FEATURES_8, FEATURES_11
-from stayline.session import materialize
+from stayline.session import materialize, new_path
+from stayline.sources import bucketed
 from stayline.sources.registry import feature_registry as op_feature_registry
 from stayline.streaming import jobs
 
@@ -309,6 +312,37 @@ def online_feature_lookup(spark, sf) -> DataFrame:
     return score.lookup_features(requests, latest, "user_id").select("event_id", "user_id", "o_orderkey", "o_totalprice")
 
 
+@query(ORACLES["online_feature_lookup"])
+def bucketed_feature_lookup(spark, sf) -> DataFrame:
+    """The same lookup from a stored table of buckets, which is not shuffled again."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    latest = latest_per_key(orders, "o_custkey", "o_orderdate", "o_orderkey")
+    buckets = bucketed.bucket_count(spark, orders.count())
+    features = latest.select(F.col("o_custkey").alias("user_id"), "o_orderkey", "o_totalprice")
+    stored = bucketed.write_bucketed(features, new_path(spark, "bucketed"), "user_id", buckets)
+    requests = table(spark, sf, "events").select("event_id", "user_id")
+    return bucketed.bucketed_lookup(requests, stored, "user_id", buckets).select("event_id", "user_id", "o_orderkey", "o_totalprice")
+
+
+@query(
+    """WITH f AS (SELECT l_orderkey, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(28, 6))) AS DOUBLE) AS quantity,
+      max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey)
+    SELECT o_orderkey, o_custkey, n_lines, quantity, date_diff('day', o_orderdate, last_ship)::INTEGER AS days_to_ship
+    FROM orders LEFT JOIN f ON l_orderkey = o_orderkey"""
+)
+def order_line_features(spark, sf) -> DataFrame:
+    """Features of every order from its lines: two tables of like buckets, joined without a shuffle of either."""
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("n_lines"), exact_sum("l_quantity").alias("quantity"), F.max("l_shipdate").alias("last_ship")
+    )
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    buckets = bucketed.bucket_count(spark, orders.count())
+    left = bucketed.write_bucketed(orders, new_path(spark, "bucketed"), "o_orderkey", buckets)
+    right = bucketed.write_bucketed(lines, new_path(spark, "bucketed"), "o_orderkey", buckets)
+    days = F.date_diff("last_ship", "o_orderdate").alias("days_to_ship")
+    return left.join(right.hint("merge"), "o_orderkey", "left").select("o_orderkey", "o_custkey", "n_lines", "quantity", days)
+
+
 # --- batch twins of the streaming jobs -----------------------------------------------
 
 # The mean is rounded as a whole number of millionths, so no tie depends on the order of a sum.

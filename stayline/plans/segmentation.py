@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.operators import cluster_metrics as cm
-from stayline.operators import metrics, score, segment
+from stayline.operators import metrics, score, segment, silhouette
 from stayline.operators.cluster_metrics import assign_nearest, fit_centroids
 from stayline.operators.dense import group_centroids
 from stayline.operators.ranks import exact_quantiles, prefix_sums
@@ -231,6 +231,23 @@ def silhouette_euclid(spark, sf) -> DataFrame:
     return _rounded(cm.silhouette_centroids(df, Z, cents).select("customer_id", "cluster_id", "silhouette"), "silhouette")
 
 
+_GAP = " + ".join(f"(x.{z} - y.{z}) * (x.{z} - y.{z})" for z in Z)
+
+
+@query(
+    f"""WITH {CLUSTERED}, size AS (SELECT cluster_id AS c, count(*) AS n FROM clus GROUP BY cluster_id),
+    s AS (SELECT x.customer_id, x.cluster_id, y.cluster_id AS c, sum(sqrt({_GAP})) AS d FROM clus x, clus y GROUP BY ALL),
+    m AS (SELECT customer_id, cluster_id, min(d / nullif(n - 1, 0)) FILTER (s.c = cluster_id) AS a, min(d / n) FILTER (s.c <> cluster_id) AS b
+          FROM s JOIN size ON size.c = s.c GROUP BY customer_id, cluster_id)
+    SELECT customer_id::BIGINT AS customer_id, cluster_id::BIGINT AS cluster_id,
+      round(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END, 6) AS silhouette FROM m"""
+)
+def silhouette_pairwise(spark, sf) -> DataFrame:
+    """Euclidean silhouette of every row over its distances to all others, summed between blocks of rows."""
+    rows = materialize(clustered_customers(spark, sf).select("customer_id", "cluster_id", *Z), "silhouette-rows")
+    return _rounded(silhouette.silhouette_pairwise(rows, Z, "customer_id"), "silhouette")
+
+
 @query(f"WITH {CLUSTERED} SELECT round(sum(sq_distance), 4) AS inertia FROM clus")
 def cluster_inertia(spark, sf) -> DataFrame:
     return _rounded(cm.inertia(clustered_customers(spark, sf)), "inertia", digits=4)

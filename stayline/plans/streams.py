@@ -24,7 +24,7 @@ from stayline.plans.monitoring import CAPTURE_SQL, LATENCY_SQL, RATE_SQL, TOTALS
 from stayline.plans.segmentation import CARDS, cards
 from stayline.schema import FEATURES_8
 from stayline.session import materialize, new_path
-from stayline.streaming import jobs
+from stayline.streaming import jobs, stateful
 
 
 def stream_table(spark, sf, name: str) -> DataFrame:
@@ -147,6 +147,34 @@ def stream_capture(spark, sf) -> DataFrame:
     return jobs.read_appended(spark, out)
 
 
+@query(
+    f"""WITH c AS ({CAPTURE_SQL}) SELECT c.event_id, c.value, c_mktsegment FROM c JOIN events e ON e.event_id = c.event_id
+    LEFT JOIN customer ON c_custkey = e.user_id"""
+)
+def stream_capture_sink(spark, sf) -> DataFrame:
+    """Captured events with their user's segment through the Parquet sink; the job is started anew for each arrival."""
+    schema, folder, add = in_arrivals(spark, sf, "event_id", "user_id", "value")
+    users = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    out, state = paths(spark)
+    for k in range(len(ARRIVAL)):
+        add(k)
+        live = jobs.captured(jobs.read_folder(spark, folder, schema, files_per_batch=1_000_000), "event_id")
+        _finish(jobs.file_sink(live.join(users, "user_id", "left").select("event_id", "value", "c_mktsegment"), out, state))
+    return spark.read.parquet(out)
+
+
+@query("SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id")
+def stream_latest_stateful(spark, sf) -> DataFrame:
+    """The newest event of each user, held as state over arrivals out of time order and restarts."""
+    schema, folder, add = in_arrivals(spark, sf, "user_id", "event_id", "value")
+    out, state = paths(spark)
+    for k in range(len(ARRIVAL)):
+        add(k)
+        live = jobs.read_folder(spark, folder, schema, files_per_batch=1_000_000)
+        _finish(stateful.latest_stateful(live, "user_id", "ts", "event_id", out, state))
+    return jobs.read_latest(spark, out, "user_id", "ts", "event_id").select("user_id", "event_id", "value")
+
+
 @query("SELECT user_id, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
 def stream_first_per_user(spark, sf) -> DataFrame:
     """The first event of each user, however late it arrives."""

@@ -242,5 +242,12 @@ def totals_from(parts: DataFrame, key: str) -> DataFrame:
     return parts.groupBy(key).agg(F.sum("n").alias("n"))
 
 
+def file_sink(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Rows appended by Spark's own Parquet sink. Its log names the files of finished batches, and readers of
+    `path` follow the log, so a batch that is repeated after a failure counts once."""
+    writer = df.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def captured(df: DataFrame, key: str, percent: int = 20, seed: int = 42) -> DataFrame:
     return capture_sample(df, percent, key, seed)
