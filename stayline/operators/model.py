@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
@@ -15,7 +17,6 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ from stayline.operators.quality import to_long
 from stayline.operators.ranks import exact_medians
 from stayline.operators.score import decide
 from stayline.schema import FEATURES_8, LABEL
-from stayline.session import scratch_dir
+from stayline.session import new_path, scratch_dir
+
+FIT_ROWS = 50_000  # rows of a partition while trees are fitted, about
 
 
 @dataclass
@@ -82,43 +85,50 @@ def evaluate(df: DataFrame, model: PipelineModel, label: str = LABEL) -> DataFra
     )
 
 
+def held_out_scores(
+    df: DataFrame, features, params: GbtParams, fold: int, fold_col: str, key: str, label: str
+) -> DataFrame:
+    """Probabilities of the rows of one fold by a model of the others."""
+    others, own = df.filter(F.col(fold_col) != fold), df.filter(F.col(fold_col) == fold)
+    scored = score(own.select(key, fold_col, label, *features), train(others, features, params, label))
+    return scored.select(key, fold_col, label, "probability")
+
+
 def cross_validate(
     df: DataFrame,
     features=FEATURES_8,
     params: GbtParams | None = None,
     folds: int = 5,
     fold_col: str = "fold",
-    grid: dict | None = None,
-    parallelism: int = 4,
+    grid: list[dict] | None = None,
+    parallelism: int = 8,
+    key: str = "customer_id",
     label: str = LABEL,
-):
-    """CrossValidator over given folds: (model, rows of fold AUC per parameter set).
+) -> DataFrame:
+    """Every row's probability by the model of the other folds, for each candidate: candidate, key, fold, label, probability.
 
-    `grid` maps GBT parameter names to candidate values.
+    `grid` lists changes to `params`, one candidate each. A boosted tree is a chain of small jobs, so rows
+    lie in as many partitions as their number asks for, cached once, and the fits of folds and candidates run side by side.
+    The best candidate is not fitted again on all rows; `train` does that where the model is wanted.
     """
-    scratch_dir(df.sparkSession)
-    estimator = build_estimator(features, params, label)
-    builder = ParamGridBuilder()
-    for name, values in (grid or {}).items():
-        builder = builder.addGrid(getattr(estimator.getStages()[-1], name), list(values))
-    grid_maps = builder.build()
-    cv = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid_maps,
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0),
-        numFolds=folds,
-        foldCol=fold_col,
-        parallelism=parallelism,
-    )
-    fitted = cv.fit(df.select(*features, label, fold_col))
-    rows = []
-    for i, (mean, std) in enumerate(zip(fitted.avgMetrics, fitted.stdMetrics)):
-        chosen = {p.name: str(v) for p, v in grid_maps[i].items()}
-        rows.append((i, chosen, float(mean), float(std)))
-    table = df.sparkSession.createDataFrame(
-        rows, "candidate int, params map<string,string>, auc_mean double, auc_std double"
-    )
-    return fitted, table
+    base = params or GbtParams()
+    df = df.select(key, fold_col, label, *features)
+    few = df.coalesce(max(1, -(-df.count() // FIT_ROWS))).persist()
+    try:
+        def fit(task: tuple[int, int]) -> str:
+            i, fold = task
+            scores = held_out_scores(few, features, replace(base, **(grid or [{}])[i]), fold, fold_col, key, label)
+            path = new_path(few.sparkSession, "fold-scores")
+            scores.select(F.lit(i).alias("candidate"), *scores.columns).write.parquet(path)
+            return path
+
+        tasks = [(i, fold) for i in range(len(grid or [{}])) for fold in range(folds)]
+        with ThreadPool(min(parallelism, len(tasks))) as pool:
+            paths = pool.map(inheritable_thread_target(few.sparkSession)(fit), tasks, chunksize=1)
+    finally:
+        few.unpersist()
+    parts = [few.sparkSession.read.parquet(path) for path in paths]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def save(model: PipelineModel, path: str) -> None:

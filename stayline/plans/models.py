@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from stayline.operators import cluster, model, split
 from stayline.operators.clean import fill_nulls
 from stayline.operators.cluster_metrics import strictly_decreasing
+from stayline.operators.metrics import ranking_metrics
 from stayline.operators.scaling import fit_standard
 from stayline.plans.base import CLEAN, CUST, clean_customers, clean_table, customers, md5_mod, query, table
 from stayline.plans.splits import EXACT
@@ -97,13 +98,29 @@ def model_save_and_load(spark, sf) -> DataFrame:
     return before.join(after, "customer_id").select("customer_id", flag(F.col("before") == F.col("after")).alias("same"))
 
 
-@query("SELECT CAST(i AS INTEGER) AS candidate, CAST(2 + 2 * i AS VARCHAR) AS max_depth, 1 AS in_range FROM range(2) t(i)")
+DEPTHS = (2, 4)
+
+
+@query(
+    f"""WITH {CLEAN}, f AS (SELECT churn, (row_number() OVER (PARTITION BY churn ORDER BY md5(concat('42:', customer_id))) - 1) % 5 AS fold FROM clean)
+    SELECT CAST(i AS INTEGER) AS candidate, CAST(2 + 2 * i AS INTEGER) AS max_depth, CAST(fold AS INTEGER) AS fold, count(*) AS n,
+      CAST(sum(churn) AS BIGINT) AS positives, 1 AS in_range FROM f, range(2) t(i) GROUP BY ALL"""
+)
 def cross_validation_grid(spark, sf) -> DataFrame:
-    """5-fold AUC per candidate depth over stratified folds."""
+    """5-fold AUC per candidate depth over stratified folds; every row is scored once a candidate."""
     folded = materialize(split.assign_folds(clean_table(spark, sf)), "folds")
-    _, results = model.cross_validate(folded, FEATURES_8, PARAMS, grid={"maxDepth": [2, 4]}, parallelism=8)
-    ok = flag(F.col("auc_mean").between(0, 1) & F.col("auc_std").between(0, 1))
-    return results.select("candidate", F.col("params")["maxDepth"].alias("max_depth"), ok.alias("in_range"))
+    scores = model.cross_validate(folded, FEATURES_8, PARAMS, grid=[{"depth": d} for d in DEPTHS])
+    by = ("candidate", "fold")
+    auc = ranking_metrics(scores, "churn", "probability", by).select(*by, "positives", "negatives", "roc_auc")
+    depth = F.element_at(F.array(*[F.lit(d) for d in DEPTHS]), F.col("candidate") + 1)
+    return auc.select(
+        "candidate",
+        depth.alias("max_depth"),
+        "fold",
+        (F.col("positives") + F.col("negatives")).cast("bigint").alias("n"),
+        F.col("positives").cast("bigint").alias("positives"),
+        in_unit("roc_auc").alias("in_range"),
+    )
 
 
 @query("SELECT 'v1' AS model_version, 8 AS n_features, 200 AS trees, 1 AS gated")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayline.operators import model, score, segment, split
+from stayline.operators.metrics import ranking_metrics
 from stayline.schema import CUSTOMER_SCHEMA, FEATURES_8
 from stayline.session import local_table
 from stayline.sources import readers, registry, synthetic, writers
@@ -142,9 +143,12 @@ def test_scores_are_probabilities_and_repeatable(spark, trained, tmp_path):
 
 def test_cross_validation_over_given_folds(spark):
     df = split.assign_folds(synthetic.noisy_classes(spark, 600), folds=3)
-    _, table = model.cross_validate(df, params=model.GbtParams(trees=2, learning_rate=0.3), folds=3, grid={"maxDepth": [1, 3]}, parallelism=2)
-    rows = table.collect()
-    assert len(rows) == 2 and all(0.5 < r["auc_mean"] <= 1 for r in rows)
+    grid = [{"depth": 1}, {"depth": 3}]
+    scores = model.cross_validate(df, params=model.GbtParams(trees=2, learning_rate=0.3), folds=3, grid=grid)
+    assert scores.count() == 2 * df.count() and scores.select("candidate", "customer_id").distinct().count() == 2 * df.count()
+    assert scores.select("customer_id", "fold").distinct().join(df, ["customer_id", "fold"]).count() == df.count()
+    rows = ranking_metrics(scores, "churn", "probability", ("candidate", "fold")).collect()
+    assert len(rows) == 6 and all(0.5 < r["roc_auc"] <= 1 for r in rows)
 
 
 def test_medians_come_from_training_rows_only(spark):
