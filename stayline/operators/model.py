@@ -101,32 +101,34 @@ def cross_validate(
     folds: int = 5,
     fold_col: str = "fold",
     grid: list[dict] | None = None,
-    parallelism: int = 8,
+    parallelism: int = 16,
     key: str = "customer_id",
     label: str = LABEL,
 ) -> DataFrame:
     """Every row's probability by the model of the other folds, for each candidate: candidate, key, fold, label, probability.
 
     `grid` lists changes to `params`, one candidate each. A boosted tree is a chain of small jobs, so rows
-    lie in as many partitions as their number asks for, cached once, and the fits of folds and candidates run side by side.
+    lie in as many partitions as their number asks for, are cut from their plan (which every task would carry)
+    by one checkpoint in the shared folder, and the fits of folds and candidates run side by side, deepest trees first.
     The best candidate is not fitted again on all rows; `train` does that where the model is wanted.
     """
     base = params or GbtParams()
     df = df.select(key, fold_col, label, *features)
-    few = df.coalesce(max(1, -(-df.count() // FIT_ROWS))).persist()
-    try:
-        def fit(task: tuple[int, int]) -> str:
-            i, fold = task
-            scores = held_out_scores(few, features, replace(base, **(grid or [{}])[i]), fold, fold_col, key, label)
-            path = new_path(few.sparkSession, "fold-scores")
-            scores.select(F.lit(i).alias("candidate"), *scores.columns).write.parquet(path)
-            return path
-
-        tasks = [(i, fold) for i in range(len(grid or [{}])) for fold in range(folds)]
-        with ThreadPool(min(parallelism, len(tasks))) as pool:
-            paths = pool.map(inheritable_thread_target(few.sparkSession)(fit), tasks, chunksize=1)
-    finally:
-        few.unpersist()
+    scratch_dir(df.sparkSession)
+    few = df.coalesce(max(1, -(-df.count() // FIT_ROWS))).checkpoint()
+    candidates = [replace(base, **changes) for changes in grid or [{}]]
+
+    def fit(task: tuple[int, int]) -> str:
+        i, fold = task
+        scores = held_out_scores(few, features, candidates[i], fold, fold_col, key, label)
+        path = new_path(few.sparkSession, "fold-scores")
+        scores.select(F.lit(i).alias("candidate"), *scores.columns).write.parquet(path)
+        return path
+
+    tasks = [(i, fold) for i in range(len(candidates)) for fold in range(folds)]
+    tasks.sort(key=lambda task: -candidates[task[0]].depth * candidates[task[0]].trees)
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        paths = pool.map(inheritable_thread_target(few.sparkSession)(fit), tasks, chunksize=1)
     parts = [few.sparkSession.read.parquet(path) for path in paths]
     return reduce(DataFrame.unionByName, parts)
 
