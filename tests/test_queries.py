@@ -16,6 +16,7 @@ SF = "/root/testdata/sf0.001"
 SLOW = {
     "gbt_scores", "gbt_evaluation", "model_save_and_load", "cross_validation_grid", "model_registration",
     "cluster_as_feature", "elbow_curve", "cluster_stability", "mixture_selection", "stream_model_scoring", "kmeans_segments",
+    "foreign_model_scores", "halving_search",
 }
 # Queries whose conditions no row of the smallest tables meets.
 EMPTY: set[str] = set()
