@@ -16,6 +16,7 @@ from stayline.llm import bytebpe, forest, mixing, passages, quality
 from stayline.session import materialize
 
 WORDS, RATIO = 5, (80, 100)
+ABOVE = 1 << 62  # from here on are the numbers of further texts of a doc_id
 
 
 def set_aside(docs: DataFrame, names, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -47,12 +48,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup (words of five, Jaccard 0.8): of each component the smallest doc_id stays, with one
-    row. Rows with a NULL doc_id, and texts without words, stay."""
-    found = forest.near_duplicates(docs.select("doc_id", "text"), n_words=WORDS, ratio=RATIO)
-    stays = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    named = docs.join(stays, "doc_id", "left_semi").withColumn("_row", F.row_number().over(one))
-    return named.filter("_row = 1").select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    row. Where a doc_id has several texts, all but one of them take part under numbers of their own, so that none
+    is lost or kept for another's sake. Rows with a NULL doc_id, and texts without words, stay."""
+    rows = docs.filter("doc_id is not null").withColumn("_md5", F.md5(F.coalesce("text", F.lit(""))))
+    several = rows.groupBy("doc_id").agg(F.min("_md5").alias("_first"), F.max("_md5").alias("_last")).filter("_first <> _last")
+    other = F.col("_md5") != F.col("_first")  # NULL where a doc_id has one text
+    number = F.xxhash64("doc_id", "_md5").bitwiseAND(ABOVE - 1) + F.lit(ABOVE)
+    rows = rows.join(several.drop("_last"), "doc_id", "left").withColumn("_key", F.when(other, number).otherwise(F.col("doc_id")))
+    found = forest.near_duplicates(rows.select("_key", "text"), n_words=WORDS, ratio=RATIO, key="_key")
+    stays = found.filter("kept").select("_key").distinct()
+    one = Window.partitionBy("_key").orderBy(F.col("text").asc_nulls_last())
+    kept = rows.join(stays, "_key", "left_semi").withColumn("_row", F.row_number().over(one)).filter("_row = 1")
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

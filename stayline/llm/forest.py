@@ -81,23 +81,26 @@ def _runs(cap: int):
 
     A run of texts with the same region is a block if it has at most `cap` texts. A longer run is
     cut where the common prefix ends, one hash deeper at a time and only as deep as it needs;
-    texts that share the whole order are cut into blocks of `cap`. A region that a range ends in goes on in
-    the next one under the same names, so its blocks have at most twice as many texts.
+    texts that share the whole order are cut into blocks of `cap`, each named by its first id. A region that a
+    range ends in goes on in the next one under the same names, so its blocks have at most twice as many texts;
+    where a region fills a range and may go on at both ends, its blocks have names of their own.
     """
 
-    def cut(region, deep, lo, hi, depth, name, out, wide):
+    def cut(deep, ids, lo, hi, depth, name, out, wide):
         if hi - lo <= cap:
             out.append((lo, hi, name, wide))
         elif depth == DEEPER:
-            for k, a in enumerate(range(lo, hi, cap)):
-                own = mix(np.array([name + np.uint64(k)], dtype=np.uint64))[0] if k else name
-                out.append((a, min(hi, a + cap), own, True))
+            for a in range(lo, hi, cap):
+                out.append((a, min(hi, a + cap), by_id(name, ids[a]), True))
         else:
             column = deep[lo:hi, depth]
             edges = np.flatnonzero(column[1:] != column[:-1]) + lo + 1
             for a, b in zip([lo, *edges], [*edges, hi]):
                 own = mix(np.array([name ^ np.uint64((depth + 1) << 20 | int(column[a - lo]))], dtype=np.uint64))[0]
-                cut(region, deep, a, b, depth + 1, own, out, True)
+                cut(deep, ids, a, b, depth + 1, own, out, True)
+
+    def by_id(name, first):
+        return mix(mix(np.array([first]).view(np.uint64)) ^ name)[0]
 
     def run(batches):
         held = [b for b in batches if b.num_rows]
@@ -112,8 +115,10 @@ def _runs(cap: int):
         starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(region)]])
         out = []
         for a, b in zip(starts, ends):
-            if b - a > 1 or a == 0 or b == len(region):  # alone in the middle: alone everywhere
-                cut(region, deep, a, b, 0, region[a], out, False)
+            if a == 0 and b == len(region):
+                cut(deep, ids, a, b, 0, by_id(region[a], ids[a]), out, True)
+            elif b - a > 1 or a == 0 or b == len(region):  # alone in the middle: alone everywhere
+                cut(deep, ids, a, b, 0, region[a], out, False)
         n = np.array([o[1] - o[0] for o in out], dtype=np.int64)
         rows = np.concatenate([np.arange(o[0], o[1]) for o in out]) if out else np.zeros(0, np.int64)
         block = np.repeat(np.array([o[2] for o in out], dtype=np.uint64), n)
@@ -126,11 +131,14 @@ def _runs(cap: int):
 
 
 def blocks(reps: DataFrame, cap: int = CAP) -> DataFrame:
-    """Candidate blocks of `reps` (id, sig), all orders sorted in one go."""
+    """Candidate blocks of `reps` (id, sig), all orders sorted in one go.
+
+    Ranges are cut by id as well, so that near copies that share a whole order are not one range.
+    """
     n = reps.count() * TREES
     parts = max(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")), n * ROW_BYTES // PART_BYTES)
     rows = reps.mapInArrow(_orders, "region bigint, deep binary, id bigint")
-    ranged = rows.repartitionByRange(parts, "region", "deep").sortWithinPartitions("region", "deep", "id")
+    ranged = rows.repartitionByRange(parts, "region", "deep", "id").sortWithinPartitions("region", "deep", "id")
     return ranged.mapInArrow(_runs(cap), "id bigint, block bigint, region bigint, wide boolean")
 
 

@@ -203,6 +203,17 @@ def test_stages_take_effect_and_keep_columns(spark, corpus):
     assert sorted(r.text for r in coded.collect()) == sorted(r.text for r in mixed.collect())
 
 
+def test_one_doc_id_with_several_texts_loses_none(spark, prose):
+    a, b, c = (prose(i, 80) for i in (1, 2, 3))
+    rows = [(1, a), (7, a + " end"), (7, b), (7, b), (9, b + " more"), (9, c), (9, ""), (11, c + " last"), (12, None), (12, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["MinHash near-dedup"]
+    left = [(r.doc_id, r.text) for r in stage(spark, docs, "").collect()]
+    kind = lambda t: next((k for k, x in enumerate((a, b, c)) if (t or "").startswith(x)), None)
+    assert sorted(kind(t) for _, t in left if t) == [0, 1, 2]  # one of each group
+    assert sorted(i for i, t in left if not t) == [9, 12]
+
+
 def test_pipeline_runs_on_full_and_empty_tables(spark, corpus, tmp_path):
     sf, _ = corpus
     rows = corpus_pipeline.run(spark, sf).collect()
