@@ -67,23 +67,6 @@ def test_forest_equals_brute_force(docs_of, prose, cap):
     assert run(docs_of(texts), n_words=4, cap=cap) == brute(list(enumerate(texts)), 4)
 
 
-@pytest.mark.parametrize("parts", [1, 4, 24])
-def test_copies_with_one_order_are_spread_over_ranges(spark, parts):
-    """Equal signatures of 600 texts: every range has a share, blocks stay small, and no id is lost in any tree."""
-    sig = np.arange(forest.HASHES, dtype=np.uint32).tobytes()
-    reps = spark.createDataFrame([(i, bytearray(sig)) for i in range(600)], "id long, sig binary")
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", parts)
-    try:
-        rows = forest.blocks(reps, 20).toPandas()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert len(rows) == 600 * forest.TREES and rows["region"].nunique() == forest.TREES
-    assert rows.groupby("region")["wide"].any().all()  # so `resolve` compares what the blocks part
-    assert rows.groupby("block")["id"].nunique().max() <= 40
-    assert set(rows.groupby("region")["id"].nunique()) == {600}
-
-
 def test_forest_odd_rows(spark, docs_of, prose):
     long = prose(1, 30_000)
     texts = ["", None, " \t\n", "one", "One", "two words", "two\nwords", "é", "É", long, long, "one", long + " end", "x" * 100_000]
