@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.hashing import md5_uniform
@@ -22,7 +27,9 @@ from stayline.schema import FEATURES_8
 from stayline.session import local_table, materialize
 
 
-PARALLEL_FITS = 8
+PARALLEL_FITS = 8  # fits whose first centres are chosen side by side
+PASS_ROWS = 25_000  # points of a task in a pass, about
+STEP = 1024  # points whose distances are held at a time
 
 
 @dataclass
@@ -50,22 +57,137 @@ def to_vectors(df: DataFrame, features=FEATURES_8, scaler: dict | None = None) -
     return out.drop(*names)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300) -> KMeansModel:
-    """Best of several seeds by training cost (Spark has no restart parameter).
+@dataclass(frozen=True)
+class Fit:
+    """One K-means fit to do: `part` is the bit of the rows it learns from, None for all rows."""
+
+    k: int
+    seed: int
+    part: int | None = None
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch of points as one row: its matrix and the parts its rows belong to."""
+    for b in batches:
+        if b.num_rows:
+            points = b.column(0).flatten().to_numpy(zero_copy_only=False).astype("float64").tobytes()
+            parts = b.column(1).to_numpy(zero_copy_only=False).astype("int64").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([points], pa.binary()), pa.array([parts], pa.binary())], ["points", "parts"])
+
 
-    The restarts are independent fits over the same cached vectors and run side by side.
+def _pass(centers: list[np.ndarray], bits: list[int | None]):
+    """One pass over the points for all fits: per fit and cluster the sum of its points and their number, and the cost.
+
+    Fits of one k are taken together; a step holds the distances of STEP points to all centres.
+    """
+    by_k: dict[int, list[int]] = {}
+    for i, c in enumerate(centers):
+        by_k.setdefault(len(c), []).append(i)
+    dims = centers[0].shape[1]
+    groups = [(k, np.stack([centers[i] for i in own]), [bits[i] for i in own]) for k, own in sorted(by_k.items())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros((k, len(c), dims + 1)) for k, c, _ in groups]
+        cost = [np.zeros(len(c)) for _, c, _ in groups]
+        for b in batches:
+            for raw, tags in zip(b.column(0), b.column(1)):
+                points = np.frombuffer(raw.as_buffer()).reshape(-1, dims)
+                parts = np.frombuffer(tags.as_buffer(), dtype="int64")
+                for at in range(0, len(points), STEP):
+                    x, tag = points[at : at + STEP], parts[at : at + STEP]
+                    with_one, norm = np.hstack([x, np.ones((len(x), 1))]), (x * x).sum(axis=1)
+                    for g, (k, c, own) in enumerate(groups):
+                        gaps = ((c * c).sum(axis=2)[:, :, None] - 2 * (c.reshape(-1, dims) @ x.T).reshape(len(c), k, -1)) + norm
+                        best, near = gaps[:, 0].copy(), np.zeros((len(c), len(x)), dtype="int8" if k < 128 else "int64")
+                        for j in range(1, k):
+                            closer = gaps[:, j] < best
+                            np.copyto(best, gaps[:, j], where=closer)
+                            np.putmask(near, closer, j)
+                        np.maximum(best, 0, out=best)
+                        inside = None
+                        if any(bit is not None for bit in own):
+                            inside = np.stack([np.ones(len(x)) if bit is None else (tag >> bit & 1).astype("float64") for bit in own])
+                            best *= inside
+                        cost[g] += best.sum(axis=1)
+                        for j in range(k):
+                            member = (near == j).astype("float64")
+                            sums[g][j] += (member if inside is None else member * inside) @ with_one
+        flat = np.concatenate([a.ravel() for a in (*sums, *cost)])
+        yield pa.RecordBatch.from_arrays([pa.array([flat.tobytes()], pa.binary())], ["stats"])
+
+    def unpack(total: np.ndarray) -> Iterator[tuple[int, np.ndarray, float]]:
+        at, end = 0, len(total) - len(centers)
+        for k, c, _ in groups:
+            size = k * len(c) * (dims + 1)
+            sums, cost = total[at : at + size].reshape(k, len(c), dims + 1), total[end : end + len(c)]
+            at, end = at + size, end + len(c)
+            for r, i in enumerate(by_k[k]):
+                yield i, sums[:, r], float(cost[r])
+
+    return run, unpack
+
+
+def fit_centers(points: DataFrame, fits: list[Fit], max_iter: int = 300, tol: float = 1e-4) -> list[tuple[np.ndarray, float]]:
+    """Centres and training cost of each fit; `points` has `features` and `parts`, whose bits say which rows a fit learns from.
+
+    Spark's KMeans chooses the first centres of each fit (k-means||, no iteration). The iterations of all fits that
+    have not converged share one pass over the points, so their number grows with the slowest fit and not with the sum.
+    A pass forwards one short row per task: a sum per centre. A fit ends as Spark's does: no centre moved farther
+    than `tol`, or after `max_iter` iterations; the cost is that of its last pass.
     """
-    points = vectors.select("features").persist()
+    count = points.count()
+    few = points.repartition(max(1, -(-count // PASS_ROWS))).persist()
+    packed = few.select(vector_to_array("features").alias("v"), "parts").mapInArrow(_pack, "points binary, parts binary").persist()
 
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||").fit(points)
+    def start(fit: Fit) -> np.ndarray:
+        own = few if fit.part is None else few.filter(F.col("parts").bitwiseAND(F.lit(1 << fit.part)) != 0)
+        model = KMeans(k=fit.k, seed=fit.seed, maxIter=0, initMode="k-means||").fit(own.select("features"))
+        return np.array(model.clusterCenters())
 
     try:
         with ThreadPool(PARALLEL_FITS) as pool:
-            models = pool.map(fit, range(restarts))
+            centers = pool.map(start, fits, chunksize=1)
+        costs, active = [0.0] * len(fits), list(range(len(fits)))
+        for _ in range(max_iter):
+            run, unpack = _pass([centers[i] for i in active], [fits[i].part for i in active])
+            # one row of sums per task
+            total = sum(np.frombuffer(r["stats"]) for r in packed.mapInArrow(run, "stats binary").collect())
+            moving = []
+            for at, sums, cost in unpack(total):
+                i = active[at]
+                n = sums[:, -1:]
+                new = np.where(n > 0, sums[:, :-1] / np.where(n > 0, n, 1), centers[i])
+                if (((new - centers[i]) ** 2).sum(axis=1) > tol * tol).any():
+                    moving.append(i)
+                centers[i], costs[i] = new, cost
+            active = sorted(moving)
+            if not active:
+                break
     finally:
-        points.unpersist()
-    return min(models, key=lambda m: m.summary.trainingCost)  # the first of equal ones
+        packed.unpersist()
+        few.unpersist()
+    return list(zip(centers, costs))
+
+
+def _model(spark, centers: np.ndarray, seed: int) -> KMeansModel:
+    """The model with these centres: each is the mean of itself."""
+    rows = spark.createDataFrame([(Vectors.dense(c),) for c in centers], ["features"])
+    return KMeans(k=len(centers), seed=seed, maxIter=1, initMode="random").fit(rows)
+
+
+def best_fits(points: DataFrame, wanted: list[tuple[int, int | None]], restarts: int, seed: int, max_iter: int = 300) -> list[tuple[KMeansModel, float]]:
+    """For each (k, part), the model of several seeds with the least training cost (the first of equal ones), and that cost."""
+    if "parts" not in points.columns:
+        points = points.withColumn("parts", F.lit(0).cast("bigint"))
+    fits = [Fit(k, seed + i, part) for k, part in wanted for i in range(restarts)]
+    done = fit_centers(points.select("features", "parts"), fits, max_iter)
+    best = [min(done[at : at + restarts], key=lambda d: d[1]) for at in range(0, len(done), restarts)]
+    return [(_model(points.sparkSession, centers, seed), cost) for centers, cost in best]
+
+
+def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300) -> KMeansModel:
+    """Best of several seeds by training cost (Spark has no restart parameter); the restarts share their passes."""
+    return best_fits(vectors.select("features"), [(k, None)], restarts, seed, max_iter)[0][0]
 
 
 def fit_segmentation(df: DataFrame, features=FEATURES_8, k: int = 2, restarts: int = 10, seed: int = 42) -> Segmentation:
@@ -88,13 +210,13 @@ def davies_bouldin(assigned: DataFrame, centers) -> float:
 
 
 def elbow(vectors: DataFrame, ks=range(2, 9), restarts: int = 10, seed: int = 42) -> DataFrame:
-    """k, inertia (two decimals), squared silhouette and Davies-Bouldin; fits per k over written vectors."""
+    """k, inertia (two decimals), squared silhouette and Davies-Bouldin; all fits share their passes over the vectors."""
     rows = []
-    for k in ks:
-        model = fit_kmeans(vectors, k, restarts, seed)
+    fitted = best_fits(vectors.select("features"), [(k, None) for k in ks], restarts, seed)
+    for k, (model, cost) in zip(ks, fitted):
         scored = model.transform(vectors)
         index = davies_bouldin(scored, model.clusterCenters())
-        rows.append((k, round(model.summary.trainingCost, 2), ClusteringEvaluator().evaluate(scored), index))
+        rows.append((k, round(cost, 2), ClusteringEvaluator().evaluate(scored), index))
     ddl = "k int, inertia double, silhouette_sq double, davies_bouldin double"
     return local_table(vectors.sparkSession, rows, ddl)
 
@@ -135,14 +257,20 @@ def robust_scaled(df: DataFrame, features) -> DataFrame:
 def stability(
     vectors: DataFrame, key: str, k: int = 2, runs: int = 10, share: int = 80, seed: int = 42, restarts: int = 10
 ) -> DataFrame:
-    """ARI of each bootstrap run (a stable share of the rows) against a fit on all rows."""
-    base = fit_kmeans(vectors, k, restarts, seed).setPredictionCol("_base")
-    labelled = materialize(base.transform(vectors).select(key, "features", "_base"), "base-labels")
+    """ARI of each bootstrap run (a stable share of the rows) against a fit on all rows.
+
+    A row holds a bit per run it is in (63 runs at most), and the fits of all runs share their passes over the rows.
+    """
+    if runs > 63:
+        raise ValueError("at most 63 runs: a row's runs are the bits of a long")
+    in_run = [F.when(md5_uniform(seed + 1000 + run, key, 100) < share, F.lit(1 << run)).otherwise(F.lit(0)).cast("bigint") for run in range(runs)]
+    tagged = materialize(vectors.select(key, "features", reduce(Column.bitwiseOR, in_run, F.lit(0).cast("bigint")).alias("parts")), "tagged")
+    fitted = best_fits(tagged, [(k, None), *[(k, run) for run in range(runs)]], restarts, seed)
+    base, *models = [model for model, _ in fitted]
+    labelled = materialize(base.setPredictionCol("_base").transform(tagged).select("features", "_base"), "base-labels")
     result = None
-    for run in range(runs):
-        sample = labelled.filter(md5_uniform(seed + 1000 + run, key, 100) < share)
-        model = fit_kmeans(sample, k, restarts, seed).setPredictionCol("_run")
-        ari = external_metrics(model.transform(labelled), "_base", "_run").select(
+    for run, model in enumerate(models):
+        ari = external_metrics(model.setPredictionCol("_run").transform(labelled), "_base", "_run").select(
             F.lit(run).alias("run"), "adjusted_rand"
         )
         result = ari if result is None else result.unionByName(ari)
