@@ -70,3 +70,17 @@ def test_silhouette_of_one_cluster_and_of_nothing(spark):
     df = spark.createDataFrame([(1, 0, 1.0), (2, 0, 2.0)], "id long, cluster_id int, x double")
     assert [r["silhouette"] for r in silhouette_pairwise(df, ["x"], "id").collect()] == [0.0, 0.0]
     assert silhouette_pairwise(df.limit(0), ["x"], "id").count() == 0
+
+
+def test_silhouette_sends_each_row_once_per_block(spark):
+    """A pair of blocks is taken once, for both directions, and its distances hold where the product cancels."""
+    rnd = np.random.default_rng(8)
+    points = 1e4 + np.repeat(rnd.standard_normal((40, 2)), 3, axis=0)
+    points[::3] += 1e-6
+    labels = rnd.integers(0, 2, 120)
+    df = spark.createDataFrame([(i, int(c), *map(float, p)) for i, (p, c) in enumerate(zip(points, labels))], "id long, cluster_id int, x double, y double")
+    out = silhouette_pairwise(df, ["x", "y"], "id", block=40)
+    want = brute(points, labels)
+    assert all(abs(r["silhouette"] - want[r["id"]]) < 1e-9 for r in out.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 2)" not in plan and "sequence(_i" in plan
