@@ -66,9 +66,7 @@ def doc_index(spark, sf) -> retrieval.TfidfIndex:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _INDEXES:
         with kept_scratch():
-            index = retrieval.build_index(documents(spark, sf), "doc_id", "text", segment="lang")
-            index.postings, index.peaks  # noqa: B018  written with the index
-        _INDEXES[key] = index
+            _INDEXES[key] = retrieval.build_index(documents(spark, sf), "doc_id", "text", segment="lang")
     return _INDEXES[key]
 
 
@@ -121,9 +119,7 @@ def tfidf_vocabulary(spark, sf) -> DataFrame:
 )
 def tfidf_weights(spark, sf) -> DataFrame:
     """Summary per document of the unit-length weights."""
-    w = doc_index(spark, sf).postings.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_terms"), F.max("weight").alias("top_weight"), F.sum("weight").alias("weight_sum")
-    )
+    w = doc_index(spark, sf).weights()
     return _rounded(_rounded(w, "top_weight"), "weight_sum", digits=4)
 
 
