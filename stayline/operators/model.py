@@ -68,8 +68,16 @@ def build_estimator(features=FEATURES_8, params: GbtParams | None = None, label:
 
 
 def train(df: DataFrame, features=FEATURES_8, params: GbtParams | None = None, label: str = LABEL) -> PipelineModel:
-    scratch_dir(df.sparkSession)  # tree lineage is cut in the shared checkpoint folder
-    return build_estimator(features, params, label).fit(df.select(*features, label))
+    return build_estimator(features, params, label).fit(laid_out(df.select(*features, label)))
+
+
+def laid_out(df: DataFrame) -> DataFrame:
+    """The rows in as many even partitions as their number asks for, cut from their plan by one checkpoint.
+
+    A boosted tree is a chain of small jobs: each would carry the plan to every task, and pay for every partition.
+    """
+    scratch_dir(df.sparkSession)  # tree lineage is cut in the shared checkpoint folder as well
+    return df.repartition(max(1, -(-df.count() // FIT_ROWS))).checkpoint()
 
 
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -90,7 +98,8 @@ def held_out_scores(
 ) -> DataFrame:
     """Probabilities of the rows of one fold by a model of the others."""
     others, own = df.filter(F.col(fold_col) != fold), df.filter(F.col(fold_col) == fold)
-    scored = score(own.select(key, fold_col, label, *features), train(others, features, params, label))
+    fitted = build_estimator(features, params, label).fit(others.select(*features, label))
+    scored = score(own.select(key, fold_col, label, *features), fitted)
     return scored.select(key, fold_col, label, "probability")
 
 
@@ -114,8 +123,7 @@ def cross_validate(
     """
     base = params or GbtParams()
     df = df.select(key, fold_col, label, *features)
-    scratch_dir(df.sparkSession)
-    few = df.coalesce(max(1, -(-df.count() // FIT_ROWS))).checkpoint()
+    few = laid_out(df)
     candidates = [replace(base, **changes) for changes in grid or [{}]]
 
     def fit(task: tuple[int, int]) -> str:
