@@ -46,6 +46,11 @@ def merge_to(df: DataFrame, parts: Callable, path: str, checkpoint: str, once: b
     return start(df, lambda b, i: _write_batch(parts(b), i, path), checkpoint, "append", once)
 
 
+def merge_updates(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """The groups of a streaming aggregate that a batch has, appended; the reader takes the last of each."""
+    return start(df, lambda b, i: _write_batch(b, i, path), checkpoint, "update", once)
+
+
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH)
 

@@ -76,3 +76,19 @@ def test_file_sink_counts_a_repeated_batch_once(spark, tmp_path):
     add(spark, folder, rows[20:])
     jobs.file_sink(stream(spark, folder), out, state).awaitTermination()
     assert rows_of(spark.read.parquet(out)) == rows_of(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_no_key_goes_through_python_without_expiry(spark, tmp_path):
+    """Ties, NULL values and arrays are kept by the aggregate; older rows of a later batch change nothing."""
+    ts = events(3)
+    rows = [(1, ts[0][1], 5, None, [1]), (2, ts[2][1], 5, 2.0, None), (3, ts[2][1], 5, None, [None, 3]), (4, ts[1][1], 6, 4.0, [])]
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    kinds = SCHEMA + ", tags array<int>"
+    for part in (rows[2:], rows[:2]):
+        spark.createDataFrame(part, kinds).coalesce(1).write.mode("append").parquet(folder)
+        live = jobs.read_folder(spark, folder, spark.createDataFrame([], kinds).schema)
+        q = stateful.latest_stateful(live, "user_id", "ts", "event_id", out, state)
+        q.awaitTermination()
+        assert [(s.operatorName, s.numRowsTotal) for s in q.lastProgress.stateOperators] == [("stateStoreSave", 2)]
+    got = jobs.read_latest(spark, out, "user_id", "ts", "event_id")
+    assert sorted((r["user_id"], r["event_id"], r["value"], r["tags"]) for r in got.collect()) == [(5, 3, None, [None, 3]), (6, 4, 4.0, [])]
