@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.operators.dense import search_dense
-from stayline.session import fits, local_table, materialize
+from stayline.session import broadcast_if_small, fits, local_table, materialize
 
 TABLES = 4
 BUCKET_ROWS = 128  # vectors of a bucket, about
@@ -27,6 +27,11 @@ MAX_BITS = 40
 MAX_PROBES = 4096  # buckets of a table that one query may probe; beyond it the exact search answers
 LEARN_QUERIES = 64  # queries whose exact neighbours decide the number of probes
 TARGET = 0.97  # share of those neighbours that the probes must reach
+GROUP_BITS = 7  # 128 buckets of a table are compared together
+SHARD_ROWS = 16_384  # vectors of a part of a group, about
+QUERY_BLOCK = 4096  # queries of a block, about
+STEP = 256  # queries multiplied at a time
+BROADCAST_ROWS = 1_000_000
 MAX_PUSHED = 1000  # buckets of a batch that are pushed to the scan as a list
 
 
@@ -164,8 +169,14 @@ def _unit(mat: np.ndarray) -> np.ndarray:
     return mat / np.where(norm == 0, 1, norm)
 
 
+def _group_bits(index: LshIndex) -> int:
+    """A group of buckets is one table's that differ in these bits only."""
+    return min(GROUP_BITS, index.bits)
+
+
 def _probe_rows(index: LshIndex, queries: DataFrame, probes: int, qkey: str) -> DataFrame:
-    planes, centre, dims = index.planes(), np.array(index.centre), index.dims
+    """A row per query and group of buckets: the query's key and vector, and the buckets it probes there."""
+    planes, centre, dims, low = index.planes(), np.array(index.centre), index.dims, _group_bits(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,11 +185,61 @@ def _probe_rows(index: LshIndex, queries: DataFrame, probes: int, qkey: str) ->
             margins = _margins(_unit(_matrix(b.column(1), dims)), planes, centre)
             own = _codes(margins)
             for at in range(b.num_rows):  # one query's probes at a time: memory is bounded by MAX_PROBES
-                slots = np.concatenate([own[at, t] ^ probe_order(margins[at, t], probes)[0] for t in range(TABLES)])
-                row = np.full(len(slots), at)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(slots)], [qkey, "q", "slot"])
-
-    return queries.mapInArrow(run, f"{qkey} bigint, q array<double>, slot bigint")
+                slots = np.sort(np.concatenate([own[at, t] ^ probe_order(margins[at, t], probes)[0] for t in range(TABLES)]))
+                group, first = np.unique(slots >> low, return_index=True)
+                row = np.full(len(group), at)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(slots)).astype("int32")), pa.array(slots))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(group), lists], [qkey, "q", "_group", "slots"])
+
+    return queries.mapInArrow(run, f"{qkey} bigint, q array<double>, _group bigint, slots array<bigint>")
+
+
+def _tile(dims: int, low: int, k: int, key: str, qkey: str, decimals: int):
+    """Best k vectors for each query of a block among the buckets it probes in a part of a group, by one product per step."""
+
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        parts = [pa.table({qkey: pa.array([], pa.int64()), key: pa.array([], pa.int64()), "score": pa.array([], pa.float64())})]
+        rows = rows.sort_by([(key, "descending")])  # ties favour the larger key
+        ids, slot = rows.column(key).to_numpy(), rows.column("slot").to_numpy() & ((1 << low) - 1)
+        mat = _matrix(rows.column("v"), dims)
+        take = min(k, len(ids))
+        for at in range(0, asked.num_rows if take else 0, STEP):
+            some = asked.slice(at, STEP)
+            lists = some.column("slots").combine_chunks()
+            wanted = np.zeros((some.num_rows, 1 << low), dtype=bool)
+            wanted[lists.value_parent_indices().to_numpy(), lists.flatten().to_numpy() & ((1 << low) - 1)] = True
+            scores = np.where(wanted[:, slot], np.round(_matrix(some.column("q"), dims) @ mat.T, decimals), -np.inf)
+            kth = -np.partition(-scores, take - 1, axis=1)[:, take - 1]
+            row, col = np.nonzero((scores >= kth[:, None]) & (scores > -np.inf))  # the k best and their ties
+            order = np.lexsort((col, -scores[row, col], row))
+            row, col = row[order], col[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < take
+            row, col = row[best], col[best]
+            parts.append(pa.table({qkey: some.column(qkey).to_numpy()[row], key: ids[col], "score": scores[row, col]}))
+        return pa.concat_tables(parts)
+
+    return run
+
+
+def _best_of_tiles(index: LshIndex, buckets: DataFrame, probed: DataFrame, queries: int, k: int, qkey: str, decimals: int) -> DataFrame:
+    """query, key, score: the best k of each part of a group of buckets.
+
+    A group is cut by key into parts of about SHARD_ROWS vectors, however many one bucket holds, and the queries into blocks; a pair of
+    a part and a block is one group of rows. So a query's vector moves once per part, not with every bucket, and no pair of vectors is a row.
+    """
+    key, low, blocks = index.key, _group_bits(index), -(-queries // QUERY_BLOCK) or 1
+    rows = buckets.withColumn("_group", F.shiftright("slot", low))
+    parts = F.ceil(F.count(F.lit(1)) / SHARD_ROWS).alias("_parts")
+    sizes = broadcast_if_small(materialize(rows.groupBy("_group").agg(parts), "lsh-sizes"), BROADCAST_ROWS)
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
+    rows = rows.join(sizes, "_group").select("_group", F.pmod(F.xxhash64(key), F.col("_parts")).alias("_part"), every, "slot", key, "v")
+    of_part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("_part")
+    block = F.pmod(F.xxhash64(qkey), F.lit(blocks)).cast("int").alias("_block")
+    asked = probed.join(sizes, "_group").select("_group", of_part, block, qkey, "q", "slots")
+    at = ["_group", "_part", "_block"]
+    run = _tile(index.dims, low, k, key, qkey, decimals)
+    tiles = rows.groupBy(*at).cogroup(asked.groupBy(*at))
+    return tiles.applyInArrow(run, f"{qkey} bigint, {key} bigint, score double")
 
 
 def search_lsh(
@@ -201,18 +262,11 @@ def search_lsh(
         one = buckets.filter(F.col("slot") < (1 << index.bits)).select(index.key, F.col("v").alias("q"))
         return search_dense(one, kept, k, index.key, "q", qkey, decimals).select(qkey, index.key, "score", "rank")
     probed = materialize(_probe_rows(index, kept, probes, qkey), "lsh-probes")
-    slots = probed.select("slot").distinct()
+    slots = probed.select(F.explode("slots").alias("slot")).distinct()
     if fits(slots, MAX_PUSHED):  # a short list prunes row groups; a long one would meet most of them
         buckets = buckets.filter(F.col("slot").isin([r[0] for r in slots.collect()]))
-    dims, key = index.dims, index.key
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            dots = np.einsum("ij,ij->i", _matrix(b.column(2), dims), _matrix(b.column(3), dims))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.round(dots, decimals))], [qkey, key, "score"])
-
-    pairs = buckets.join(probed, "slot").select(qkey, key, "q", "v")
-    scored = pairs.mapInArrow(score, f"{qkey} bigint, {key} bigint, score double")
+    key = index.key
+    scored = _best_of_tiles(index, buckets, probed, kept.count(), k, qkey, decimals)
     best = Window.partitionBy(qkey).orderBy(F.col("score").desc(), F.col(key).desc())
     # A vector turns up at most once per table, so k of them are among the first k * TABLES rows.
     few = scored.withColumn("_at", F.row_number().over(best)).filter(F.col("_at") <= k * TABLES)

@@ -92,3 +92,24 @@ def test_odd_vectors_equal_vectors_and_empty_tables(spark, tmp_path):
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == [(1, 1, 299), (1, 2, 298)]
     empty = lsh.build_index(df.limit(0), str(tmp_path / "b"), "vec_id", "unit")
     assert lsh.search_lsh(empty, qs, k=2).count() == 0
+
+
+@pytest.mark.parametrize("shard, block", [(16_384, 4096), (40, 7)])
+def test_no_pair_of_vectors_is_a_row_however_full_a_bucket(spark, built, monkeypatch, shard, block):
+    """A query moves once per part of a group of buckets; results are those of the probed buckets alone."""
+    mat, index, path = built
+    monkeypatch.setattr(lsh, "SHARD_ROWS", shard)
+    monkeypatch.setattr(lsh, "QUERY_BLOCK", block)
+    qs = vectors(30, seed=21)
+    found = lsh.search_lsh(index, frame(spark, qs, "query_id"), k=4, probes=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow score" not in plan and "SortMergeJoin [slot" not in plan
+    held = {}
+    for r in index.buckets(spark).select("slot", "vec_id").collect():
+        held.setdefault(r["slot"], set()).add(r["vec_id"])
+    margins = lsh._margins(qs, index.planes(), np.array(index.centre))
+    own, rows = lsh._codes(margins), found.collect()
+    for i, q in enumerate(qs):
+        near = set().union(*[held.get(s, set()) for t in range(lsh.TABLES) for s in (own[i, t] ^ lsh.probe_order(margins[i, t], 3)[0]).tolist()])
+        want = [v for v in brute(mat, q, len(mat)) if v in near][:4]
+        assert [r["vec_id"] for r in sorted((r for r in rows if r["query_id"] == i), key=lambda r: r["rank"])] == want
