@@ -6,10 +6,10 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -27,7 +27,8 @@ from stayline.schema import FEATURES_8
 from stayline.session import local_table, materialize
 
 
-PARALLEL_FITS = 8  # fits whose first centres are chosen side by side
+INIT_STEPS = 2  # rounds in which candidates for the first centres are drawn, as in Spark's KMeans
+LOCAL_ITERATIONS = 30  # of a fit over its candidates
 PASS_ROWS = 25_000  # points of a task in a pass, about
 STEP = 1024  # points whose distances are held at a time
 
@@ -67,12 +68,114 @@ class Fit:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each batch of points as one row: its matrix and the parts its rows belong to."""
-    for b in batches:
-        if b.num_rows:
-            points = b.column(0).flatten().to_numpy(zero_copy_only=False).astype("float64").tobytes()
-            parts = b.column(1).to_numpy(zero_copy_only=False).astype("int64").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([points], pa.binary()), pa.array([parts], pa.binary())], ["points", "parts"])
+    """Each batch of points as one row: its place (partition, number), its matrix and the parts its rows belong to."""
+    own = TaskContext.get().partitionId()
+    for n, b in enumerate(b for b in batches if b.num_rows):
+        points = b.column(0).flatten().to_numpy(zero_copy_only=False).astype("float64").tobytes()
+        parts = b.column(1).to_numpy(zero_copy_only=False).astype("int64").tobytes()
+        cols = [pa.array([own << 32 | n], pa.int64()), pa.array([points], pa.binary()), pa.array([parts], pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, ["place", "points", "parts"])
+
+
+def _gaps(x: np.ndarray, norm: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances of points with squared norms `norm` to centres."""
+    return np.maximum(norm[:, None] - 2 * (x @ centers.T) + (centers * centers).sum(axis=1), 0)
+
+
+def _fold(fits: list[Fit], dims: int, salt: int, fold):
+    """One pass in which each fit folds its own points, a step at a time: `fold(i, state, rnd, x, norm)` returns the state.
+
+    The random numbers depend on the fit's seed, `salt` and the place of the points, not on the attempt. A task forwards (fit, stats).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states = [None] * len(fits)
+        for b in batches:
+            for place, raw, tags in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                points = np.frombuffer(raw.as_buffer()).reshape(-1, dims)
+                parts = np.frombuffer(tags.as_buffer(), dtype="int64")
+                rnds = [np.random.default_rng([fit.seed % (1 << 32), salt, place]) for fit in fits]
+                for at in range(0, len(points), STEP):
+                    x, tag = points[at : at + STEP], parts[at : at + STEP]
+                    norm = (x * x).sum(axis=1)
+                    own = {None: (x, norm)}
+                    for bit in {fit.part for fit in fits} - {None}:
+                        inside = np.flatnonzero(tag >> bit & 1)
+                        own[bit] = x[inside], norm[inside]
+                    for i, fit in enumerate(fits):
+                        if len(own[fit.part][0]):
+                            states[i] = fold(i, states[i], rnds[i], *own[fit.part])
+        some = [i for i, state in enumerate(states) if state is not None]
+        flat = [np.asarray(states[i], dtype="float64").tobytes() for i in some]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(flat, pa.binary())], ["fit", "stats"])
+
+    return run
+
+
+def first_centers(packed: DataFrame, fits: list[Fit], dims: int) -> list[np.ndarray]:
+    """First centres of each fit by k-means||, as Spark's KMeans chooses them; the fits share each of the passes.
+
+    A random point, then INIT_STEPS rounds that draw each point with 2 k times its share of the cost, so 2 k candidates
+    a round on average; each candidate weighs the points next to it, and k-means++ over the candidates gives the k centres.
+    """
+
+    def scan(salt: int, fold) -> list[list[np.ndarray]]:
+        found: list[list[np.ndarray]] = [[] for _ in fits]
+        for r in packed.mapInArrow(_fold(fits, dims, salt, fold), "fit bigint, stats binary").collect():
+            found[r["fit"]].append(np.frombuffer(r["stats"]))
+        return found
+
+    def pick(i, state, rnd, x, norm):
+        u = rnd.random(len(x))
+        best = int(u.argmin())
+        return np.append(u[best], x[best]) if state is None or u[best] < state[0] else state
+
+    spots = scan(0, pick)
+    if not all(spots):
+        raise ValueError("a fit has no rows to learn from")
+    centers = [min(own, key=lambda s: s[0])[None, 1:] for own in spots]
+    for step in range(INIT_STEPS):
+        now = centers
+
+        def cost(i, state, rnd, x, norm):
+            return (state or 0.0) + _gaps(x, norm, now[i]).min(axis=1).sum()
+
+        totals = [float(sum(t[0] for t in own)) for own in scan(0, cost)]
+
+        def draw(i, state, rnd, x, norm):
+            far = rnd.random(len(x)) * totals[i] < 2.0 * fits[i].k * _gaps(x, norm, now[i]).min(axis=1)
+            return x[far].ravel() if state is None else np.concatenate([state, x[far].ravel()])
+
+        drawn = scan(step + 1, draw)
+        centers = [np.unique(np.vstack([c, np.concatenate(own).reshape(-1, dims)]), axis=0) for c, own in zip(centers, drawn)]
+
+    def weigh(i, state, rnd, x, norm):
+        n = np.bincount(_gaps(x, norm, centers[i]).argmin(axis=1), minlength=len(centers[i]))
+        return n if state is None else state + n
+
+    weights = [sum(own) for own in scan(0, weigh)]
+    return [c if len(c) <= fit.k else _plus_plus(c, w, fit) for c, w, fit in zip(centers, weights, fits)]
+
+
+def _plus_plus(points: np.ndarray, weights: np.ndarray, fit: Fit) -> np.ndarray:
+    """k-means++ and a weighted K-means over few points."""
+    rnd = np.random.default_rng(fit.seed % (1 << 32))
+    norm = (points * points).sum(axis=1)
+    centers = points[[rnd.choice(len(points), p=weights / weights.sum())]]
+    while len(centers) < fit.k:
+        share = weights * _gaps(points, norm, centers).min(axis=1)
+        if not share.sum():
+            break
+        centers = np.vstack([centers, points[rnd.choice(len(points), p=share / share.sum())]])
+    for _ in range(LOCAL_ITERATIONS):
+        near = _gaps(points, norm, centers).argmin(axis=1)
+        mass = np.bincount(near, weights, len(centers))
+        sums = np.stack([np.bincount(near, weights * points[:, d], len(centers)) for d in range(points.shape[1])], axis=1)
+        new = np.where(mass[:, None] > 0, sums / np.where(mass > 0, mass, 1)[:, None], centers)
+        if np.array_equal(new, centers):
+            break
+        centers = new
+    return centers
 
 
 def _pass(centers: list[np.ndarray], bits: list[int | None]):
@@ -130,28 +233,21 @@ def _pass(centers: list[np.ndarray], bits: list[int | None]):
 def fit_centers(points: DataFrame, fits: list[Fit], max_iter: int = 300, tol: float = 1e-4) -> list[tuple[np.ndarray, float]]:
     """Centres and training cost of each fit; `points` has `features` and `parts`, whose bits say which rows a fit learns from.
 
-    Spark's KMeans chooses the first centres of each fit (k-means||, no iteration). The iterations of all fits that
-    have not converged share one pass over the points, so their number grows with the slowest fit and not with the sum.
+    The first centres are chosen by k-means||. The iterations of all fits that have not converged share one pass over
+    the points, so their number grows with the slowest fit and not with the sum.
     A pass forwards one short row per task: a sum per centre. A fit ends as Spark's does: no centre moved farther
     than `tol`, or after `max_iter` iterations; the cost is that of its last pass.
     """
     count = points.count()
-    few = points.repartition(max(1, -(-count // PASS_ROWS))).persist()
-    packed = few.select(vector_to_array("features").alias("v"), "parts").mapInArrow(_pack, "points binary, parts binary").persist()
-
-    def start(fit: Fit) -> np.ndarray:
-        own = few if fit.part is None else few.filter(F.col("parts").bitwiseAND(F.lit(1 << fit.part)) != 0)
-        model = KMeans(k=fit.k, seed=fit.seed, maxIter=0, initMode="k-means||").fit(own.select("features"))
-        return np.array(model.clusterCenters())
-
+    few = points.repartition(max(1, -(-count // PASS_ROWS))).select(vector_to_array("features").alias("v"), "parts")
+    packed = few.mapInArrow(_pack, "place bigint, points binary, parts binary").persist()
     try:
-        with ThreadPool(PARALLEL_FITS) as pool:
-            centers = pool.map(start, fits, chunksize=1)
+        centers = first_centers(packed, fits, len(points.select("features").first()[0]))
         costs, active = [0.0] * len(fits), list(range(len(fits)))
         for _ in range(max_iter):
             run, unpack = _pass([centers[i] for i in active], [fits[i].part for i in active])
             # one row of sums per task
-            total = sum(np.frombuffer(r["stats"]) for r in packed.mapInArrow(run, "stats binary").collect())
+            total = sum(np.frombuffer(r["stats"]) for r in packed.select("points", "parts").mapInArrow(run, "stats binary").collect())
             moving = []
             for at, sums, cost in unpack(total):
                 i = active[at]
@@ -165,7 +261,6 @@ def fit_centers(points: DataFrame, fits: list[Fit], max_iter: int = 300, tol: fl
                 break
     finally:
         packed.unpersist()
-        few.unpersist()
     return list(zip(centers, costs))
 
 

@@ -39,3 +39,30 @@ def test_best_model_has_the_centres_and_cost_of_its_fit(points):
     assert cost == pytest.approx(least)
     assert np.allclose(sorted(map(list, model.clusterCenters())), sorted(map(list, centers)))
     assert len(other.clusterCenters()) == 2
+
+
+def _jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_first_centres_of_more_fits_take_no_more_jobs(spark, points):
+    few, many = ([cluster.Fit(2 + s % 3, s, s % 2) for s in range(n)] for n in (1, 12))
+    assert _jobs(spark, "many", lambda: cluster.fit_centers(points, many, 1)) == _jobs(spark, "few", lambda: cluster.fit_centers(points, few, 1))
+
+
+def test_first_centres_are_drawn_from_the_rows_of_their_fit_and_again_the_same(spark):
+    rows = [(Vectors.dense([float(i % 2), 10.0 * (i % 4)]), i % 2) for i in range(64)]  # 4 distinct points, 2 of them in part 0
+    packed = spark.createDataFrame(rows, ["v", "parts"]).selectExpr("v", "cast(parts as bigint) parts")
+    packed = packed.withColumn("v", cluster.vector_to_array("v")).mapInArrow(cluster._pack, "place bigint, points binary, parts binary")
+    fits = [cluster.Fit(2, 7), cluster.Fit(2, 7, 0), cluster.Fit(3, 1, 0)]
+    first, again = cluster.first_centers(packed, fits, 2), cluster.first_centers(packed, fits, 2)
+    assert all(np.array_equal(a, b) for a, b in zip(first, again))
+    assert [len(c) for c in first] == [2, 2, 2]  # no more centres than distinct points
+    assert sorted(map(tuple, first[2])) == [(1.0, 10.0), (1.0, 30.0)]
+    with pytest.raises(ValueError):
+        cluster.first_centers(packed, [cluster.Fit(2, 1, 5)], 2)
