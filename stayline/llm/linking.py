@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.wordbytes import Words, distinct_sets, shingles
+from stayline.llm.wordbytes import SLICE_BYTES, Words, distinct_sets, shingles
 from stayline.session import materialize, outer_scratch, scratch_scope
 
 CAP = 256  # texts compared with each other in one group
@@ -79,57 +82,115 @@ def components(edges: DataFrame) -> DataFrame:
         last = state
 
 
-def link_sets(at, hashes, group, probe, ratio=(80, 100)) -> list[tuple[int, int]]:
-    """Pairs of rows that join groups: den * |intersection| >= num * |union|, one of them a probe.
+def _ranges(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Places of the elements of `rows`, whose offsets are `at`, one row after another."""
+    size = at[rows + 1] - at[rows]
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(at[rows] - (ends - size), size)
+
+
+def _by_block(block: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Small numbers that stand for (block, value)."""
+    _, dense = np.unique(values, return_inverse=True)
+    return np.unique(block * (int(dense.max(initial=0)) + 1) + dense, return_inverse=True)[1]
+
 
-    Each row meets the later rows that are not yet in its group; so every pair is either compared
-    on its whole sets or already connected.
+def link_blocks(blocks, at, hashes, group, probe, ratio=(80, 100)) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of a block that join groups: den * |intersection| >= num * |union|, one of them a probe.
+
+    `blocks` are the row offsets of the blocks, `at` the offsets of the rows' `hashes`; rows of different blocks never meet.
+    Each row meets the later rows that are not yet in its group; so every pair is either compared on its whole sets or
+    already connected. Step i compares row i of every block with its later rows, so there are as many steps as the largest block has rows.
     """
     num, den = ratio
-    n = len(at) - 1
     size = np.diff(at)
-    _, dense = np.unique(hashes, return_inverse=True)
-    flag = np.zeros(int(dense.max()) + 1 if len(dense) else 0, dtype=np.int32)
-    group = group.copy()
+    block = np.repeat(np.arange(len(blocks) - 1), np.diff(blocks))
+    dense = _by_block(np.repeat(block, size), hashes)
+    flag = np.zeros(len(dense), dtype=bool)
+    group = _by_block(block, group)
+    alias = np.arange(len(group))
+    rows = np.arange(len(group))
     out = []
-    for i in range(n - 1):
-        later = size[i + 1 :]
-        other = (group[i + 1 :] != group[i]) & (probe[i + 1 :] | probe[i])
+    for i in range(int(np.diff(blocks).max(initial=0)) - 1):
+        pivot = blocks[block[rows]] + i
+        rows, pivot = rows[rows > pivot], pivot[rows > pivot]
+        a, b = size[pivot], size[rows]
         # Sets of too different sizes cannot be that alike.
-        other &= (den * np.minimum(later, size[i]) >= num * np.maximum(later, size[i])) & (later > 0)
-        rest = np.flatnonzero(other) + i + 1
+        other = (group[rows] != group[pivot]) & (probe[rows] | probe[pivot])
+        other &= (den * np.minimum(a, b) >= num * np.maximum(a, b)) & (b > 0)
+        own, rest = pivot[other], rows[other]
         if not len(rest):
             continue
-        mine = dense[at[i] : at[i + 1]]
-        flag[mine] = 1
-        hit = np.concatenate([[0], np.cumsum(flag[np.concatenate([dense[at[j] : at[j + 1]] for j in rest])])])
-        flag[mine] = 0
+        mine = dense[_ranges(at, np.unique(own))]
+        flag[mine] = True
+        hit = np.concatenate([[0], np.cumsum(flag[dense[_ranges(at, rest)]])])
+        flag[mine] = False
         ends = np.concatenate([[0], np.cumsum(size[rest])])
         both = hit[ends[1:]] - hit[ends[:-1]]
-        for j in rest[den * both >= num * (size[i] + size[rest] - both)]:
-            if group[j] != group[i]:
-                group[group == group[j]] = group[i]
-                out.append((i, int(j)))
-    return out
+        like = np.flatnonzero(den * both >= num * (size[own] + size[rest] - both))
+        if len(like):
+            joined, first = np.unique(group[rest[like]], return_index=True)
+            like = like[first]
+            alias[joined] = group[own[like]]
+            group = alias[group]
+            out.append((own[like], rest[like]))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches sorted by `block` as tables that cut no block."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = batch.column("block").to_numpy()
+        cut = int(np.searchsorted(block, block[-1]))
+        if held and (cut or last != block[-1]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held, batch = [], batch.slice(cut)
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+            batch = batch.slice(cut)
+        held, last = [*held, batch], block[-1]
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _verify(rows: DataFrame, n_words: int, ratio) -> DataFrame:
-    """Edges found in each block of `rows` (block, id, component, probe, text)."""
-
-    def run(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        _, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
-        probe = np.zeros(len(first), dtype=bool)
-        np.logical_or.at(probe, inverse, table.column("probe").to_numpy(zero_copy_only=False))
-        table = table.take(pa.array(first))
-        sets = distinct_sets(*shingles(Words(table.column("text").combine_chunks()), n_words), len(first))
-        found = link_sets(*sets, table.column("component").to_numpy(), probe, ratio)
-        ids = ids[first]
-        a, b = (pa.array([ids[p[k]] for p in found], pa.int64()) for k in (0, 1))
-        return pa.Table.from_arrays([a, b], names=["a", "b"])
+    """Edges found in each block of `rows` (block, id, component, probe, text).
+
+    Most blocks are small, so those of a slice of texts are compared together.
+    """
+
+    def run(batches):
+        for table in _whole_blocks(batches):
+            block, ids, probe = (table.column(c).to_numpy() for c in ("block", "id", "probe"))
+            order = np.lexsort((ids, block))
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (np.diff(block[order]) != 0) | (np.diff(ids[order]) != 0)
+            probe = np.logical_or.reduceat(probe[order], np.flatnonzero(new))
+            order = order[new]  # an id once a block
+            block, ids, component = block[order], ids[order], table.column("component").to_numpy()[order]
+            length = pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy()[order]
+            edges = np.append(np.flatnonzero(np.diff(block, prepend=block[0] - 1)), len(block))
+            ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])[edges]
+            at = 0
+            while at < len(edges) - 1:
+                stop = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, side="right")) - 1)
+                low, high = edges[at], edges[stop]
+                texts = table.column("text").take(pa.array(order[low:high])).combine_chunks()
+                texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
+                sets = distinct_sets(*shingles(Words(texts), n_words), high - low)
+                a, b = link_blocks(edges[at : stop + 1] - low, *sets, component[low:high], probe[low:high], ratio)
+                if len(a):
+                    own = ids[low:high]
+                    yield pa.RecordBatch.from_arrays([pa.array(own[a]), pa.array(own[b])], names=["a", "b"])
+                at = stop
 
     cols = rows.select("block", "id", "component", "probe", "text")
-    return cols.groupBy("block").applyInArrow(run, "a bigint, b bigint")
+    return cols.repartition("block").sortWithinPartitions("block").mapInArrow(run, "a bigint, b bigint")
 
 
 def _grouped(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -171,8 +232,13 @@ def _resolved(blocks: DataFrame, texts: DataFrame, n_words: int, ratio, cap: int
     found = components(edges)
 
     members = _grouped(blocks, found)
-    open_ = members.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    second = members.join(open_.filter("lo <> hi").select("block"), "block").withColumn("probe", F.lit(True))
+    known = (F.bit_xor(F.xxhash64("id")), F.bit_xor(F.xxhash64("id", F.lit(1))), F.count(F.lit(1)), F.min("id"), F.max("id"))
+    open_ = members.groupBy("block").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.struct(*known).alias("ids")
+    )
+    # Texts that are a little alike share several bands: of blocks with the same ids one is compared.
+    open_ = open_.filter("lo <> hi").groupBy("ids").agg(F.min("block").alias("block"))
+    second = members.join(open_.select("block"), "block").withColumn("probe", F.lit(True))
     edges = edges.unionByName(materialize(_verify(second.join(texts, "id"), n_words, ratio), "links-2"))
     found = components(edges)
 

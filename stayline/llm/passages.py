@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -295,7 +296,7 @@ def remove_repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str
     base = docs.drop(*made)
     found = repeats(base, n_words, ratio, key, text)
     found = found.groupBy(F.col(key).alias("_k"), "_hash").agg(
-        F.collect_set(F.struct("start", "end")).alias("_spans"), F.array_sort(F.collect_set("first")).alias("first_docs")
+        F.collect_set(F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("end"))).alias("_spans"), F.array_sort(F.collect_set("first")).alias("first_docs")
     )
     own = (base[key].cast("bigint") == F.col("_k")) & (F.xxhash64(base[text]) == F.col("_hash"))
     joined = base.join(found, own, "left").drop("_k")
@@ -306,7 +307,7 @@ def remove_repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str
         for batch in batches:
             for part in slices(batch, text):
                 out, n_cut, size = [], [], []
-                for words, cuts in zip(part.column(text).to_pylist(), part.column("_spans").to_pylist()):
+                for words, cuts in zip(part.column(text).to_pylist(), _joined(part.column("_spans"))):
                     new, n, gone = cut(words, cuts)
                     out.append(new)
                     n_cut.append(n)
@@ -323,6 +324,24 @@ def remove_repeats(docs: DataFrame, n_words: int = 5, ratio=(80, 100), key: str
     return done.select(*[f"`{c}`" for c in base.columns], *made)
 
 
+def _joined(spans: pa.Array) -> list[list[dict]]:
+    """The spans (start << 32 | end) of each row, those that overlap or touch as one."""
+    n = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+    out = [[] for _ in n]
+    code = spans.flatten().to_numpy(zero_copy_only=False)
+    if not len(code):
+        return out
+    row = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((code, row))
+    row, start, end = row[order], code[order] >> 32, code[order] & 0xFFFFFFFF
+    reach = np.maximum.accumulate(end + (row << 32))  # a later row begins beyond all ends of the ones before
+    first = np.flatnonzero(np.append(True, start[1:] + (row[1:] << 32) > reach[:-1]))
+    last = np.append(first[1:], len(code)) - 1
+    for r, s, e in zip(row[first].tolist(), start[first].tolist(), (reach[last] & 0xFFFFFFFF).tolist()):
+        out[r].append({"start": s, "end": e})
+    return out
+
+
 def cut(text: str | None, spans) -> tuple[str | None, int, int]:
     """The text without byte spans, the number of separate cuts, and the bytes that went."""
     if not text or not spans:
