@@ -27,7 +27,8 @@ from stayline.operators.score import decide
 from stayline.schema import FEATURES_8, LABEL
 from stayline.session import new_path, scratch_dir
 
-FIT_ROWS = 50_000  # rows of a partition while trees are fitted, about
+FIT_ROWS = 50_000  # rows of a partition while trees are fitted: fewer take less time than their task
+MOST_FIT_ROWS = 1_000_000  # more are cut into further partitions, whatever the cores, for their memory
 
 
 @dataclass
@@ -71,13 +72,16 @@ def train(df: DataFrame, features=FEATURES_8, params: GbtParams | None = None, l
     return build_estimator(features, params, label).fit(laid_out(df.select(*features, label)))
 
 
-def laid_out(df: DataFrame) -> DataFrame:
+def laid_out(df: DataFrame, fits: int = 1) -> DataFrame:
     """The rows in as many even partitions as their number asks for, cut from their plan by one checkpoint.
 
     A boosted tree is a chain of small jobs: each would carry the plan to every task, and pay for every partition.
+    So no more are made than the cores a fit has while `fits` of them run side by side, but for partitions too large.
     """
     scratch_dir(df.sparkSession)  # tree lineage is cut in the shared checkpoint folder as well
-    return df.repartition(max(1, -(-df.count() // FIT_ROWS))).checkpoint()
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(-(-rows // FIT_ROWS), -(-cores // fits)), -(-rows // MOST_FIT_ROWS))
+    return df.repartition(parts).checkpoint()
 
 
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -118,12 +122,13 @@ def cross_validate(
 
     `grid` lists changes to `params`, one candidate each. A boosted tree is a chain of small jobs, so rows
     lie in as many partitions as their number asks for, are cut from their plan (which every task would carry)
-    by one checkpoint in the shared folder, and the fits of folds and candidates run side by side, deepest trees first.
+    by one checkpoint in the shared folder, and the fits of folds and candidates run side by side, deepest trees first,
+    up to `parallelism` of them and no more than give each core about three tasks: each keeps its own rows in memory.
     The best candidate is not fitted again on all rows; `train` does that where the model is wanted.
     """
     base = params or GbtParams()
     df = df.select(key, fold_col, label, *features)
-    few = laid_out(df)
+    few = laid_out(df, folds)  # the folds of the deepest candidate run to the end
     candidates = [replace(base, **changes) for changes in grid or [{}]]
 
     def fit(task: tuple[int, int]) -> str:
@@ -135,7 +140,8 @@ def cross_validate(
 
     tasks = [(i, fold) for i in range(len(candidates)) for fold in range(folds)]
     tasks.sort(key=lambda task: -candidates[task[0]].depth * candidates[task[0]].trees)
-    with ThreadPool(min(parallelism, len(tasks))) as pool:
+    side_by_side = -(-3 * few.sparkSession.sparkContext.defaultParallelism // few.rdd.getNumPartitions())
+    with ThreadPool(min(parallelism, len(tasks), side_by_side)) as pool:
         paths = pool.map(inheritable_thread_target(few.sparkSession)(fit), tasks, chunksize=1)
     parts = [few.sparkSession.read.parquet(path) for path in paths]
     return reduce(DataFrame.unionByName, parts)

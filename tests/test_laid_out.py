@@ -1,3 +1,6 @@
+import threading
+import time
+
 from stayline.operators import model
 
 
@@ -17,3 +20,38 @@ def test_training_sees_the_laid_out_rows(spark, monkeypatch):
     df = spark.createDataFrame(rows, "x double, churn double")
     model.train(df, ("x",), model.GbtParams(trees=1, depth=1))
     assert seen == [["x", "churn"]]
+
+
+def test_partitions_follow_the_cores_of_a_fit_and_not_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(model, "FIT_ROWS", 10)
+    df, cores = spark.range(1000), spark.sparkContext.defaultParallelism
+    assert [model.laid_out(df, fits).rdd.getNumPartitions() for fits in (1, 2, 100)] == [cores, -(-cores // 2), 1]
+    monkeypatch.setattr(model, "MOST_FIT_ROWS", 90)
+    few = model.laid_out(df, 100)
+    assert few.rdd.getNumPartitions() == 12 and few.count() == 1000
+
+
+def test_fits_side_by_side_share_the_cores(spark, monkeypatch):
+    monkeypatch.setattr(model, "FIT_ROWS", 10)
+    lock, now, most, parts = threading.Lock(), [0], [0], set()
+
+    def scores(df, features, params, fold, fold_col, key, label):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+            parts.add(df.rdd.getNumPartitions())
+        time.sleep(0.5)
+        with lock:
+            now[0] -= 1
+        return df.filter(f"fold = {fold}").selectExpr("customer_id", "fold", "churn", "0.5D as probability")
+
+    monkeypatch.setattr(model, "held_out_scores", scores)
+    df = spark.range(600).selectExpr("id as customer_id", "cast(id % 2 as double) as x", "id % 2 as churn", "id % 3 as fold")
+    grid = [{"depth": d} for d in range(1, 6)]
+    cores = spark.sparkContext.defaultParallelism
+    assert model.cross_validate(df, ("x",), folds=3, grid=grid).count() == 5 * 600
+    assert parts == {-(-cores // 3)} and most[0] > 1
+    most[0] = 0
+    monkeypatch.setattr(model, "MOST_FIT_ROWS", 50)
+    assert model.cross_validate(df, ("x",), folds=3, grid=grid).count() == 5 * 600
+    assert 12 in parts and most[0] <= -(-3 * cores // 12)
