@@ -1,7 +1,11 @@
+import re
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from stayline.operators import silhouette
 from stayline.operators.silhouette import silhouette_pairwise
 from stayline.sources import bucketed
 
@@ -84,3 +88,35 @@ def test_silhouette_sends_each_row_once_per_block(spark):
     assert all(abs(r["silhouette"] - want[r["id"]]) < 1e-9 for r in out.collect())
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "sequence(0, 2)" not in plan and "sequence(_i" in plan
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_silhouette_makes_each_distance_of_a_block_once(monkeypatch, same):
+    """A block paired with itself makes half its ordered pairs, and sums hold over pieces, clusters and near copies."""
+    rnd = np.random.default_rng(11)
+    points, made, gaps = 50 + rnd.standard_normal((2000, 3)), [], silhouette._gaps
+    points[1000:1100] = points[:100]
+    points[1100:1200] = points[:100] + 1e-7
+    labels = np.where(rnd.random(2000) < 0.9, rnd.integers(0, 2, 2000), rnd.integers(2, 60, 2000))
+    rows = pd.DataFrame({"id": np.arange(2000), "cluster_id": labels, "x": points[:, 0], "y": points[:, 1], "z": points[:, 2], "_i": 0, "_j": 0})
+    left, right = (rows, rows.sample(frac=1, random_state=1)) if same else (rows[:900], rows[900:].assign(_i=0, _j=1))
+    monkeypatch.setattr(silhouette, "_gaps", lambda *args: made.append(gaps(*args)) or made[-1])
+    got = silhouette._sums("id", ["x", "y", "z"], "cluster_id")(left, right).set_index(["id", "_other"])
+    gap = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    if not same:
+        gap[:900, :900] = gap[900:, 900:] = 0
+    names = np.unique(labels)
+    want = gap @ (labels[:, None] == names).astype(float)
+    place = got.index.get_level_values(0), np.searchsorted(names, got.index.get_level_values(1))
+    assert np.abs(got["_sum"].to_numpy() - want[place]).max() < 1e-8 and abs(got["_sum"].sum() - want.sum()) < 1e-5
+    assert (got["cluster_id"].to_numpy() == labels[place[0]]).all() and not got.index.has_duplicates
+    pairs = sum(g.size for g in made)
+    assert pairs < 0.65 * 2000**2 if same else pairs == 900 * 1100
+
+
+def test_silhouette_takes_smaller_blocks_of_many_clusters(spark):
+    """A step holds a sum per row and cluster, so their product is bounded, not the rows alone."""
+    for clusters, blocks in ((2, 16), (200, 39)):
+        df = spark.range(200_000).select("id", (F.col("id") % clusters).alias("cluster_id"), F.col("id").cast("double").alias("x"))
+        plan = silhouette_pairwise(df, ["x"], "id")._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(rf"sequence\(_i#\d+, {blocks - 1}[,)]", plan)
